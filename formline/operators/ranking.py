@@ -78,10 +78,14 @@ def usage_rank(df: DataFrame, within: Sequence[str], measure: str, alias: str, b
     return ranked.withColumnRenamed(f"rank_{measure}", alias)
 
 
+def is_latest(alias: str) -> Framed:
+    """Output that is 1 on the last row in the order, else 0."""
+    return Framed(alias, lambda w: F.lead(F.lit(1)).over(w).isNull().cast("int"), ahead=1)
+
+
 def latest_flag(df: DataFrame, entity: Sequence[str], order: Sequence, alias: str, bounded_by=()) -> DataFrame:
     """1 on the last row of each entity in ``order``, else 0."""
-    last = Framed(alias, lambda w: F.lead(F.lit(1)).over(w).isNull().cast("int"), ahead=1)
-    return over_ordered(df, entity, order, [last], bounded_by=bounded_by)
+    return over_ordered(df, entity, order, [is_latest(alias)], bounded_by=bounded_by)
 
 
 def latest_date_flag(df: DataFrame, entity: Sequence[str], date: str, alias: str) -> DataFrame:

@@ -40,6 +40,7 @@ def rolling_form(
     prefix: str = "",
     digits: int = 2,
     zero_fill: Callable[[str], bool] | None = None,
+    extra: Sequence[Running | Framed] = (),
     hot="measure",
     bounded_by: Sequence[DataFrame] = (),
 ) -> DataFrame:
@@ -49,7 +50,8 @@ def rolling_form(
     ``include_current`` picks the frame of the means: ``never`` looks at earlier
     rows only, ``always`` includes the row itself, ``played`` includes it for
     rows that meet ``played`` and leaves it out for the others. ``zero_fill``
-    gets the output name and says whether its nulls become zero.
+    gets the output name and says whether its nulls become zero. ``extra``
+    outputs (counts, flags) over the same order ride along in the same pass.
     """
     outputs, named = [], []
     for i, m in enumerate(measures):
@@ -58,13 +60,15 @@ def rolling_form(
         for n in windows:
             outputs.append(Framed(f"_a{i}_{n}", _mean_frame(m, n, played, include_current), back=n))
             named.append((f"_a{i}_{n}", f"{prefix}average_{m}_last_{n}_games"))
-    done = over_ordered(df, entity, order, outputs, hot=hot, bounded_by=bounded_by)
+    done = over_ordered(df, entity, order, [*outputs, *extra], hot=hot, bounded_by=bounded_by)
 
     def final(raw, name):
         value = round_half_up(raw, digits)
         return F.coalesce(value, F.lit(0.0)) if zero_fill and zero_fill(name) else value
 
-    return done.select(*df.columns, *[final(raw, name).alias(name) for raw, name in named])
+    return done.select(
+        *df.columns, *[final(raw, name).alias(name) for raw, name in named], *[o.alias for o in extra]
+    )
 
 
 def keep_rank_nulls(name: str) -> bool:
