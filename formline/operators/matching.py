@@ -35,12 +35,14 @@ def lookup(df: DataFrame, code: str, table: DataFrame, key: str, value: str, ali
 
 
 def two_tier_lookup(
-    df: DataFrame, table: DataFrame, first: Sequence[str], second: Sequence[str], values: Sequence[str], tier: str | None = None
+    df: DataFrame, table: DataFrame, first: Sequence[str], second: Sequence[str], values: Sequence[str], tier: str | None = None,
+    second_table: DataFrame | None = None,
 ) -> DataFrame:
-    """Values by the first key, else by the second (e.g. by id, else by name).
-    The table must be unique per key; see ``quality.assert_unique``."""
+    """Values by the first key, else by the second (e.g. by id, else by name),
+    the second from ``second_table`` when given. Each table must be unique per
+    its key; see ``quality.assert_unique``."""
     by_first = table.select(*first, *[F.col(v).alias(f"_1_{v}") for v in values], F.lit(1).alias("_hit1"))
-    by_second = table.select(*second, *[F.col(v).alias(f"_2_{v}") for v in values], F.lit(2).alias("_hit2"))
+    by_second = (table if second_table is None else second_table).select(*second, *[F.col(v).alias(f"_2_{v}") for v in values], F.lit(2).alias("_hit2"))
     joined = df.join(by_first, list(first), "left").join(by_second, list(second), "left")
     found = F.col("_hit1").isNotNull()
     out = [F.when(found, F.col(f"_1_{v}")).otherwise(F.col(f"_2_{v}")).alias(v) for v in values]

@@ -171,6 +171,12 @@ def _median_from_counts(rows, keys, measure, alias):
     )
 
 
+def _median_beside(measure: str, keys: Sequence[str]) -> Framed:
+    """Whole-group median next to the rows: shares the shuffle of the form
+    windows, for groups of ordinary size."""
+    return Framed(f"_median_{measure}", lambda _: F.median(measure).over(Window.partitionBy(*keys)))
+
+
 def team_form(
     df: DataFrame,
     team: str,
@@ -181,6 +187,7 @@ def team_form(
     matchup_games: str,
     include_current: str = "always",
     digits: int = 2,
+    bounded_by: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Form of the team, of what was done against the opponent faced, and of
     the matchup. While too few games are played (previous: 2, last-3: 4,
@@ -188,12 +195,14 @@ def team_form(
     views = [("", [team], games), ("opponent_", [opponent], games), ("matchup_", [team, opponent], matchup_games)]
     out = df
     for prefix, keys, counter in views:
-        hot = hot_groups(df, keys)
-        medians = group_median(df, keys, {m: f"_median_{m}" for m in measures}, hot=hot)
+        hot = hot_groups(df, keys, bounded_by)
+        extra = [] if hot is not None else [_median_beside(m, keys) for m in measures]
         formed = rolling_form(
-            out, keys, order, measures, include_current=include_current, prefix=prefix, digits=digits, hot=hot
+            out, keys, order, measures, include_current=include_current, prefix=prefix, digits=digits, extra=extra, hot=hot
         )
-        formed = null_safe_join(formed, medians, keys, "left")
+        if hot is not None:
+            medians = group_median(df, keys, {m: f"_median_{m}" for m in measures}, hot=hot)
+            formed = null_safe_join(formed, medians, keys, "left")
         warm = {f"{prefix}previous_{m}": (1, m) for m in measures}
         warm |= {f"{prefix}average_{m}_last_{n}_games": (n, m) for m in measures for n in (3, 7)}
         out = formed.select(

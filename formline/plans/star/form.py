@@ -149,9 +149,12 @@ def _trio(prefix, partition, counter):
 )
 def team_form_median_warmup(spark, folder):
     games = nation_games(spark, folder).select("game", "d", "team", "opponent", "pointsFor")
-    counted = games_played(games, ["team"], ["d", "game"], "game", "n_team")
-    counted = games_played(counted, ["team", "opponent"], ["d", "game"], "game", "n_matchup")
-    formed = team_form(counted, "team", "opponent", ["d", "game"], ["pointsFor"], "n_team", "n_matchup")
+    order, bound = ["d", "game"], [table(spark, folder, "orders")] * 2
+    counted = games_played(games, ["team"], order, "game", "n_team", bounded_by=bound)
+    counted = games_played(counted, ["team", "opponent"], order, "game", "n_matchup", bounded_by=bound)
+    formed = team_form(
+        counted, "team", "opponent", order, ["pointsFor"], "n_team", "n_matchup", bounded_by=bound
+    )
     return formed.drop("d", "pointsFor")
 
 
@@ -166,9 +169,16 @@ def team_form_median_warmup(spark, folder):
 )
 def faced_opponent_form(spark, folder):
     games = nation_games(spark, folder).select("game", "d", "team", "opponent", "pointsFor")
-    return rolling_form(games, ["opponent"], ["d", "game"], ["pointsFor"], windows=[3], prefix="opponent_").drop(
-        "d", "pointsFor"
+    formed = rolling_form(
+        games,
+        ["opponent"],
+        ["d", "game"],
+        ["pointsFor"],
+        windows=[3],
+        prefix="opponent_",
+        bounded_by=[table(spark, folder, "orders")] * 2,
     )
+    return formed.drop("d", "pointsFor")
 
 
 @query(
@@ -300,16 +310,48 @@ def season_hits(spark, folder):
     )
 
 
+def _recent_sql(entity, row_id, source, value, low, high, days):
+    frame = f"(PARTITION BY {entity} ORDER BY d RANGE BETWEEN INTERVAL {days} DAYS PRECEDING AND CURRENT ROW)"
+    rates = ", ".join(
+        r2(f"AVG(CASE WHEN {value} >= {t} THEN 1.0 ELSE 0.0 END) OVER {frame}", 4) + f" AS last{days}_hit_rate_{t}plus"
+        for t in (low, high)
+    )
+    return f"SELECT {row_id}, {rates} FROM ({source}) t"
+
+
 @query(
     "hit_rate_30d",
-    f"""
-    WITH e AS (SELECT *, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'purchase')
-    SELECT event_id,
-      {r2("AVG(CASE WHEN value >= 20 THEN 1.0 ELSE 0.0 END) OVER w", 4)} AS last7_hit_rate_20plus,
-      {r2("AVG(CASE WHEN value >= 60 THEN 1.0 ELSE 0.0 END) OVER w", 4)} AS last7_hit_rate_60plus
-    FROM e WINDOW w AS (PARTITION BY user_id ORDER BY d RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)""",
+    _recent_sql(
+        "c_nationkey",
+        "o_orderkey",
+        "SELECT o_orderkey, c_nationkey, o_totalprice, CAST(o_orderdate AS DATE) AS d FROM orders JOIN customer ON o_custkey = c_custkey",
+        "o_totalprice",
+        200000,
+        300000,
+        30,
+    ),
+)
+def hit_rate_month(spark, folder):
+    orders = dated_orders(spark, folder, "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    rated = hit_rate_last_days(rows, ["c_nationkey"], "o_orderdate", "o_totalprice", 30, (200000, 300000))
+    return rated.select("o_orderkey", "last30_hit_rate_200000plus", "last30_hit_rate_300000plus")
+
+
+@query(
+    "hit_rate_7d",
+    _recent_sql(
+        "user_id",
+        "event_id",
+        "SELECT *, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'purchase'",
+        "value",
+        20,
+        60,
+        7,
+    ),
 )
-def hit_rate_recent_days(spark, folder):
+def hit_rate_week(spark, folder):
     events = table(spark, folder, "events").filter("event_type = 'purchase'")
     days = events.select("event_id", "user_id", "value", F.to_date("ts").alias("d"))
     return hit_rate_last_days(days, ["user_id"], "d", "value", days=7, thresholds=(20, 60)).drop(
