@@ -69,7 +69,7 @@ if __name__ == "__main__":
     folder = sys.argv[1]
     wanted = sys.argv[2:]
     spark = build_session(
-        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g", spark__ui__showConsoleProgress="false"
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries, sqls = entry.queries(), entry.oracle_sql()
