@@ -30,3 +30,15 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when a count shows at most ``rows`` rows; otherwise
     the frame is returned as it is and the join is shuffled."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def join_apart_from_nulls(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """``left`` or ``full_outer`` equi join in which rows with a null key, which
+    can match nothing, go round the join: a shuffle would send them all to one
+    task."""
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+    joined = left.filter(has_key).join(right.filter(has_key), list(on), how)
+    out = joined.unionByName(left.filter(~has_key), allowMissingColumns=True)
+    if how == "full_outer":
+        out = out.unionByName(right.filter(~has_key), allowMissingColumns=True)
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formline.functions.numbers import as_column
-from formline.operators.joins import broadcast_if_small
+from formline.operators.joins import broadcast_if_small, join_apart_from_nulls
 from formline.operators.lastknown import earliest_per_key
 from formline.operators.shape import side_pivot, union_all
 
@@ -60,7 +60,7 @@ def join_schedule(
     """Schedule with the facts of its games. ``order`` makes the fact side one
     row per key first, so that the join cannot multiply rows."""
     facts = earliest_per_key(games, on, order) if order else games
-    return schedule.join(facts, list(on), how)
+    return join_apart_from_nulls(schedule, facts, on, how)
 
 
 def split_played(df: DataFrame, date: str, cutoff) -> tuple[DataFrame, DataFrame]:
