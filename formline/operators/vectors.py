@@ -22,7 +22,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def vector_top_k(
-    df: DataFrame, queries: DataFrame, query_id: str, query_vector: str, item_id: str, vector: str, k: int, alias: str = "similarity"
+    df: DataFrame, queries: DataFrame, query_id: str, query_vector: str, item_id: str, vector: str, k: int, alias: str = "similarity",
+    digits: int | None = None,
 ) -> DataFrame:
     """The k most similar items of every query, ties by item id.
 
@@ -30,6 +31,9 @@ def vector_top_k(
     items as one small array, so the items are read once and each is scored in
     place; every task keeps its k best per query before anything is shuffled.
     """
+    def score(a: Column, b: Column) -> Column:
+        return cosine(a, b) if digits is None else F.round(cosine(a, b), digits)
+
     asked = queries.select(F.col(query_id).alias("q"), F.col(query_vector).cast("array<double>").alias("v"))
     rows = asked.limit(MAX_QUERY_VECTORS + 1).collect()
     if len(rows) > MAX_QUERY_VECTORS:
@@ -40,7 +44,7 @@ def vector_top_k(
         df.select(item_id, vector)
         .crossJoin(F.broadcast(packed))
         .select(item_id, vector, F.explode("_queries").alias("_q"))
-        .select(F.col("_q.q").alias(query_id), item_id, cosine(F.col(vector), F.col("_q.v")).alias(alias))
+        .select(F.col("_q.q").alias(query_id), item_id, score(F.col(vector), F.col("_q.v")).alias(alias))
     )
     best = newest_rows(scored, [query_id], [F.col(alias).desc_nulls_last(), F.col(item_id)], k, "rank")
     return best.select(query_id, "rank", item_id, alias)

@@ -1,6 +1,6 @@
 """The operators applied to the star tables, by name."""
 
-from formline.plans.star import events, form, loads, ranks, schedules, shapes  # noqa: F401
+from formline.plans.star import checks, events, form, loads, matches, ranks, schedules, shapes  # noqa: F401
 from formline.plans.star.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
