@@ -42,3 +42,14 @@ def join_apart_from_nulls(left: DataFrame, right: DataFrame, on: Sequence[str],
     if how == "full_outer":
         out = out.unionByName(right.filter(~has_key), allowMissingColumns=True)
     return out
+
+
+def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join for a right side with many rows per key.
+
+    Adaptive execution cannot split a crowded key on the right of an outer
+    join. The matches are therefore an inner join, where it can split either
+    side, and the rows without match an anti join against the distinct keys.
+    """
+    unmatched = left.join(right.select(*on).distinct(), list(on), "left_anti")
+    return left.join(right, list(on), "inner").unionByName(unmatched, allowMissingColumns=True)

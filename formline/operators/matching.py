@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formline.operators.joins import broadcast_if_small, null_safe_join
-from formline.operators.ordered import Running, over_ordered
+from formline.operators.joins import broadcast_if_small, left_join_many, null_safe_join
+from formline.operators.ordered import Running, hot_groups, over_ordered
 from formline.operators.shape import union_all
 
 
@@ -54,10 +54,11 @@ def two_tier_lookup(
 def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """Overlapping or touching intervals of one key joined into one."""
     valid = df.filter(F.col(start) <= F.col(end)).groupBy(*keys, start).agg(F.max(end).alias(end))
-    reached = over_ordered(valid, keys, [start], [Running("_reach", F.col(end), "max", strict=True)])
+    hot = hot_groups(df, keys)
+    reached = over_ordered(valid, keys, [start], [Running("_reach", F.col(end), "max", strict=True)], hot=hot)
     opens = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
     marked = reached.withColumn("_opens", opens)
-    numbered = over_ordered(marked, keys, [start], [Running("_island", F.col("_opens"), "sum")])
+    numbered = over_ordered(marked, keys, [start], [Running("_island", F.col("_opens"), "sum")], hot=hot)
     return numbered.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
@@ -158,7 +159,8 @@ def nearest_date(
 
     The last candidate at or before and the first at or after each date are
     found by one sweep in each direction instead of pairing rows with all
-    candidates. ``values`` come from the first candidate row of the date.
+    candidates. A pair holds at most two sweep rows per calendar date, so its
+    window stays small. ``values`` come from the first candidate of the date.
     """
     wanted = df.select(*pair, F.to_date(F.col(date)).alias("_d")).distinct()
     payload = F.struct(F.to_date(F.col(candidate_date)).alias("c"), *values)
@@ -166,9 +168,9 @@ def nearest_date(
         F.min("_c").alias("_c")
     )
     line = union_all(wanted.withColumn("_kind", F.lit(1)), offered.withColumn("_kind", F.lit(0)))
-    back = over_ordered(line, pair, ["_d", "_kind"], [Running("_before", F.col("_c"), "last")])
+    back = over_ordered(line, pair, ["_d", "_kind"], [Running("_before", F.col("_c"), "last")], hot=None)
     both = over_ordered(
-        back, pair, [F.col("_d").desc_nulls_last(), F.col("_kind").asc()], [Running("_after", F.col("_c"), "last")]
+        back, pair, [F.col("_d").desc_nulls_last(), F.col("_kind").asc()], [Running("_after", F.col("_c"), "last")], hot=None
     ).filter("_kind = 1")
     gap_before, gap_after = F.datediff("_d", "_before.c"), F.datediff("_after.c", "_d")
     best = (
@@ -183,14 +185,9 @@ def nearest_date(
 
 
 def left_join_bounded(left: DataFrame, right: DataFrame, on: Sequence[str], bound: Column) -> DataFrame:
-    """Left join on keys plus a bound in the join condition (rows without a
-    match inside the bound stay, with nulls)."""
-    names = {k: f"_rk{i}" for i, k in enumerate(on)}
-    other = right.withColumnsRenamed(names)
-    condition = bound
-    for k, n in names.items():
-        condition = condition & (F.col(k) == F.col(n))
-    return left.join(other, condition, "left").drop(*names.values())
+    """Left join with a bound on the right rows in the join condition: left rows
+    whose matches all lie outside the bound stay, with nulls."""
+    return left_join_many(left, right.filter(bound), on)
 
 
 def with_scalar(df: DataFrame, aggregates: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formline.functions.numbers import as_column
-from formline.operators.joins import broadcast_if_small, join_apart_from_nulls
+from formline.operators.joins import broadcast_if_small, join_apart_from_nulls, left_join_many
 from formline.operators.lastknown import earliest_per_key
 from formline.operators.shape import side_pivot, union_all
 
@@ -110,7 +110,7 @@ def roster_fill(
     were played never meet the roster. Roster columns fill nulls only."""
     needs = F.col(game).isNull() & F.col(player).isNull()
     members = roster.select(*on, *[F.col(c).alias(f"_r_{c}") for c in columns]).distinct()
-    filled = df.filter(needs).join(members, list(on), "left")
+    filled = left_join_many(df.filter(needs), members, on)
     filled = filled.select(
         *[F.coalesce(F.col(c), F.col(f"_r_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns]
     )
