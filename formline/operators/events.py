@@ -139,34 +139,37 @@ def _sequences(events: DataFrame) -> DataFrame:
     return sided.withColumn("situation", F.explode(lists))
 
 
-def rebound_flags(df: DataFrame, keys: Sequence[str], order: Sequence, team: str, kind: str, period: str, seconds: str, within: int = 3, shots=SHOT_EVENTS) -> DataFrame:
-    """``is_rebound``: the row is a shot or goal, and so is the row right before
-    it, by the same team in the same period at most ``within`` seconds away."""
-    now = F.struct(F.col(team).alias("t"), F.col(kind).alias("k"), F.col(period).alias("p"), F.col(seconds).alias("s"))
-    marked = over_ordered(df, keys, order, [Framed("_prev", lambda w: F.lag(now).over(w), back=1)])
-    prev = F.col("_prev")
-    hit = (
-        F.col(kind).isin(*shots)
-        & prev.k.isin(*shots)
-        & (F.col(team) == prev.t)
-        & (F.col(period) == prev.p)
-        & (F.abs(F.col(seconds) - prev.s) <= within)
-    )
-    return marked.select(*df.columns, F.coalesce(hit, F.lit(False)).cast("int").alias("is_rebound"))
-
-
-def zone_flags(df: DataFrame, keys: Sequence[str], order: Sequence, team: str, zone: str) -> DataFrame:
-    """``continues_in`` / ``continues_out``: the next row belongs to the same
-    team and lies in the same zone / in another zone."""
-    here = F.struct(F.col(team).alias("t"), F.col(zone).alias("z"))
-    marked = over_ordered(df, keys, order, [Framed("_next", lambda w: F.lead(here).over(w), ahead=1)])
-    nxt = F.col("_next")
-    both = (F.col(team) == nxt.t) & F.col(zone).isNotNull() & nxt.z.isNotNull()
-    inside = F.coalesce(both & (F.col(zone) == nxt.z), F.lit(False))
-    outside = F.coalesce(both & (F.col(zone) != nxt.z), F.lit(False))
-    return marked.select(
-        *df.columns, inside.cast("int").alias("continues_in"), outside.cast("int").alias("continues_out")
-    )
+def rebound_output(team: str, kind: str, period: str, seconds: str, alias: str = "is_rebound", within: int = 3, shots=SHOT_EVENTS) -> Framed:
+    """1 when the row is a shot or goal and so is the row right before it, by
+    the same team in the same period at most ``within`` seconds away."""
+    def build(w):
+        def before(c):
+            return F.lag(c).over(w)
+
+        hit = (
+            F.col(kind).isin(*shots)
+            & before(kind).isin(*shots)
+            & (F.col(team) == before(team))
+            & (F.col(period) == before(period))
+            & (F.abs(F.col(seconds) - before(seconds)) <= within)
+        )
+        return F.coalesce(hit, F.lit(False)).cast("int")
+
+    return Framed(alias, build, back=1)
+
+
+def zone_outputs(team: str, zone: str, inside: str = "continues_in", outside: str = "continues_out") -> list[Framed]:
+    """1 when the next row belongs to the same team and lies in the same zone
+    (``inside``) or in another zone (``outside``)."""
+    def build(same_zone: bool):
+        def of(w):
+            following, owner = F.lead(zone).over(w), F.lead(team).over(w)
+            place = following == F.col(zone) if same_zone else following != F.col(zone)
+            return F.coalesce((owner == F.col(team)) & place, F.lit(False)).cast("int")
+
+        return of
+
+    return [Framed(inside, build(True), ahead=1), Framed(outside, build(False), ahead=1)]
 
 
 def rebounds_and_zones(events: DataFrame, game: Sequence[str] = ("game_id",)) -> DataFrame:
@@ -174,8 +177,8 @@ def rebounds_and_zones(events: DataFrame, game: Sequence[str] = ("game_id",)) ->
     team, situation); Against counts are the other team's in the same list."""
     keys = [*game, "team_id", "situation"]
     listed = _sequences(events).withColumn("seconds", clock_seconds("clock"))
-    flagged = rebound_flags(listed, keys, ["event_index"], "owner_id", "type", "period", "seconds")
-    flagged = zone_flags(flagged, keys, ["event_index"], "owner_id", "zone")
+    outputs = [rebound_output("owner_id", "type", "period", "seconds"), *zone_outputs("owner_id", "zone")]
+    flagged = over_ordered(listed, keys, ["event_index"], outputs)
     own = F.col("is_own")
     other = F.col("owner_id").isNotNull() & ~own
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -72,6 +73,8 @@ if __name__ == "__main__":
         "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g", spark__ui__showConsoleProgress="false"
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("HOT_ROWS"):
+        spark.conf.set("formline.hotGroupRows", os.environ["HOT_ROWS"])
     queries, sqls = entry.queries(), entry.oracle_sql()
     connection = duck(folder)
     bad = 0
