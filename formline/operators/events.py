@@ -172,13 +172,15 @@ def zone_outputs(team: str, zone: str, inside: str = "continues_in", outside: st
     return [Framed(inside, build(True), ahead=1), Framed(outside, build(False), ahead=1)]
 
 
-def rebounds_and_zones(events: DataFrame, game: Sequence[str] = ("game_id",)) -> DataFrame:
+def rebounds_and_zones(
+    events: DataFrame, game: Sequence[str] = ("game_id",), bounded_by: Sequence[DataFrame] = ()
+) -> DataFrame:
     """Rebounds, rebound goals and zone continuations For/Against per (game,
     team, situation); Against counts are the other team's in the same list."""
     keys = [*game, "team_id", "situation"]
     listed = _sequences(events).withColumn("seconds", clock_seconds("clock"))
     outputs = [rebound_output("owner_id", "type", "period", "seconds"), *zone_outputs("owner_id", "zone")]
-    flagged = over_ordered(listed, keys, ["event_index"], outputs)
+    flagged = over_ordered(listed, keys, ["event_index"], outputs, bounded_by=bounded_by)
     own = F.col("is_own")
     other = F.col("owner_id").isNotNull() & ~own
 
@@ -203,7 +205,12 @@ def games_of(events: DataFrame, game: Sequence[str]) -> DataFrame:
     return events.select(*game, "home_id", "away_id").distinct()
 
 
-def team_stats(events: DataFrame, games: DataFrame | None = None, game: Sequence[str] = ("game_id",)) -> DataFrame:
+def team_stats(
+    events: DataFrame,
+    games: DataFrame | None = None,
+    game: Sequence[str] = ("game_id",),
+    bounded_by: Sequence[DataFrame] = (),
+) -> DataFrame:
     """All team statistics: one row per (game, team, situation), four
     situations for each team of each game, zero where nothing happened."""
     games = games_of(events, game) if games is None else games
@@ -220,7 +227,7 @@ def team_stats(events: DataFrame, games: DataFrame | None = None, game: Sequence
     keys = [*game, "team_id", "situation"]
     out = null_safe_join(base, team_counts(events, game).drop("is_home"), keys, "left")
     out = null_safe_join(out, possession(events, game), keys, "left")
-    out = null_safe_join(out, rebounds_and_zones(events, game), keys, "left")
+    out = null_safe_join(out, rebounds_and_zones(events, game, bounded_by), keys, "left")
     empty = {c: 50.0 if c.endswith("Percentage") else 0 for c in out.columns if c not in (*keys, "is_home")}
     return out.fillna(empty)
 
@@ -341,7 +348,13 @@ def ice_time(events: DataFrame, shifts: DataFrame, players: DataFrame, game: Seq
     )
 
 
-def player_stats(events: DataFrame, shifts: DataFrame, players: DataFrame, game: Sequence[str] = ("game_id",)) -> DataFrame:
+def player_stats(
+    events: DataFrame,
+    shifts: DataFrame,
+    players: DataFrame,
+    game: Sequence[str] = ("game_id",),
+    bounded_by: Sequence[DataFrame] = (),
+) -> DataFrame:
     """All player statistics: one row per (game, player, situation).
 
     ``players`` lists (game, player_id, is_home) with any further columns.
@@ -362,7 +375,7 @@ def player_stats(events: DataFrame, shifts: DataFrame, players: DataFrame, game:
     spans = shifts.select(
         *game, "player_id", "period", clock_seconds("startTime").alias("_from"), clock_seconds("endTime").alias("_to")
     )
-    on_ice = totals_inside(measures, spans, [*game, "period"], ["player_id"], "at", "_from", "_to", names)
+    on_ice = totals_inside(measures, spans, [*game, "period"], ["player_id"], "at", "_from", "_to", names, bounded_by)
     on_ice = on_ice.groupBy(*game, "player_id").agg(*[F.sum(n).alias(n) for n in names])
     totals = measures.groupBy(*game).agg(*[F.sum(n).alias(f"_all_{n}") for n in names])
     shifted = shifts.select(*game).distinct().withColumn("has_shifts", F.lit(True))

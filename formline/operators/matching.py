@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formline.operators.joins import broadcast_if_small, left_join_many, null_safe_join
@@ -51,10 +51,12 @@ def two_tier_lookup(
     return joined.select(*df.columns, *out)
 
 
-def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+def merge_intervals(
+    df: DataFrame, keys: Sequence[str], start: str, end: str, bounded_by: Sequence[DataFrame] = ()
+) -> DataFrame:
     """Overlapping or touching intervals of one key joined into one."""
     valid = df.filter(F.col(start) <= F.col(end)).groupBy(*keys, start).agg(F.max(end).alias(end))
-    hot = hot_groups(df, keys)
+    hot = hot_groups(df, keys, bounded_by)
     reached = over_ordered(valid, keys, [start], [Running("_reach", F.col(end), "max", strict=True)], hot=hot)
     opens = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
     marked = reached.withColumn("_opens", opens)
@@ -63,7 +65,14 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) ->
 
 
 def inside_any_interval(
-    events: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str, end: str, alias: str = "inside"
+    events: DataFrame,
+    intervals: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    start: str,
+    end: str,
+    alias: str = "inside",
+    bounded_by: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """1/0 flag: the event falls into an interval of its key, ends included.
 
@@ -78,7 +87,11 @@ def inside_any_interval(
     )
     marked = events.withColumn("_delta", F.lit(0).cast("long")).withColumn("_kind", F.lit(1))
     swept = over_ordered(
-        union_all(marked, edges), keys, [at, "_kind"], [Running("_open", F.col("_delta"), "sum")]
+        union_all(marked, edges),
+        keys,
+        [at, "_kind"],
+        [Running("_open", F.col("_delta"), "sum")],
+        bounded_by=bounded_by,
     )
     return swept.filter("_kind = 1").select(*events.columns, (F.col("_open") > 0).cast("int").alias(alias))
 
@@ -92,6 +105,7 @@ def totals_inside(
     start: str,
     end: str,
     measures: Sequence[str],
+    bounded_by: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Sums of event measures inside each owner's intervals, per (keys, owner).
 
@@ -99,7 +113,7 @@ def totals_inside(
     merged interval, and their differences are added up: no event is paired
     with an interval, however many owners share the same events.
     """
-    merged = merge_intervals(intervals, [*keys, *owner], start, end)
+    merged = merge_intervals(intervals, [*keys, *owner], start, end, bounded_by)
     per_time = events.groupBy(*keys, at).agg(*[F.sum(m).alias(m) for m in measures]).withColumn("_kind", F.lit(1))
     points = union_all(
         merged.select(*keys, F.col(start).alias(at), F.lit(0).alias("_kind")),
@@ -107,7 +121,7 @@ def totals_inside(
     ).distinct()
     line = union_all(per_time, points)
     running = [Running(f"_s_{m}", F.coalesce(F.col(m), F.lit(0)), "sum") for m in measures]
-    swept = over_ordered(line, keys, [at, "_kind"], running).filter("_kind <> 1")
+    swept = over_ordered(line, keys, [at, "_kind"], running, bounded_by=bounded_by).filter("_kind <> 1")
     sums = [f"_s_{m}" for m in measures]
     opened = swept.filter("_kind = 0").select(*keys, F.col(at).alias(start), *[F.col(s).alias(f"{s}_0") for s in sums])
     closed = swept.filter("_kind = 2").select(*keys, F.col(at).alias(end), *[F.col(s).alias(f"{s}_1") for s in sums])
@@ -127,21 +141,32 @@ def first_within_tolerance(
     tolerance: int,
     alias: str,
     default=None,
+    span: int = 64,
 ) -> DataFrame:
     """For each point the value of the first event (lowest ``event_order``) with
-    \\|event time − point time\\| < ``tolerance``; times are whole units.
+    |event time − point time| < ``tolerance``; times are whole units.
 
-    Events are first reduced to one per time unit and points to their distinct
-    times, so each distinct point time meets at most 2·tolerance − 1 rows.
+    Events and points are first reduced to one row per time unit. The time line
+    is cut into blocks of ``span`` tolerances, rows near a cut are copied to the
+    neighbouring block, and a range frame inside each block finds the first
+    event: no point is paired with its events, and a block has a fixed length
+    however crowded its key is.
     """
-    per_time = events.groupBy(*keys, F.col(at).alias("_et")).agg(
-        F.min(F.struct(F.col(event_order).alias("o"), F.col(value).alias("v"))).alias("_first")
-    )
-    times = points.select(*keys, at).distinct()
-    reach = F.sequence(F.lit(-(tolerance - 1)), F.lit(tolerance - 1))
-    near = times.withColumn("_off", F.explode(reach)).withColumn("_et", F.col(at) + F.col("_off"))
-    hit = null_safe_join(near, per_time, [*keys, "_et"], "inner").groupBy(*keys, at).agg(F.min("_first").alias("_hit"))
-    joined = null_safe_join(points, hit, [*keys, at], "left")
+    reach = tolerance - 1
+    first = F.struct(F.col(event_order).alias("o"), F.col(value).alias("v"))
+    offered = events.groupBy(*keys, F.col(at).cast("long").alias("_t")).agg(F.min(first).alias("_e"))
+    asked = points.select(*keys, F.col(at).cast("long").alias("_t"), F.lit(1).alias("_p")).distinct()
+    line = union_all(offered, asked).groupBy(*keys, "_t").agg(F.min("_e").alias("_e"), F.max("_p").alias("_p"))
+
+    def block(t):
+        return F.floor(t / (span * tolerance))
+
+    t = F.col("_t")
+    copied = line.withColumn("_b", F.explode(F.array_distinct(F.array(block(t - reach), block(t), block(t + reach)))))
+    window = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(-reach, reach)
+    found = copied.select(*keys, "_t", "_b", "_p", F.min("_e").over(window).alias("_hit"))
+    found = found.filter((F.col("_p") == 1) & (F.col("_b") == block(t))).select(*keys, "_t", "_hit")
+    joined = null_safe_join(points.withColumn("_t", F.col(at).cast("long")), found, [*keys, "_t"], "left")
     return joined.select(*points.columns, F.coalesce(F.col("_hit.v"), F.lit(default)).alias(alias))
 
 

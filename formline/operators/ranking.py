@@ -96,19 +96,20 @@ def latest_date_flag(df: DataFrame, entity: Sequence[str], date: str, alias: str
 
 
 def newest_first_counter(
-    df: DataFrame, entity: Sequence[str], newest_first: Sequence, alias: str, flag: str | None = None, flag_from: int = 2
+    df: DataFrame, entity: Sequence[str], newest_first: Sequence, alias: str, flag: str | None = None, flag_from: int = 2,
+    bounded_by: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Row number with the newest row first; ``flag`` marks numbers from
     ``flag_from`` on."""
-    counted = over_ordered(df, entity, newest_first, [Running(alias, F.lit(1), "count")])
+    counted = over_ordered(df, entity, newest_first, [Running(alias, F.lit(1), "count")], bounded_by=bounded_by)
     return counted.withColumn(flag, F.col(alias) >= flag_from) if flag else counted
 
 
-def ordinal_percentile(df: DataFrame, order: Sequence, alias: str, digits: int = 4, within: Sequence[str] = ()) -> DataFrame:
+def ordinal_percentile(df: DataFrame, order: Sequence, alias: str, digits: int = 4, within: Sequence[str] = (), bounded_by: Sequence[DataFrame] = ()) -> DataFrame:
     """(n − 1 − i) / (n − 1) for the i-th row, 0.5 when the group has one row.
     ``order`` must be unique; the whole league may be the group."""
     within = list(within)
-    numbered = over_ordered(df, within, order, [Running("_place", F.lit(1), "count")])
+    numbered = over_ordered(df, within, order, [Running("_place", F.lit(1), "count")], bounded_by=bounded_by)
     sizes = df.groupBy(*within).agg(F.count(F.lit(1)).alias("_size"))
     joined = null_safe_join(numbered, sizes, within, "inner")
     value = F.when(F.col("_size") <= 1, F.lit(0.5)).otherwise(

@@ -216,11 +216,12 @@ def team_form(
 
 
 def own_opponent_form(
-    df: DataFrame, team: str, opponent: str, game: str, order: Sequence, measures: Sequence[str], prefix="own_opponent_"
+    df: DataFrame, team: str, opponent: str, game: str, order: Sequence, measures: Sequence[str], prefix="own_opponent_",
+    bounded_by: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Form the opponent itself brought into the game: its own previous known
     value and means, taken from its row of the same game."""
-    formed = rolling_form(df, [team], order, measures)
+    formed = rolling_form(df, [team], order, measures, bounded_by=bounded_by)
     names = [c for c in formed.columns if c not in df.columns]
     theirs = formed.select(
         F.col(game).alias("_game"), F.col(team).alias("_team"), *[F.col(n).alias(prefix + n) for n in names]

@@ -48,9 +48,12 @@ def hit_rates_last_n(
     hits: dict[str, Column],
     totals: dict[str, Column] | None = None,
     sizes: Sequence[int] = (5, 10, 15, 20),
+    streaks: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Hits, totals and row counts over the newest 5, 10, 15 and 20 rows, all
-    sizes from one pass: columns ``<name>_last_<n>`` and ``n_last_<n>``."""
+    sizes from one pass: columns ``<name>_last_<n>`` and ``n_last_<n>``. Each of
+    ``streaks`` counts how many of the newest rows in a row meet a condition,
+    within the largest size."""
     recent = newest_rows(df, entity, newest_first, max(sizes))
     columns = []
     for n in sizes:
@@ -60,4 +63,7 @@ def hit_rates_last_n(
             F.sum(F.when(inside, F.coalesce(c, F.lit(0)))).alias(f"{name}_last_{n}") for name, c in (totals or {}).items()
         ]
         columns.append(F.count_if(inside).alias(f"n_last_{n}"))
+    for name, c in (streaks or {}).items():
+        broken = F.min(F.when(~F.coalesce(c, F.lit(False)), F.col("_rn")))
+        columns.append(F.coalesce(broken - 1, F.count(F.lit(1))).cast("long").alias(name))
     return recent.groupBy(*entity).agg(*columns)

@@ -196,7 +196,9 @@ def faced_opponent_form(spark, folder):
 )
 def own_opponent(spark, folder):
     games = nation_games(spark, folder).select("game", "d", "team", "opponent", "pointsFor")
-    return own_opponent_form(games, "team", "opponent", "game", ["d", "game"], ["pointsFor"]).drop("d", "pointsFor")
+    bound = [table(spark, folder, "orders")] * 2
+    formed = own_opponent_form(games, "team", "opponent", "game", ["d", "game"], ["pointsFor"], bounded_by=bound)
+    return formed.drop("d", "pointsFor")
 
 
 _SEASON = "PARTITION BY o_custkey, YEAR(o_orderdate) ORDER BY CAST(o_orderdate AS DATE), o_orderkey ROWS UNBOUNDED PRECEDING"

@@ -110,7 +110,8 @@ def latest_team_date_flag(spark, folder):
 def latest_matchup_counter(spark, folder):
     games = nation_games(spark, folder).select("game", "team", "opponent", "d")
     counted = newest_first_counter(
-        games, ["team", "opponent"], [F.col("d").desc(), F.col("game").desc()], "counter", flag="met_before"
+        games, ["team", "opponent"], [F.col("d").desc(), F.col("game").desc()], "counter", flag="met_before",
+        bounded_by=[table(spark, folder, "orders")] * 2,
     )
     return counted.select("game", "team", "counter", F.col("met_before").cast("int").alias("met_before"))
 
@@ -126,6 +127,6 @@ def season_percentile(spark, folder):
     orders = dated_orders(spark, folder, "o_orderkey", "o_custkey", "o_totalprice")
     averages = season_averages(orders, "o_custkey", "o_orderkey", {"o_totalprice": "avg_price"}, min_games=5)
     ranked = ordinal_percentile(
-        averages.select("o_custkey", "avg_price"), [F.col("avg_price").desc(), F.col("o_custkey")], "percentile"
+        averages.select("o_custkey", "avg_price"), [F.col("avg_price").desc(), F.col("o_custkey")], "percentile", bounded_by=[orders]
     )
     return ranked
