@@ -21,7 +21,7 @@ from formline.functions.play import (
     situation,
 )
 from formline.operators.joins import null_safe_join
-from formline.operators.matching import first_within_tolerance, totals_inside
+from formline.operators.matching import first_within_tolerance, merge_intervals, totals_inside
 from formline.operators.ordered import Framed, over_ordered
 from formline.operators.shape import all_plus_each
 
@@ -274,13 +274,14 @@ def individual_counts(events: DataFrame, game: Sequence[str] = ("game_id",)) ->
     return acts.groupBy(*game, "player_id", "code").agg(*columns)
 
 
+# Attempts that are counted on the ice, by event type.
 ICE_KINDS = {"saved": "shot-on-goal", "goals": "goal", "missed": "missed-shot", "blocked": "blocked-shot"}
 OWNERS = ("own", "other", "unowned")
 
 
-def _ice_measures(events: DataFrame, game) -> tuple[DataFrame, list[str]]:
-    """Attempts as narrow 0/1 measures per owner and class, both told from the
-    home side; a player's side is applied to the sums afterwards."""
+def _attempts(events: DataFrame, game) -> DataFrame:
+    """Attempts with their class as seen by nobody's side: ``_owner`` (home,
+    away, third, unowned) and ``_view`` (the situation of the home team)."""
     home_view = situation(F.coalesce("code", F.lit(EVEN_STRENGTH_CODE)), F.lit(True))
     owner = (
         F.when(F.col("owner_id") == F.col("home_id"), "home")
@@ -288,44 +289,34 @@ def _ice_measures(events: DataFrame, game) -> tuple[DataFrame, list[str]]:
         .when(F.col("owner_id").isNotNull(), "third")
         .otherwise("unowned")
     )
-    rows = events.filter(F.col("type").isin(*ATTEMPT_EVENTS)).select(
-        *game, "period", clock_seconds("clock").alias("at"), "type", home_view.alias("_view"), owner.alias("_owner")
+    return events.filter(F.col("type").isin(*ATTEMPT_EVENTS)).select(
+        *game,
+        "period",
+        clock_seconds("clock").alias("at"),
+        owner.alias("_owner"),
+        home_view.alias("_view"),
+        *[(F.col("type") == kind).cast("long").alias(name) for name, kind in ICE_KINDS.items()],
+    )
+
+
+def _seen_by_player(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """Class sums per player -> one row per (keys, situation of the player's
+    side) with ``<prefix>_<own|other|unowned>_<kind>``."""
+    at_home = F.col("is_home")
+    mine = F.when(at_home, "home").otherwise("away")
+    whose = (
+        F.when(F.col("_owner") == "unowned", "unowned").when(F.col("_owner") == mine, "own").otherwise("other")
+    )
+    mirrored = (
+        F.when(F.col("_view") == POWER_PLAY, PENALTY_KILL).when(F.col("_view") == PENALTY_KILL, POWER_PLAY).otherwise(EVEN)
+    )
+    told = df.select(
+        *keys, *ICE_KINDS, whose.alias("_whose"), F.when(at_home, F.col("_view")).otherwise(mirrored).alias("situation")
     )
-    columns, names = [], []
-    for o in ("home", "away", "third", "unowned"):
-        for v in (POWER_PLAY, PENALTY_KILL, EVEN):
-            for name, kind in ICE_KINDS.items():
-                met = (F.col("_owner") == o) & (F.col("_view") == v) & (F.col("type") == kind)
-                names.append(f"{o}_{v}_{name}")
-                columns.append(met.cast("long").alias(names[-1]))
-    return rows.select(*game, "period", "at", *columns), names
-
-
-def _to_player_view(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Sums told from the home side -> one row per situation of the player's
-    side with ``own/other/unowned`` × kind sums."""
-    views = []
-    for s in SITUATIONS:
-        fields = []
-        for target in OWNERS:
-            for name in ICE_KINDS:
-                def side(home: bool):
-                    owners = {
-                        "own": ["home" if home else "away"],
-                        "other": ["away" if home else "home", "third"],
-                        "unowned": ["unowned"],
-                    }[target]
-                    mirrored = {POWER_PLAY: PENALTY_KILL, PENALTY_KILL: POWER_PLAY}
-                    wanted = (POWER_PLAY, PENALTY_KILL, EVEN) if s == "all" else (s if home else mirrored.get(s, s),)
-                    parts = [F.col(f"{o}_{v}_{name}") for o in owners for v in wanted]
-                    total = parts[0]
-                    for p in parts[1:]:
-                        total = total + p
-                    return total
-
-                fields.append(F.when(F.col("is_home"), side(True)).otherwise(side(False)).alias(f"{target}_{name}"))
-        views.append(F.struct(F.lit(s).alias("situation"), *fields))
-    return df.select(*keep, F.explode(F.array(*views)).alias("_v")).select(*keep, "_v.*")
+    sums = [
+        F.sum(F.when(F.col("_whose") == o, F.col(k)).otherwise(0)).alias(f"{prefix}_{o}_{k}") for o in OWNERS for k in ICE_KINDS
+    ]
+    return all_plus_each(told, keys, "situation", sums)
 
 
 def ice_time(events: DataFrame, shifts: DataFrame, players: DataFrame, game: Sequence[str] = ("game_id",)) -> DataFrame:
@@ -371,30 +362,30 @@ def player_stats(
         sided, [*game, "player_id"], "situation", [F.sum(c).alias(c) for c in own_counts]
     )
 
-    measures, names = _ice_measures(events, game)
+    attempts = _attempts(events, game)
+    classes = ["_owner", "_view"]
     spans = shifts.select(
         *game, "player_id", "period", clock_seconds("startTime").alias("_from"), clock_seconds("endTime").alias("_to")
     )
-    on_ice = totals_inside(measures, spans, [*game, "period"], ["player_id"], "at", "_from", "_to", names, bounded_by)
-    on_ice = on_ice.groupBy(*game, "player_id").agg(*[F.sum(n).alias(n) for n in names])
-    totals = measures.groupBy(*game).agg(*[F.sum(n).alias(f"_all_{n}") for n in names])
-    shifted = shifts.select(*game).distinct().withColumn("has_shifts", F.lit(True))
+    spans = merge_intervals(spans, [*game, "player_id", "period"], "_from", "_to", bounded_by)
+    # A span is looked at once per class of attempts its period has seen.
+    spans = spans.join(attempts.select(*game, "period", *classes).distinct(), [*game, "period"], "inner")
+    on_ice = totals_inside(
+        attempts, spans, [*game, "period", *classes], ["player_id"], "at", "_from", "_to", list(ICE_KINDS), bounded_by, merged=True
+    )
+    members = players.select(*game, "player_id", "is_home")
+    on_ice = _seen_by_player(on_ice.join(members, [*game, "player_id"], "inner"), [*game, "player_id"], "on")
+    totals = attempts.groupBy(*game, *classes).agg(*[F.sum(k).alias(k) for k in ICE_KINDS])
+    whole = _seen_by_player(members.join(totals, list(game), "inner"), [*game, "player_id"], "all")
 
+    shifted = shifts.select(*game).distinct().withColumn("has_shifts", F.lit(True))
     base = players.join(shifted, list(game), "left").fillna({"has_shifts": False})
-    on = null_safe_join(base.select(*game, "player_id", "is_home"), on_ice, [*game, "player_id"], "left").fillna(0)
-    all_play = null_safe_join(base.select(*game, "player_id", "is_home"), totals, list(game), "left").fillna(0)
-    all_play = all_play.withColumnsRenamed({f"_all_{n}": n for n in names})
     keys = [*game, "player_id", "situation"]
-    on = _to_player_view(on, [*game, "player_id"]).withColumnsRenamed(
-        {f"{o}_{k}": f"on_{o}_{k}" for o in OWNERS for k in ICE_KINDS}
-    )
-    whole = _to_player_view(all_play, [*game, "player_id"])
-
     cells = base.withColumn("situation", F.explode(F.array(*[F.lit(s) for s in SITUATIONS])))
-    out = null_safe_join(cells, individual, keys, "left")
-    out = null_safe_join(out, ice_time(events, shifts, players, game), keys, "left")
-    out = out.fillna(0, subset=[*own_counts, "icetime", "shifts"])
-    out = null_safe_join(null_safe_join(out, on, keys, "left"), whole, keys, "left")
+    out = cells
+    for part in (individual, ice_time(events, shifts, players, game), on_ice, whole):
+        out = null_safe_join(out, part, keys, "left")
+    out = out.fillna(0, subset=[c for c in out.columns if c not in (*players.columns, "has_shifts", "situation")])
     return out.select(*players.columns, "has_shifts", "situation", *_player_columns(own_counts))
 
 
@@ -416,7 +407,7 @@ def _player_columns(own_counts: Sequence[str]) -> list[Column]:
         return F.col(f"on_{owner}_{kind}")
 
     def off(owner, kind):
-        return F.col(f"{owner}_{kind}") - on(owner, kind)
+        return F.col(f"all_{owner}_{kind}") - on(owner, kind)
 
     def against(where, kind):
         return where("other", kind) + where("unowned", kind)

@@ -106,18 +106,20 @@ def totals_inside(
     end: str,
     measures: Sequence[str],
     bounded_by: Sequence[DataFrame] = (),
+    merged: bool = False,
 ) -> DataFrame:
     """Sums of event measures inside each owner's intervals, per (keys, owner).
 
     Running sums over the events are read at the start and the end of each
     merged interval, and their differences are added up: no event is paired
-    with an interval, however many owners share the same events.
+    with an interval, however many owners share the same events. ``merged`` says
+    that an owner's intervals are disjoint already.
     """
-    merged = merge_intervals(intervals, [*keys, *owner], start, end, bounded_by)
+    spans = intervals if merged else merge_intervals(intervals, [*keys, *owner], start, end, bounded_by)
     per_time = events.groupBy(*keys, at).agg(*[F.sum(m).alias(m) for m in measures]).withColumn("_kind", F.lit(1))
     points = union_all(
-        merged.select(*keys, F.col(start).alias(at), F.lit(0).alias("_kind")),
-        merged.select(*keys, F.col(end).alias(at), F.lit(2).alias("_kind")),
+        spans.select(*keys, F.col(start).alias(at), F.lit(0).alias("_kind")),
+        spans.select(*keys, F.col(end).alias(at), F.lit(2).alias("_kind")),
     ).distinct()
     line = union_all(per_time, points)
     running = [Running(f"_s_{m}", F.coalesce(F.col(m), F.lit(0)), "sum") for m in measures]
@@ -125,8 +127,8 @@ def totals_inside(
     sums = [f"_s_{m}" for m in measures]
     opened = swept.filter("_kind = 0").select(*keys, F.col(at).alias(start), *[F.col(s).alias(f"{s}_0") for s in sums])
     closed = swept.filter("_kind = 2").select(*keys, F.col(at).alias(end), *[F.col(s).alias(f"{s}_1") for s in sums])
-    spans = null_safe_join(null_safe_join(merged, opened, [*keys, start], "inner"), closed, [*keys, end], "inner")
-    return spans.groupBy(*keys, *owner).agg(
+    bounded = null_safe_join(null_safe_join(spans, opened, [*keys, start], "inner"), closed, [*keys, end], "inner")
+    return bounded.groupBy(*keys, *owner).agg(
         *[F.sum(F.col(f"_s_{m}_1") - F.col(f"_s_{m}_0")).alias(m) for m in measures]
     )
 

@@ -11,6 +11,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Recording the call site of every column expression makes plans with
+    # hundreds of columns slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
