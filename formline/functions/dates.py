@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formline.functions.numbers import as_column
 
@@ -68,3 +70,35 @@ def within_days(date: Column | str, days: int, as_of: Column | None = None) -> C
 def local_date(instant: Column | str, zone: str = "America/New_York") -> Column:
     """Calendar date of a UTC instant in a zone."""
     return F.to_date(F.from_utc_timestamp(as_column(instant), zone))
+
+
+def as_day(value: str | date, plus: int = 0) -> date:
+    """A date from a date or ISO text, moved by ``plus`` days."""
+    day = date.fromisoformat(value[:10]) if isinstance(value, str) else value
+    return day + timedelta(days=plus)
+
+
+def day_range(df: DataFrame, column: str, first=None, last=None) -> Column:
+    """The row's day lies in [first, last]; either end may be open.
+
+    Written on the bare column when it is a date or a timestamp, so that the
+    condition reaches the scan and prunes files and partitions; a cast around
+    the column would keep it from there.
+    """
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        def low(v):
+            return c >= F.lit(as_day(v).isoformat()).cast(kind)
+
+        def high(v):
+            return c < F.lit(as_day(v, 1).isoformat()).cast(kind)
+    else:
+        day = c if isinstance(kind, T.DateType) else F.to_date(c)
+
+        def low(v):
+            return day >= F.lit(as_day(v))
+
+        def high(v):
+            return day <= F.lit(as_day(v))
+    parts = ([low(first)] if first is not None else []) + ([high(last)] if last is not None else [])
+    return F.lit(True) if not parts else parts[0] if len(parts) == 1 else parts[0] & parts[1]

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from formline.functions.dates import as_day, day_range
 from formline.functions.numbers import as_column
 from formline.operators.joins import broadcast_if_small, join_apart_from_nulls, left_join_many
 from formline.operators.lastknown import earliest_per_key
@@ -65,8 +66,7 @@ def join_schedule(
 
 def split_played(df: DataFrame, date: str, cutoff) -> tuple[DataFrame, DataFrame]:
     """(rows up to the cutoff date, rows after it)."""
-    day, last = F.to_date(F.col(date)), F.lit(cutoff).cast("date")
-    return df.filter(day <= last), df.filter(day > last)
+    return df.filter(day_range(df, date, last=cutoff)), df.filter(day_range(df, date, first=as_day(cutoff, 1)))
 
 
 def null_id_after(df: DataFrame, game: str, date: str, cutoff) -> DataFrame:
@@ -163,17 +163,18 @@ def first_games_of_slate(df: DataFrame, home: str, away: str, order: Sequence[st
 def best_available_date(df: DataFrame, date: str, requested, lookback: int = 7) -> DataFrame:
     """Rows of the requested date or, when it has none, of the nearest earlier
     date within ``lookback`` days."""
-    day, asked = F.to_date(F.col(date)), F.lit(requested).cast("date")
-    chosen = df.filter(day.between(F.date_sub(asked, lookback), asked)).agg(F.max(day).alias("_best"))
-    return df.join(F.broadcast(chosen), day == F.col("_best"), "inner").drop("_best")
+    near = df.filter(day_range(df, date, as_day(requested, -lookback), requested))
+    day = F.to_date(F.col(date))
+    return near.join(F.broadcast(near.agg(F.max(day).alias("_best"))), day == F.col("_best"), "inner").drop("_best")
 
 
 def next_date_after(df: DataFrame, date: str, after, condition: Column | None = None) -> DataFrame:
     """Rows of the earliest date after ``after`` among rows that meet the
     condition."""
+    later = df.filter(day_range(df, date, first=as_day(after, 1)))
+    rows = later if condition is None else later.filter(condition)
     day = F.to_date(F.col(date))
-    rows = df if condition is None else df.filter(condition)
-    chosen = rows.filter(day > F.lit(after).cast("date")).agg(F.min(day).alias("_next"))
+    chosen = rows.agg(F.min(day).alias("_next"))
     return rows.join(F.broadcast(chosen), day == F.col("_next"), "inner").drop("_next")
 
 

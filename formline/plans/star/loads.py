@@ -28,11 +28,12 @@ MAYBE = f"CASE WHEN o_orderstatus = 'P' THEN NULL ELSE {CHANGED} END"
 
 
 def _stored(spark, folder):
-    return dated_orders(spark, folder).filter(STORED).select("o_orderkey", "o_custkey", "o_totalprice")
+    return dated_orders(spark, folder, "o_orderkey", "o_custkey", "o_totalprice", last="2000-01-01")
 
 
 def _loaded(spark, folder, price=CHANGED):
-    return dated_orders(spark, folder).filter(LOADED).select("o_orderkey", "o_custkey", F.expr(price).alias("o_totalprice"))
+    loaded = dated_orders(spark, folder, first="1999-01-02")
+    return loaded.select("o_orderkey", "o_custkey", F.expr(price).alias("o_totalprice"))
 
 
 @query(

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formline.functions.dates import day_range
+from formline.operators.schedule import expand_schedule
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -26,9 +29,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def dated_orders(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Orders with a DATE ``o_orderdate`` and only the columns asked for."""
-    orders = table(spark, folder, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+def dated_orders(spark: SparkSession, folder: str, *columns: str, first=None, last=None) -> DataFrame:
+    """Orders of the days [first, last] with a DATE ``o_orderdate`` and only the
+    columns asked for."""
+    orders = table(spark, folder, "orders")
+    orders = orders.filter(day_range(orders, "o_orderdate", first, last)) if first or last else orders
+    orders = orders.withColumn("o_orderdate", F.to_date("o_orderdate"))
     return orders.select(*columns) if columns else orders
 
 
@@ -86,8 +92,6 @@ def nation_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 def nation_games(spark: SparkSession, folder: str) -> DataFrame:
     """Two rows per game, one per nation."""
-    from formline.operators.schedule import expand_schedule
-
     doubled = expand_schedule(nation_pairs(spark, folder), "home", "away", "team", "opponent", "side")
     at_home = F.col("side") == "HOME"
     return doubled.select(

@@ -247,8 +247,10 @@ def scalar_cross(spark, folder):
       (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2001-08-05' - INTERVAL 7 DAY AND DATE '2001-08-05')""",
 )
 def best_date(spark, folder):
-    orders = dated_orders(spark, folder, "o_orderkey", "o_orderdate")
-    return best_available_date(orders, "o_orderdate", "2001-08-05", 7).select("o_orderkey", text("o_orderdate").alias("d"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    return best_available_date(orders, "o_orderdate", "2001-08-05", 7).select(
+        "o_orderkey", F.to_date("o_orderdate").cast("string").alias("d")
+    )
 
 
 @query(
@@ -258,7 +260,7 @@ def best_date(spark, folder):
       (SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderstatus = 'O' AND CAST(o_orderdate AS DATE) > DATE '1999-12-24')""",
 )
 def next_date(spark, folder):
-    orders = dated_orders(spark, folder, "o_orderkey", "o_orderdate", "o_orderstatus")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     return next_date_after(orders, "o_orderdate", "1999-12-24", F.col("o_orderstatus") == "O").select("o_orderkey")
 
 

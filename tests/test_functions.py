@@ -97,3 +97,19 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT * FROM latest_stats('A')").count() == 3
     register_sample(spark, "some_rows", "game_rows", ["name", "day"], ["name", "day"], 4)
     assert spark.sql("SELECT * FROM some_rows()").count() == 4
+
+
+def test_day_ranges_reach_the_scan(spark, tmp_path):
+    from formline.functions.dates import day_range
+
+    stamps = [f"2024-01-0{d} 0{d}:30:00" for d in range(1, 8)]
+    raw = spark.createDataFrame([(s,) for s in stamps], "s string")
+    for kind in ("timestamp", "timestamp_ntz", "date", "string"):
+        path = str(tmp_path / kind)
+        raw.select(F.col("s").cast(kind).alias("d")).write.parquet(path)
+        df = spark.read.parquet(path)
+        kept = df.filter(day_range(df, "d", "2024-01-02", "2024-01-04"))
+        assert kept.count() == 3
+        if kind != "string":
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert "GreaterThanOrEqual(d," in plan and "LessThan" in plan.split("PushedFilters")[1]
