@@ -24,6 +24,17 @@ def earliest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], c
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*")
 
 
+def first_known_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str] | None = None, newest: bool = False
+) -> DataFrame:
+    """One row per key with each column's first (or newest) known value in
+    ``order``; the values may come from different rows."""
+    columns = [c for c in (columns or df.columns) if c not in keys]
+    pick = F.max_by if newest else F.min_by
+    at = F.struct(*order)
+    return df.groupBy(*keys).agg(*[pick(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in columns])
+
+
 def last_known_fill(
     df: DataFrame, history: DataFrame, levels: Sequence[tuple[Sequence[str], Sequence[str]]], order: Sequence[str]
 ) -> DataFrame:

@@ -96,6 +96,17 @@ def all_plus_each(df: DataFrame, keys: Sequence[str], situation: str, aggregates
     return rolled.withColumn(situation, named).drop("_total")
 
 
+def season_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], game: str | None = None, prefix: str = "") -> DataFrame:
+    """Summed measures per key, e.g. per player, team, season and situation;
+    with ``game`` also the number of distinct games, counted by grouping twice."""
+    if game is None:
+        return df.groupBy(*keys).agg(*[F.sum(m).alias(prefix + m) for m in measures])
+    per_game = df.groupBy(*keys, game).agg(*[F.sum(m).alias(m) for m in measures])
+    return per_game.groupBy(*keys).agg(
+        *[F.sum(m).alias(prefix + m) for m in measures], F.count(game).alias("games_played")
+    )
+
+
 def side_pivot(df: DataFrame, keys: Sequence[str], side: str, value: str, sides: dict[str, str]) -> DataFrame:
     """One column per side, e.g. HOME and AWAY team of a game."""
     return df.groupBy(*keys).agg(*[F.max(F.when(F.col(side) == s, F.col(value))).alias(a) for s, a in sides.items()])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from formline.operators.lastknown import last_known_fill
+from formline.operators.lastknown import first_known_per_key, last_known_fill
 from formline.operators.joins import null_safe_join
 from formline.operators.matching import with_scalar
 from formline.operators.schedule import (
@@ -308,3 +308,23 @@ def recent_stand_in(spark, folder):
     later = F.col("o_orderdate") > F.lit("2002-01-01").cast("date")
     newest = [F.desc("o_orderdate"), F.desc("o_orderkey")]
     return recent_as_upcoming(orders, "o_orderkey", newest, later).select("o_orderkey", "o_custkey")
+
+
+@query(
+    "first_known_per_key",
+    """
+    WITH o AS (SELECT *, CASE WHEN o_orderstatus = 'P' THEN o_totalprice END AS p, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END AS u FROM orders)
+    SELECT o_custkey, arg_min(p, (o_orderdate, o_orderkey)) FILTER (p IS NOT NULL) AS p, arg_min(u, (o_orderdate, o_orderkey)) FILTER (u IS NOT NULL) AS u FROM o GROUP BY 1""",
+)
+def first_known(spark, folder):
+    orders = dated_orders(
+        spark, folder, "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice"
+    )
+    rows = orders.select(
+        "o_custkey",
+        "o_orderdate",
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice")).alias("p"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey")).alias("u"),
+    )
+    return first_known_per_key(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["p", "u"])

@@ -14,6 +14,7 @@ from formline.operators.shape import (
     pivot_situation,
     prefix_columns,
     reorder_columns,
+    season_totals,
     situation_slice,
     swap_view,
     typed_nulls,
@@ -234,3 +235,13 @@ def prompts(spark, folder):
     customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
     noted = with_comments(customer, {"c_name": "Name", "c_mktsegment": "Market segment"})
     return prompt_text(noted, "Explain this customer.").select("c_custkey", "prompt")
+
+
+@query(
+    "season_totals",
+    """
+    SELECT l_suppkey, l_returnflag, SUM(l_quantity) AS "total_l_quantity", COUNT(DISTINCT l_orderkey) AS games_played FROM lineitem GROUP BY 1, 2""",
+)
+def totals_of_suppliers(spark, folder):
+    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_returnflag", "l_orderkey", "l_quantity")
+    return season_totals(lines, ["l_suppkey", "l_returnflag"], ["l_quantity"], "l_orderkey", "total_")

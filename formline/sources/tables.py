@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from formline.operators.quality import assert_unique
 from formline.operators.streaks import newest_rows
+from formline.sources.incremental import upsert
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -76,6 +77,16 @@ def export_keyed(df: DataFrame, path: str, keys: Sequence[str], partition_by: Se
     overwrite(assert_unique(df, keys, allow_null=False), path, partition_by)
 
 
+def create_or_merge(spark: SparkSession, new: DataFrame, current: str | None, target: str, keys: Sequence[str]) -> DataFrame:
+    """Keyed feature table: the rows of ``current`` (None at first) with the new
+    rows put over them, written to ``target`` and read back. The two paths
+    differ, so a failed write leaves the current table whole."""
+    rows = assert_unique(new, keys)
+    if current is not None:
+        rows = upsert(spark.read.parquet(current), rows, keys)
+    return solidify(rows, target)
+
+
 def backup(spark: SparkSession, tables: dict[str, str], target_root: str) -> DataFrame:
     """Copy tables (name -> path) below a folder and compare row counts."""
     report = None
