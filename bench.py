@@ -1,7 +1,9 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR names the data folder, BENCH_CPUS the local cores. Every query is
-run in full into the no-op sink; its time includes building the plan.
+built and run in full into the no-op sink twice; the second run is reported, so
+that code generation of the young JVM is left out ("first" holds the sum of the
+first runs). Building the plan, with its counts, is part of the time.
 """
 
 from __future__ import annotations
@@ -43,14 +45,25 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/orders.parquet").groupBy("o_custkey").count().write.format("noop").mode("overwrite").save()
-    times = {}
-    for name in names:
+
+    def timed(name: str) -> float:
         start = time.perf_counter()
         star.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
-    total = round(sum(times.values()), 3)
-    scale = Path(folder).name.removeprefix("sf")
-    print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": times, "sf": scale}))
+        return round(time.perf_counter() - start, 3)
+
+    first, times = {}, {}
+    for name in names:
+        first[name] = timed(name)
+        times[name] = timed(name)
+    result = {
+        "metric": "headline_queries_total",
+        "value": round(sum(times.values()), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": Path(folder).name.removeprefix("sf"),
+        "first": round(sum(first.values()), 3),
+    }
+    print(json.dumps(result))
     spark.stop()
 
 
