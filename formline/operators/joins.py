@@ -15,10 +15,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     """Equi join where null matches null; the left keys are kept.
 
     Serves ``inner``, ``left``, ``left_semi`` and ``left_anti``. ``<=>`` is
-    planned as an ordinary equi key, so no sentinel value is needed.
+    planned as an ordinary equi key, so no sentinel value is needed. Without
+    keys, ``right`` must be a one-row aggregate; its values are attached as
+    scalar subqueries.
     """
     if not on:
-        return left.crossJoin(right) if how in ("inner", "left") else left
+        if how not in ("inner", "left"):
+            raise ValueError("a join without keys attaches scalars only")
+        return left.select("*", *[right.select(c).scalar().alias(c) for c in right.columns])
     names = {key: f"_rk{i}" for i, key in enumerate(on)}
     marked = right.withColumnsRenamed(names)
     condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])

@@ -44,9 +44,14 @@ def last_known_fill(
     the opponent. One join per level, one coalesce per column.
     """
     filled, sources = df, {}
+    first_keys = list(levels[0][0])
+    every = list(dict.fromkeys(c for _, columns in levels for c in [*columns, *order]))
+    finest = latest_per_key(history, first_keys, order, [c for c in every if c not in first_keys])
     for i, (keys, columns) in enumerate(levels):
-        latest = latest_per_key(history, keys, order, [*columns])
-        latest = latest.withColumnsRenamed({c: f"_k{i}_{c}" for c in columns})
+        # A level whose keys are part of the first level's is reduced from that
+        # level's latest rows, and the history is aggregated once.
+        latest = finest if i == 0 else latest_per_key(finest if set(keys) <= set(first_keys) else history, keys, order)
+        latest = latest.select(*keys, *[F.col(c).alias(f"_k{i}_{c}") for c in columns])
         filled = null_safe_join(filled, latest, keys, "left")
         for c in columns:
             sources.setdefault(c, []).append(f"_k{i}_{c}")

@@ -64,6 +64,18 @@ def merge_intervals(
     return numbered.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
 
 
+def _interval_ends(spans: DataFrame, columns: Sequence[str], at: str, start: str, end: str, signs: tuple[int, int]) -> DataFrame:
+    """Two rows per interval: its start (``_kind`` 0, before the events of that
+    time) and its end (``_kind`` 2, after them), each with its sign."""
+    def edge(time, kind, sign):
+        return F.struct(F.col(time).alias("t"), F.lit(kind).alias("k"), F.lit(sign).cast("long").alias("s"))
+
+    both = F.array(edge(start, 0, signs[0]), edge(end, 2, signs[1]))
+    return spans.select(*columns, F.explode(both).alias("_x")).select(
+        *columns, F.col("_x.t").alias(at), F.col("_x.k").alias("_kind"), F.col("_x.s").alias("_sign")
+    )
+
+
 def inside_any_interval(
     events: DataFrame,
     intervals: DataFrame,
@@ -80,11 +92,8 @@ def inside_any_interval(
     a running sum, so the work grows with the inputs and never with the pairs
     of events and intervals.
     """
-    valid = intervals.filter(F.col(start) <= F.col(end))
-    edges = union_all(
-        valid.groupBy(*keys, F.col(start).alias(at)).agg(F.count(F.lit(1)).alias("_delta")).withColumn("_kind", F.lit(0)),
-        valid.groupBy(*keys, F.col(end).alias(at)).agg((-F.count(F.lit(1))).alias("_delta")).withColumn("_kind", F.lit(2)),
-    )
+    ends = _interval_ends(intervals.filter(F.col(start) <= F.col(end)), keys, at, start, end, (1, -1))
+    edges = ends.groupBy(*keys, at, "_kind").agg(F.sum("_sign").alias("_delta"))
     marked = events.withColumn("_delta", F.lit(0).cast("long")).withColumn("_kind", F.lit(1))
     swept = over_ordered(
         union_all(marked, edges),
@@ -110,26 +119,19 @@ def totals_inside(
 ) -> DataFrame:
     """Sums of event measures inside each owner's intervals, per (keys, owner).
 
-    Running sums over the events are read at the start and the end of each
-    merged interval, and their differences are added up: no event is paired
-    with an interval, however many owners share the same events. ``merged`` says
-    that an owner's intervals are disjoint already.
+    Starts and ends are put among the events in time order; running sums read
+    at an end minus those read at its start are added up per owner. There is
+    no join and no event is paired with an interval, however many owners share
+    the same events. ``merged`` says that an owner's intervals are disjoint
+    already.
     """
     spans = intervals if merged else merge_intervals(intervals, [*keys, *owner], start, end, bounded_by)
+    ends = _interval_ends(spans, [*keys, *owner], at, start, end, (-1, 1))
     per_time = events.groupBy(*keys, at).agg(*[F.sum(m).alias(m) for m in measures]).withColumn("_kind", F.lit(1))
-    points = union_all(
-        spans.select(*keys, F.col(start).alias(at), F.lit(0).alias("_kind")),
-        spans.select(*keys, F.col(end).alias(at), F.lit(2).alias("_kind")),
-    ).distinct()
-    line = union_all(per_time, points)
     running = [Running(f"_s_{m}", F.coalesce(F.col(m), F.lit(0)), "sum") for m in measures]
-    swept = over_ordered(line, keys, [at, "_kind"], running, bounded_by=bounded_by).filter("_kind <> 1")
-    sums = [f"_s_{m}" for m in measures]
-    opened = swept.filter("_kind = 0").select(*keys, F.col(at).alias(start), *[F.col(s).alias(f"{s}_0") for s in sums])
-    closed = swept.filter("_kind = 2").select(*keys, F.col(at).alias(end), *[F.col(s).alias(f"{s}_1") for s in sums])
-    bounded = null_safe_join(null_safe_join(spans, opened, [*keys, start], "inner"), closed, [*keys, end], "inner")
-    return bounded.groupBy(*keys, *owner).agg(
-        *[F.sum(F.col(f"_s_{m}_1") - F.col(f"_s_{m}_0")).alias(m) for m in measures]
+    swept = over_ordered(union_all(per_time, ends), keys, [at, "_kind"], running, bounded_by=bounded_by)
+    return swept.filter("_kind <> 1").groupBy(*keys, *owner).agg(
+        *[F.sum(F.col(f"_s_{m}") * F.col("_sign")).alias(m) for m in measures]
     )
 
 
@@ -218,8 +220,9 @@ def left_join_bounded(left: DataFrame, right: DataFrame, on: Sequence[str], boun
 
 
 def with_scalar(df: DataFrame, aggregates: DataFrame) -> DataFrame:
-    """Attach the single row of a global aggregate to every row."""
-    return df.crossJoin(F.broadcast(aggregates))
+    """Attach the columns of a one-row aggregate to every row, as scalar
+    subqueries: evaluated once, joined with nothing."""
+    return df.select("*", *[aggregates.select(c).scalar().alias(c) for c in aggregates.columns])
 
 
 def reconcile(stored: DataFrame, recomputed: DataFrame, keys: Sequence[str], column: str, tolerance: float = 0.005) -> DataFrame:

@@ -165,7 +165,7 @@ def best_available_date(df: DataFrame, date: str, requested, lookback: int = 7)
     date within ``lookback`` days."""
     near = df.filter(day_range(df, date, as_day(requested, -lookback), requested))
     day = F.to_date(F.col(date))
-    return near.join(F.broadcast(near.agg(F.max(day).alias("_best"))), day == F.col("_best"), "inner").drop("_best")
+    return near.filter(day == near.agg(F.max(day)).scalar())
 
 
 def next_date_after(df: DataFrame, date: str, after, condition: Column | None = None) -> DataFrame:
@@ -174,8 +174,7 @@ def next_date_after(df: DataFrame, date: str, after, condition: Column | None =
     later = df.filter(day_range(df, date, first=as_day(after, 1)))
     rows = later if condition is None else later.filter(condition)
     day = F.to_date(F.col(date))
-    chosen = rows.agg(F.min(day).alias("_next"))
-    return rows.join(F.broadcast(chosen), day == F.col("_next"), "inner").drop("_next")
+    return rows.filter(day == rows.agg(F.min(day)).scalar())
 
 
 def latest_date_plus(df: DataFrame, entity: Sequence[str], date: str, days: int = 2, alias: str = "next_date") -> DataFrame:

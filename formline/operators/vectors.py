@@ -41,9 +41,7 @@ def vector_top_k(
     small = df.sparkSession.createDataFrame(rows, asked.schema)
     packed = small.agg(F.collect_list(F.struct("q", "v")).alias("_queries"))
     scored = (
-        df.select(item_id, vector)
-        .crossJoin(F.broadcast(packed))
-        .select(item_id, vector, F.explode("_queries").alias("_q"))
+        df.select(item_id, vector, F.explode(packed.scalar()).alias("_q"))
         .select(F.col("_q.q").alias(query_id), item_id, score(F.col(vector), F.col("_q.v")).alias(alias))
     )
     best = newest_rows(scored, [query_id], [F.col(alias).desc_nulls_last(), F.col(item_id)], k, "rank")
