@@ -51,7 +51,9 @@ def _league(spark):
     return teams, players, spark.createDataFrame(schedule, "GAME_ID int, DATE string, HOME string, AWAY string")
 
 
-def _gold(spark, tmp_path, include_current="never"):
+@pytest.fixture(scope="module")
+def gold(spark, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("league")
     teams, facts, schedule = _league(spark)
 
     def written(df, name):
@@ -63,13 +65,13 @@ def _gold(spark, tmp_path, include_current="never"):
     ranks = written(m.silver_team_ranks(games), "ranks")
     players = written(m.silver_players(facts), "players")
     measures = ["player_Total_shotsOnGoal", "player_Total_icetime", "player_Total_iceTimeRank"]
-    form = written(m.gold_player_form(players, games, m.roster_of(players), measures, include_current), "form")
+    form = written(m.gold_player_form(players, games, m.roster_of(players), measures), "form")
     stats = [c for c in ranks.columns if c.startswith("perc_rank_rolling_game_Total") or c == "game_Total_shotsOnGoalFor"]
     return games, ranks, players, written(m.gold_model(form, m.gold_game_form(ranks, stats)), "model")
 
 
-def test_league_end_to_end(spark, tmp_path):
-    games, ranks, players, model = _gold(spark, tmp_path)
+def test_league_end_to_end(gold):
+    games, ranks, players, model = gold
     assert games.filter("gameId is not null").count() == 40
     assert games.filter("gameId is null").count() == 6
     assert games.filter("season <> 20232024").count() == 0
@@ -89,8 +91,8 @@ def test_league_end_to_end(spark, tmp_path):
         m.check_gold(model.unionByName(model.limit(1)), "2023-10-15")
 
 
-def test_form_is_leak_free_unless_asked(spark, tmp_path):
-    _, _, players, model = _gold(spark, tmp_path)
+def test_form_is_leak_free(gold):
+    _, _, players, model = gold
     order = ["gameDate", "gameId"]
     sog = [r[0] for r in players.filter("playerId = 'BOS1'").orderBy(*order).select("player_Total_shotsOnGoal").collect()]
     seen = [
