@@ -173,7 +173,7 @@ def zone_outputs(team: str, zone: str, inside: str = "continues_in", outside: st
 
 
 def rebounds_and_zones(
-    events: DataFrame, game: Sequence[str] = ("game_id",), bounded_by: Sequence[DataFrame] = ()
+    events: DataFrame, game: Sequence[str] = ("game_id",), bounded_by: Sequence[DataFrame] | int = ()
 ) -> DataFrame:
     """Rebounds, rebound goals and zone continuations For/Against per (game,
     team, situation); Against counts are the other team's in the same list."""
@@ -209,7 +209,7 @@ def team_stats(
     events: DataFrame,
     games: DataFrame | None = None,
     game: Sequence[str] = ("game_id",),
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """All team statistics: one row per (game, team, situation), four
     situations for each team of each game, zero where nothing happened."""
@@ -344,7 +344,7 @@ def player_stats(
     shifts: DataFrame,
     players: DataFrame,
     game: Sequence[str] = ("game_id",),
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """All player statistics: one row per (game, player, situation).
 

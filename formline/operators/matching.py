@@ -52,7 +52,7 @@ def two_tier_lookup(
 
 
 def merge_intervals(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, bounded_by: Sequence[DataFrame] = ()
+    df: DataFrame, keys: Sequence[str], start: str, end: str, bounded_by: Sequence[DataFrame] | int = ()
 ) -> DataFrame:
     """Overlapping or touching intervals of one key joined into one."""
     valid = df.filter(F.col(start) <= F.col(end)).groupBy(*keys, start).agg(F.max(end).alias(end))
@@ -84,7 +84,7 @@ def inside_any_interval(
     start: str,
     end: str,
     alias: str = "inside",
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """1/0 flag: the event falls into an interval of its key, ends included.
 
@@ -114,7 +114,7 @@ def totals_inside(
     start: str,
     end: str,
     measures: Sequence[str],
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
     merged: bool = False,
 ) -> DataFrame:
     """Sums of event measures inside each owner's intervals, per (keys, owner).

@@ -68,16 +68,18 @@ def hot_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], bounded_by: Sequence[DataFrame] = ()) -> DataFrame | None:
+def hot_groups(df: DataFrame, keys: Sequence[str], bounded_by: Sequence[DataFrame] | int = ()) -> DataFrame | None:
     """Groups of ``df`` above the limit as (keys, ``_rows``), or None.
 
-    ``bounded_by`` names frames whose summed row count is an upper bound of the
-    rows of ``df``; counting a plain scan reads file footers only, so small
-    inputs skip the grouping.
+    ``bounded_by`` is an upper bound of the rows of ``df``, or frames whose
+    summed row count is one; counting a plain scan reads file footers only, so
+    small inputs skip the grouping.
     """
     limit = hot_limit(df.sparkSession)
-    if bounded_by and sum(f.count() for f in bounded_by) <= limit:
-        return None
+    if bounded_by:
+        bound = bounded_by if isinstance(bounded_by, int) else sum(f.count() for f in bounded_by)
+        if bound <= limit:
+            return None
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
     listed = counted.orderBy(F.desc("_rows")).limit(MAX_LISTED_KEYS + 1).collect()
     if not listed:
@@ -103,7 +105,7 @@ def over_ordered(
     order: Sequence,
     outputs: Sequence[Running | Framed],
     hot: DataFrame | None | str = "measure",
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """Append ``outputs`` evaluated per ``keys`` in ``order``.
 

@@ -28,7 +28,7 @@ def rank_form(
     percent: bool = True,
     digits: int = 2,
     hot="measure",
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """``rank_<m>`` (1 is best) and ``perc_rank_<m>`` = 1 − percent rank.
 
@@ -97,7 +97,7 @@ def latest_date_flag(df: DataFrame, entity: Sequence[str], date: str, alias: str
 
 def newest_first_counter(
     df: DataFrame, entity: Sequence[str], newest_first: Sequence, alias: str, flag: str | None = None, flag_from: int = 2,
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """Row number with the newest row first; ``flag`` marks numbers from
     ``flag_from`` on."""
@@ -105,7 +105,7 @@ def newest_first_counter(
     return counted.withColumn(flag, F.col(alias) >= flag_from) if flag else counted
 
 
-def ordinal_percentile(df: DataFrame, order: Sequence, alias: str, digits: int = 4, within: Sequence[str] = (), bounded_by: Sequence[DataFrame] = ()) -> DataFrame:
+def ordinal_percentile(df: DataFrame, order: Sequence, alias: str, digits: int = 4, within: Sequence[str] = (), bounded_by: Sequence[DataFrame] | int = ()) -> DataFrame:
     """(n − 1 − i) / (n − 1) for the i-th row, 0.5 when the group has one row.
     ``order`` must be unique; the whole league may be the group."""
     within = list(within)

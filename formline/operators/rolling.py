@@ -42,7 +42,7 @@ def rolling_form(
     zero_fill: Callable[[str], bool] | None = None,
     extra: Sequence[Running | Framed] = (),
     hot="measure",
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """Append ``previous_<m>`` (last known value strictly before the row) and
     ``average_<m>_last_<n>_games`` for every measure.
@@ -120,7 +120,7 @@ def running_totals(
     games: str | None = None,
     digits: int = 2,
     hot="measure",
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """``rolling_<m>``: running sum; with ``games`` also ``rolling_per_game_<m>``."""
     outputs = [Running(f"_r{i}", F.col(m), "sum") for i, m in enumerate(measures)]
@@ -187,7 +187,7 @@ def team_form(
     matchup_games: str,
     include_current: str = "always",
     digits: int = 2,
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """Form of the team, of what was done against the opponent faced, and of
     the matchup. While too few games are played (previous: 2, last-3: 4,
@@ -217,7 +217,7 @@ def team_form(
 
 def own_opponent_form(
     df: DataFrame, team: str, opponent: str, game: str, order: Sequence, measures: Sequence[str], prefix="own_opponent_",
-    bounded_by: Sequence[DataFrame] = (),
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """Form the opponent itself brought into the game: its own previous known
     value and means, taken from its row of the same game."""
@@ -239,14 +239,15 @@ def season_hit_rate(
     thresholds: Sequence[int] = (2, 3),
     pattern: str = "hit_rate_{}plus",
     min_games: int = 1,
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """Hits so far / games so far, null until more than ``min_games`` games.
-    Rows of the same date share the sum, so hits are summed per date before
-    the window: a group holds one row per date however many facts it has."""
+    Rows of the same date share the sum, so hits are summed per date first: a
+    group holds one row per date however many facts it has."""
     flags = {t: at_least(value, t) for t in thresholds}
     daily = df.groupBy(*entity, date).agg(*[F.sum(f).alias(f"_h{t}") for t, f in flags.items()])
-    window = Window.partitionBy(*entity).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    sums = daily.select(*entity, date, *[F.sum(f"_h{t}").over(window).alias(f"_s{t}") for t in thresholds])
+    running = [Running(f"_s{t}", F.col(f"_h{t}"), "sum") for t in thresholds]
+    sums = over_ordered(daily, entity, [date], running, bounded_by=bounded_by).drop(*[f"_h{t}" for t in thresholds])
     return null_safe_join(df, sums, [*entity, date], "left").select(
         *df.columns,
         *[

@@ -9,10 +9,13 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formline.functions.numbers import round_half_up
+from formline.operators.joins import null_safe_join
+from formline.operators.matching import with_scalar
+from formline.operators.ordered import Running, over_ordered
 from formline.operators.quality import QualityError
 from formline.sources.tables import overwrite
 
@@ -116,7 +119,7 @@ def hash_split(df: DataFrame, keys: Sequence[str], parts: dict[str, int] | None
     parts = parts or {"train": 60, "validate": 20, "test": 20}
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
     place = F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % 100
-    return df.withColumn(alias, _by_share(place, parts, 1))
+    return df.withColumn(alias, _by_share(place, parts))
 
 
 def time_split(df: DataFrame, date: str, parts: dict[str, int] | None = None, alias: str = "part") -> DataFrame:
@@ -124,19 +127,19 @@ def time_split(df: DataFrame, date: str, parts: dict[str, int] | None = None, al
     the rank, so it is taken over per-date counts, never over the rows."""
     parts = parts or {"train": 60, "validate": 20, "test": 20}
     counts = df.groupBy(date).agg(F.count(F.lit(1)).alias("_n"))
-    in_time = Window.orderBy(date)
-    before = F.coalesce(F.sum("_n").over(in_time.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    whole = F.sum("_n").over(Window.partitionBy())
-    ranked = counts.select(date, F.coalesce(F.try_divide(before * 100.0, whole - 1), F.lit(0.0)).alias("_place"))
-    joined = df.join(ranked, date, "left")
-    return joined.select(*df.columns, _by_share(F.col("_place"), parts, 1).alias(alias))
+    before = Running("_before", F.col("_n"), "sum", strict=True)
+    placed = with_scalar(over_ordered(counts, [], [date], [before]), df.agg(F.count(F.lit(1)).alias("_all")))
+    share = F.try_divide(F.coalesce(F.col("_before"), F.lit(0)) * 100.0, F.col("_all") - 1)
+    ranked = placed.select(date, F.coalesce(share, F.lit(0.0)).alias("_place"))
+    joined = null_safe_join(df, ranked, [date], "left")
+    return joined.select(*df.columns, _by_share(F.col("_place"), parts).alias(alias))
 
 
-def _by_share(place: Column, parts: dict[str, int], scale: int) -> Column:
+def _by_share(place: Column, parts: dict[str, int]) -> Column:
     chain, upper = None, 0
     names = list(parts)
     for name in names[:-1]:
-        upper += parts[name] * scale
+        upper += parts[name]
         chain = F.when(place < upper, name) if chain is None else chain.when(place < upper, name)
     return chain.otherwise(names[-1])
 

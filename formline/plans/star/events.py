@@ -21,7 +21,7 @@ from formline.operators.events import (
     team_stats,
 )
 from formline.operators.matching import first_within_tolerance, inside_any_interval, merge_intervals, totals_inside
-from formline.plans.star.registry import query, r2, table
+from formline.plans.star.registry import query, r2, row_bound, table
 
 PLAY_TYPES = {"view": "shot-on-goal", "purchase": "goal", "click": "missed-shot", "error": "blocked-shot", "signup": "hit"}
 CODES = {"0": "1551", "1": "1451", "2": "1541"}
@@ -156,7 +156,7 @@ _SEQUENCE = "PARTITION BY game_id, team_id, sit ORDER BY event_index"
     FROM f GROUP BY game_id, team_id, sit""",
 )
 def rebounds(spark, folder):
-    found = rebounds_and_zones(plays(spark, folder), bounded_by=[table(spark, folder, "events")] * 4)
+    found = rebounds_and_zones(plays(spark, folder), bounded_by=row_bound(spark, folder, "events", 4))
     return found.select("game_id", "team_id", "situation", "reboundsFor", "reboundGoalsFor", "reboundsAgainst", "reboundGoalsAgainst")
 
 
@@ -170,7 +170,7 @@ def rebounds(spark, folder):
     FROM f GROUP BY game_id, team_id, sit""",
 )
 def zone_continuation(spark, folder):
-    found = rebounds_and_zones(plays(spark, folder), bounded_by=[table(spark, folder, "events")] * 4)
+    found = rebounds_and_zones(plays(spark, folder), bounded_by=row_bound(spark, folder, "events", 4))
     return found.select(
         "game_id", "team_id", "situation", "playContinuedInZoneFor", "playContinuedOutsideZoneFor", "playContinuedInZoneAgainst"
     )
@@ -187,7 +187,7 @@ def zone_continuation(spark, folder):
     ON g.game_id = c.game_id AND t.team_id = c.team_id AND s.sit = c.sit""",
 )
 def team_game_stats(spark, folder):
-    return team_stats(plays(spark, folder), bounded_by=[table(spark, folder, "events")] * 4).select(
+    return team_stats(plays(spark, folder), bounded_by=row_bound(spark, folder, "events", 4)).select(
         "game_id", "team_id", F.col("is_home").cast("int").alias("is_home"), "situation", "shotsOnGoalFor"
     )
 
@@ -214,7 +214,7 @@ def events_in_interval(spark, folder):
     p = plays(spark, folder)
     flagged = inside_any_interval(
         p, _shifts_of_users(spark, folder), ["game_id", "player_id", "period"], "sec", "s0", "s1",
-        bounded_by=[table(spark, folder, "events")] * 3,
+        bounded_by=row_bound(spark, folder, "events", 3),
     )
     return flagged.select("event_index", "inside")
 
@@ -228,7 +228,7 @@ def events_in_interval(spark, folder):
     SELECT game_id, CAST(player AS VARCHAR) AS player_id, period, MIN(s0) AS s0, MAX(s1) AS s1 FROM i GROUP BY game_id, player, period, island""",
 )
 def merged_intervals(spark, folder):
-    return merge_intervals(_shifts_of_users(spark, folder), ["game_id", "player_id", "period"], "s0", "s1", [table(spark, folder, "events")])
+    return merge_intervals(_shifts_of_users(spark, folder), ["game_id", "player_id", "period"], "s0", "s1", row_bound(spark, folder, "events"))
 
 
 @query(
@@ -242,7 +242,7 @@ def totals_in_intervals(spark, folder):
     p = plays(spark, folder).withColumn("n", F.lit(1)).withColumn("n_home", (F.col("owner_id") == "A").cast("int"))
     sums = totals_inside(
         p, _shifts_of_users(spark, folder), ["game_id", "period"], ["player_id"], "sec", "s0", "s1", ["n", "n_home"],
-        bounded_by=[table(spark, folder, "events")] * 3,
+        bounded_by=row_bound(spark, folder, "events", 3),
     )
     return sums.groupBy("game_id", "player_id").agg(F.sum("n").alias("n"), F.sum("n_home").alias("n_home"))
 
@@ -329,7 +329,7 @@ def player_game_stats(spark, folder):
         clock(F.col("s1")).alias("endTime"),
         clock(F.col("s1") - F.col("s0")).alias("duration"),
     )
-    stats = player_stats(_acting(p), shifts, roster, bounded_by=[table(spark, folder, "events")] * 3)
+    stats = player_stats(_acting(p), shifts, roster, bounded_by=row_bound(spark, folder, "events", 25))
     whole = F.col("situation") == "all"
     return stats.select(
         "game_id",

@@ -20,7 +20,7 @@ from formline.operators.rolling import (
     season_hit_rate,
     team_form,
 )
-from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games, query, r2, table
+from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games, query, r2, row_bound, table
 
 KNOWN_PRICE = "CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE o_totalprice END"
 BY_CUSTOMER = "PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey"
@@ -53,7 +53,7 @@ def form_prev_last3_last7(spark, folder):
         ["o_orderdate", "o_orderkey"],
         ["price"],
         extra=[Running("orders_so_far", F.col("o_orderkey"), "count"), is_latest("is_latest")],
-        bounded_by=[table(spark, folder, "orders")],
+        bounded_by=row_bound(spark, folder, "orders"),
     )
     return formed.drop("o_orderdate", "price")
 
@@ -149,7 +149,7 @@ def _trio(prefix, partition, counter):
 )
 def team_form_median_warmup(spark, folder):
     games = nation_games(spark, folder).select("game", "d", "team", "opponent", "pointsFor")
-    order, bound = ["d", "game"], [table(spark, folder, "orders")] * 2
+    order, bound = ["d", "game"], row_bound(spark, folder, "orders", 2)
     counted = games_played(games, ["team"], order, "game", "n_team", bounded_by=bound)
     counted = games_played(counted, ["team", "opponent"], order, "game", "n_matchup", bounded_by=bound)
     formed = team_form(
@@ -176,7 +176,7 @@ def faced_opponent_form(spark, folder):
         ["pointsFor"],
         windows=[3],
         prefix="opponent_",
-        bounded_by=[table(spark, folder, "orders")] * 2,
+        bounded_by=row_bound(spark, folder, "orders", 2),
     )
     return formed.drop("d", "pointsFor")
 
@@ -196,7 +196,7 @@ def faced_opponent_form(spark, folder):
 )
 def own_opponent(spark, folder):
     games = nation_games(spark, folder).select("game", "d", "team", "opponent", "pointsFor")
-    bound = [table(spark, folder, "orders")] * 2
+    bound = row_bound(spark, folder, "orders", 2)
     formed = own_opponent_form(games, "team", "opponent", "game", ["d", "game"], ["pointsFor"], bounded_by=bound)
     return formed.drop("d", "pointsFor")
 
@@ -217,7 +217,7 @@ def running_sum_per_game(spark, folder):
     orders = dated_orders(spark, folder, "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").withColumn(
         "season", F.year("o_orderdate")
     )
-    order, bound = ["o_orderdate", "o_orderkey"], [orders]
+    order, bound = ["o_orderdate", "o_orderkey"], row_bound(spark, folder, "orders")
     counted = games_played(orders, ["o_custkey", "season"], order, "o_orderkey", "n_season", bounded_by=bound)
     summed = running_totals(
         counted, ["o_custkey", "season"], order, ["o_totalprice"], games="n_season", bounded_by=bound
@@ -273,7 +273,7 @@ def ratio_per_opportunity(spark, folder):
 def lag_keeps_nulls(spark, folder):
     orders = _priced(spark, folder)
     return previous_row(
-        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["price"], bounded_by=[table(spark, folder, "orders")]
+        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["price"], bounded_by=row_bound(spark, folder, "orders")
     ).select("o_orderkey", "lag_price")
 
 
@@ -306,10 +306,10 @@ def _user_days(spark, folder):
 )
 def season_hits(spark, folder):
     events = _user_days(spark, folder)
-    counted = games_played(events, ["user_id"], ["ts", "event_id"], "event_id", "n", bounded_by=[events])
-    return season_hit_rate(counted, ["user_id"], "d", "value", "n", thresholds=(20, 60)).drop(
-        "user_id", "ts", "value", "d"
-    )
+    bound = row_bound(spark, folder, "events")
+    counted = games_played(events, ["user_id"], ["ts", "event_id"], "event_id", "n", bounded_by=bound)
+    rated = season_hit_rate(counted, ["user_id"], "d", "value", "n", thresholds=(20, 60), bounded_by=bound)
+    return rated.drop("user_id", "ts", "value", "d")
 
 
 def _recent_sql(entity, row_id, source, value, low, high, days):

@@ -14,7 +14,7 @@ from formline.operators.ranking import (
 )
 from formline.operators.rolling import games_played, running_totals
 from formline.plans.reports import season_averages
-from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games, query, r2, table
+from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games, query, r2, row_bound, table
 
 
 def _ranked(measure, direction, within):
@@ -50,7 +50,7 @@ def rank_direction_aware(spark, folder):
 )
 def rank_by_games_played(spark, folder):
     games = nation_games(spark, folder)
-    bound = [table(spark, folder, "orders")] * 2
+    bound = row_bound(spark, folder, "orders", 2)
     counted = games_played(games, ["team"], ["d", "game"], "game", "n", bounded_by=bound)
     rolled = running_totals(
         counted, ["team"], ["d", "game"], ["pointsFor", "pointsAgainst"], games="n", bounded_by=bound
@@ -111,7 +111,7 @@ def latest_matchup_counter(spark, folder):
     games = nation_games(spark, folder).select("game", "team", "opponent", "d")
     counted = newest_first_counter(
         games, ["team", "opponent"], [F.col("d").desc(), F.col("game").desc()], "counter", flag="met_before",
-        bounded_by=[table(spark, folder, "orders")] * 2,
+        bounded_by=row_bound(spark, folder, "orders", 2),
     )
     return counted.select("game", "team", "counter", F.col("met_before").cast("int").alias("met_before"))
 

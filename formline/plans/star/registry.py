@@ -29,6 +29,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def row_bound(spark: SparkSession, folder: str, name: str, times: int = 1) -> int:
+    """Upper bound of the rows derived from a base table, for ``bounded_by``."""
+    return table(spark, folder, name).count() * times
+
+
 def dated_orders(spark: SparkSession, folder: str, *columns: str, first=None, last=None) -> DataFrame:
     """Orders of the days [first, last] with a DATE ``o_orderdate`` and only the
     columns asked for."""

@@ -316,7 +316,32 @@ def trends(spark, folder):
     return found.select("playerId", *kinds, "streak_goals_1plus")
 
 
-@query("trend_sentences")
+_SENTENCES = [
+    "CASE WHEN n10 >= 5 AND g10 > 0 THEN 'Scored ' || g10 || ' goals in last ' || n10 || ' games' END",
+    "CASE WHEN n10 >= 5 AND a10 > 0 THEN a10 || ' assists in last ' || n10 || ' games' END",
+    "CASE WHEN n10 >= 5 AND s3 > 0 THEN '3+ shots on goal in ' || s3 || ' of last ' || n10 || ' games' END",
+    "CASE WHEN n10 >= 5 AND s2 > 0 THEN '2+ shots on goal in ' || s2 || ' of last ' || n10 || ' games' END",
+] + [
+    f"CASE WHEN {column} >= 2 THEN {column} || ' games in a row with {label}' END"
+    for column, label in (("k3", "3+ SOG"), ("k2", "2+ SOG"), ("ka", "1+ assist"), ("kg", "1+ goal"), ("kp", "1+ point"))
+]
+
+
+def _run(condition):
+    return f"COALESCE(MIN(CASE WHEN NOT ({condition}) THEN rn END) - 1, COUNT(*))"
+
+
+@query(
+    "trend_sentences",
+    f"""
+    WITH {PLAYER_SQL},
+    n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY "playerId" ORDER BY "gameDate" DESC, "gameId" DESC) AS rn FROM pg WHERE "gameId" IS NOT NULL),
+    t AS (SELECT "playerId", SUM(CASE WHEN rn <= 10 THEN 1 ELSE 0 END) AS n10, SUM(CASE WHEN rn <= 10 THEN goals ELSE 0 END) AS g10, SUM(CASE WHEN rn <= 10 THEN assists ELSE 0 END) AS a10,
+      SUM(CASE WHEN rn <= 10 AND shots >= 3 THEN 1 ELSE 0 END) AS s3, SUM(CASE WHEN rn <= 10 AND shots >= 2 THEN 1 ELSE 0 END) AS s2,
+      {_run("shots >= 3")} AS k3, {_run("shots >= 2")} AS k2, {_run("assists >= 1")} AS ka, {_run("goals >= 1")} AS kg, {_run("goals + assists >= 1")} AS kp
+      FROM n WHERE rn <= 20 GROUP BY "playerId")
+    SELECT "playerId", array_to_string(list_filter([{", ".join(_SENTENCES)}], lambda x: x IS NOT NULL)[1:8], '; ') AS sentences FROM t""",
+)
 def sentences(spark, folder):
     found = reports.recent_trends(player_games(spark, folder), ["playerId"], "gameDate", "gameId", "shots", "goals", "assists")
     lines = reports.trend_sentences(found, ["playerId"])
