@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from formline.functions.dates import date_as_int, day_label, day_number, parse_date, season_by_boundaries, season_code, within_days
-from formline.functions.numbers import at_least, gap, zero_if_null, zero_if_null_when
+from formline.functions.numbers import at_least, gap, zero_if_null_when
 from formline.functions.text import clean_id, collapse_spaces, composite_id, contains_ignoring_case, lookup_code, prompt_text, with_comments
 from formline.operators.schedule import home_and_away
 from formline.operators.shape import (

@@ -49,7 +49,11 @@ def duck_rows(connection, sql):
 
 def compare(spark, folder, name, queries, sqls, connection):
     """None when equal, else a description of the first differences."""
-    names, got = spark_rows(queries[name](spark, folder))
+    df = queries[name](spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "CartesianProduct" in plan or "NestedLoopJoin" in plan:
+        return "the plan pairs all rows of two inputs"
+    names, got = spark_rows(df)
     if name not in sqls:
         return None
     want_names, want = duck_rows(connection, sqls[name])
