@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import decontaminate, exact, mixing
+from formline.llm import decontaminate, exact, mixing, substrings
 from formline.llm.words import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,27 @@ def query(function):
     return function
 
 
+@query
+def op1_substring_dedup(spark, folder):
+    found = substrings.repeated_passages(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL["op1_substring_dedup"] = r"""
+WITH split AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+spots AS (
+  SELECT r, i, array_to_string(words[i:i + 34], ' ') AS w
+  FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM split WHERE len(words) >= 35)),
+repeats AS (SELECT w FROM spots GROUP BY w HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM spots JOIN repeats USING (w))),
+each AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM split),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS t FROM each ANTI JOIN gone USING (r, p) GROUP BY r),
+counts AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (r) LEFT JOIN counts USING (r)
+"""
+
+
 @query
 def op3_benchmark_decontamination(spark, folder):
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

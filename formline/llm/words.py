@@ -42,3 +42,60 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> D
         on = match if on is None else on & match
     joined = left.join(right, on, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{c}" for c in keys])
+
+
+# Inside Python tasks: the words of a batch of texts as arrays.
+
+
+def split_words(texts):
+    """``(words, offsets)``: all words of an Arrow array of texts, and where each text's words begin and end.
+
+    The built-in split takes exactly the six characters of SPACES as white space.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    words, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py() if len(lists) else np.zeros(1, np.int64)
+    real = pc.not_equal(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return words.filter(real), before[offsets].astype(np.int64)
+
+
+def hash_words(words, keys=("formline-words-a", "formline-words-b")):
+    """One array of 64-bit hashes per key (16 characters each); every distinct word is hashed once."""
+    import numpy as np
+    from pandas.util import hash_array
+
+    coded = words.dictionary_encode()
+    codes = coded.indices.to_numpy()
+    distinct = np.asarray(coded.dictionary.to_pylist(), dtype=object)
+    return [hash_array(distinct, hash_key=k, categorize=False)[codes] if len(distinct) else np.zeros(0, np.uint64) for k in keys]
+
+
+def _mix(x):
+    import numpy as np
+
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def hash_runs(hashes, length: int):
+    """The hash of ``length`` consecutive items from each position on, built by doubling; shorter than the input by length - 1."""
+    import numpy as np
+
+    if len(hashes) < length:
+        return np.zeros(0, np.uint64)
+    n, power, have, done, out = len(hashes) - length + 1, hashes, 1, 0, None
+    while True:
+        if length & have:
+            piece = power[done : done + n]
+            out = piece if out is None else _mix(out * np.uint64(0xD6E8FEB86659FD93) + piece)
+            done += have
+        if done == length:
+            return _mix(out)
+        power = _mix(power[:-have] * np.uint64(0xA24BAED4963EE407) + power[have:]) if len(power) > have else power[:0]
+        have *= 2
