@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import decontaminate, exact, mixing, substrings
+from formline.llm import decontaminate, exact, minhash, mixing, substrings
 from formline.llm.words import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +111,31 @@ SELECT doc_id, size, source_size, target, CAST(floor(r * per + shift) - floor((r
 """
 
 
+@query
+def op7_minhash_near_dedup(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+SQL["op7_minhash_near_dedup"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM split WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+  WHERE x.s IN (SELECT s FROM shingles GROUP BY s HAVING count(*) > 1) GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+least AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, least(doc_id, coalesce(m, doc_id)) = doc_id AS kept
+FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
 @query
 def op8_exact_dedup(spark, folder):
     return exact.exact_groups(table(spark, folder, "documents"), keep="largest")
