@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import decontaminate, exact, minhash, mixing, substrings
+from formline.llm import decontaminate, exact, minhash, mixing, substrings, warc
 from formline.llm.words import word_count
+from formline.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -148,3 +150,26 @@ groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM norm GR
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm.t) AS text_sha256
 FROM norm JOIN groups USING (t)
 """
+
+
+@query
+def op10_warc(spark, folder):
+    """The archive stays below the checkpoint folder, since the result is read from it."""
+    path = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(warc.as_records(table(spark, folder, "pages")), path)
+    found = warc.resolve_revisits(warc.read(spark, path), warc.read(spark, path, payload="false"))
+    return found.select(
+        F.expr("try_cast(regexp_extract(record_id, '^<urn:page:(.*)>$', 1) AS bigint)").alias("page_id"),
+        "payload_bytes", "payload_digest", "record_type",
+        F.expr("try_cast(regexp_extract(refers_to, '^<urn:page:(.*)>$', 1) AS bigint)").alias("refers_to"),
+    )
+
+
+SQL["op10_warc"] = """
+WITH sized AS (SELECT page_id, coalesce(html, '') AS t, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+first AS (SELECT *, min(page_id) OVER (PARTITION BY t) AS f FROM sized)
+SELECT page_id, n AS payload_bytes, sha256(t) AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> f THEN f END AS refers_to
+FROM first
+"""
