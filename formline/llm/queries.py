@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import decontaminate, exact, minhash, mixing, substrings, warc
-from formline.llm.words import word_count
+from formline.llm import decontaminate, exact, langid, minhash, mixing, pu_quality, substrings, toxicity, warc
+from formline.llm.words import in_fold, word_count
 from formline.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,12 @@ FROM split LEFT JOIN kept USING (r) LEFT JOIN counts USING (r)
 """
 
 
+@query
+def op2_toxicity(spark, folder):
+    scored = toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), ~in_fold("doc_id"))
+    return scored.select("doc_id", in_fold("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op3_benchmark_decontamination(spark, folder):
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -81,6 +87,12 @@ FROM norm LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+@query
+def op5_quality_classifier(spark, folder):
+    scored = pu_quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), ~in_fold("doc_id"))
+    return scored.select("doc_id", in_fold("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op6_mixing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -152,6 +164,12 @@ FROM norm JOIN groups USING (t)
 """
 
 
+@query
+def op9_language_id(spark, folder):
+    found = langid.identify(table(spark, folder, "documents"), ~in_fold("doc_id"))
+    return found.select("doc_id", in_fold("doc_id").alias("held_out"), "lang_pred", "score", "confident")
+
+
 @query
 def op10_warc(spark, folder):
     """The archive stays below the checkpoint folder, since the result is read from it."""
