@@ -8,8 +8,9 @@ from math import log1p
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formline.llm.net import fit_pu
+
 SAMPLE = 20_000
-HIDDEN = 12
 FEATURES = (
     "log_words word_length distinct_words common_word same_again distinct_lines line_length lower upper digit space stop mark bar"
     " symbol other beyond_ascii shape packed sentence"
@@ -42,67 +43,6 @@ def describe(text: str | None) -> list[float]:
     ]
 
 
-class Net:
-    """One hidden layer; f(x) > 0 means positive."""
-
-    def __init__(self, mean, scale, weights):
-        self.mean, self.scale, self.weights = mean, scale, weights
-
-    def forward(self, x):
-        import numpy as np
-
-        w1, b1, w2, b2 = self.weights
-        h = np.tanh(x @ w1 + b1)
-        return h, h @ w2 + b2
-
-    def score(self, rows):
-        import numpy as np
-
-        x = np.clip((np.asarray(rows, float).reshape(-1, len(self.mean)) - self.mean) / self.scale, -6, 6)
-        return 1 / (1 + np.exp(-np.clip(self.forward(x)[1], -30, 30)))
-
-
-def fit_pu(positive, unlabelled, prior: float, steps: int = 1500, rate: float = 0.01, seed: int = 3, hidden: int = HIDDEN) -> Net:
-    """Minimise the non-negative risk: prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)).
-
-    The loss is logistic, so the sigmoid of f estimates the probability. Where the
-    part under the maximum falls below zero, the step goes against it, as the
-    method asks, instead of fitting positives inside the unlabelled as negatives.
-    """
-    import numpy as np
-
-    rng = np.random.default_rng(seed)
-    both = np.concatenate([positive, unlabelled])
-    mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
-    net = Net(mean, scale, None)
-    p, u = (np.clip((x - mean) / scale, -6, 6) for x in (positive, unlabelled))
-    d = p.shape[1]
-    net.weights = [rng.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), 0.0]
-    first, second = [np.zeros_like(np.asarray(w, float)) for w in net.weights], [np.zeros_like(np.asarray(w, float)) for w in net.weights]
-    batch = 2048
-    for step in range(1, steps + 1):
-        a = p[rng.integers(0, len(p), min(batch, len(p)))] if len(p) > batch else p
-        b = u[rng.integers(0, len(u), min(batch, len(u)))] if len(u) > batch else u
-        ha, fa = net.forward(a)
-        hb, fb = net.forward(b)
-        sa, sb = 1 / (1 + np.exp(-fa)), 1 / (1 + np.exp(-fb))
-        rest = np.logaddexp(0, fb).mean() - prior * np.logaddexp(0, fa).mean()
-        plus = prior * (sa - 1) / len(a)
-        minus_a, minus_b = -prior * sa / len(a), sb / len(b)
-        ga, gb = (plus + minus_a, minus_b) if rest >= 0 else (-minus_a, -minus_b)
-        grads = [np.zeros(0)] * 4
-        ta, tb = (ga[:, None] * net.weights[2]) * (1 - ha**2), (gb[:, None] * net.weights[2]) * (1 - hb**2)
-        grads[0] = a.T @ ta + b.T @ tb + 1e-4 * net.weights[0]
-        grads[1] = ta.sum(axis=0) + tb.sum(axis=0)
-        grads[2] = ha.T @ ga + hb.T @ gb + 1e-4 * net.weights[2]
-        grads[3] = ga.sum() + gb.sum()
-        for k, g in enumerate(grads):
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.999 * second[k] + 0.001 * g * g
-            net.weights[k] = net.weights[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return net
-
-
 def quality_scores(
     docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE,
     prior: float | None = None,

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formline.llm.charlm import CELLS, cells, collected, count_cells, kneser_ney, slices
+from formline.llm.net import fit_labelled
 
 SHARED_ORDERS = 2
 SAMPLE = 20_000
-CLEAR = 2.0
+CLEAR = (1.0, 2.0, 3.5)
 
 
 def log_ratios(counts: dict):
@@ -25,15 +26,15 @@ def log_ratios(counts: dict):
 
 
 def measures(texts: list[str], ratios):
-    """Per text, length-normalised: mean log ratio per symbol, mean excess per word, the clearest words, and log words.
+    """Per text, length-normalised: mean log ratio per symbol, the clearest words, log words, and mean excesses per word.
 
-    The excess of a word is what its log ratio has above CLEAR, so that a few
-    plain words in a long text aren't washed out by the many that say nothing.
+    The excess of a word is what its log ratio has above a level of CLEAR, so that
+    a few plain words in a long text aren't washed out by the many that say nothing.
     """
     import numpy as np
 
     found, ends = cells(texts)
-    out = np.zeros((len(texts), 4))
+    out = np.zeros((len(texts), 3 + len(CLEAR)))
     found = found[ends[0] : ends[-1]]
     if not len(found):
         return out
@@ -43,37 +44,18 @@ def measures(texts: list[str], ratios):
     words = np.add.reduceat(logs, np.concatenate([[0], closed[:-1] + 1]))
     first = np.searchsorted(closed, ends)
     total = np.concatenate([[0], np.cumsum(logs)])
-    excess = np.concatenate([[0], np.cumsum(np.maximum(words - CLEAR, 0))])
     n, m = np.diff(ends), np.diff(first)
     out[:, 0] = np.diff(total[ends]) / np.maximum(n, 1)
-    out[:, 1] = np.log(np.diff(excess[first]) / np.maximum(m, 1) + 1e-3) - np.log(1e-3)
-    out[:, 3] = np.log1p(m)
+    out[:, 2] = np.log1p(m)
+    for k, level in enumerate(CLEAR):
+        excess = np.concatenate([[0], np.cumsum(np.maximum(words - level, 0))])
+        out[:, 3 + k] = np.log1p(1000 * np.maximum(np.diff(excess[first]), 0) / np.maximum(m, 1))
     for i in np.flatnonzero(m):
         own = words[first[i] : first[i + 1]]
-        out[i, 2] = np.sort(np.partition(own, -3)[-3:] if len(own) > 3 else own).mean()
+        out[i, 1] = np.sort(np.partition(own, -3)[-3:] if len(own) > 3 else own).mean()
     return out
 
 
-def fit_logistic(x, y, steps: int = 60, ridge: float = 1e-3):
-    """Newton's method on standardised columns; returns a function from rows to probabilities."""
-    import numpy as np
-
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    w = np.zeros(z.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) / len(y) + ridge * w
-        w = w - np.linalg.solve((z.T * (p * (1 - p))) @ z / len(y) + ridge * np.eye(len(w)), grad)
-    return lambda rows: 1 / (1 + np.exp(-np.clip(np.column_stack([np.ones(len(rows)), (rows - mean) / scale]) @ w, -30, 30)))
-
-
-def squares(x):
-    import numpy as np
-
-    return np.column_stack([x, x[:, 1] * x[:, 2], x[:, 1] * x[:, 3], x[:, 2] ** 2])
-
-
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE,
 ) -> DataFrame:
@@ -117,7 +99,7 @@ def toxicity_scores(
     seen = rows.mapInArrow(measure, "y int, x array<double>").toArrow()
     y = seen["y"].to_numpy()
     able = len(y) and 0 < y.sum() < len(y) and ratios.any()
-    probability = fit_logistic(squares(np.array(seen["x"].to_pylist())), y) if able else None
+    probability = fit_labelled(np.array(seen["x"].to_pylist()), y) if able else None
 
     def score(batches):
         import pyarrow as pa
@@ -126,7 +108,7 @@ def toxicity_scores(
             texts = [t or "" for t in batch["text"].to_pylist()]
             for a, b in slices(texts):
                 x = measures(texts[a:b], ratios)
-                p = probability(squares(x)) if able else np.zeros(b - a)
+                p = probability.score(x) if able else np.zeros(b - a)
                 yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a), pa.array(p), pa.array(x[:, 0])], [id_col, "score", "mean_log_ratio"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
