@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import decontaminate, exact, langid, minhash, mixing, pu_quality, substrings, toxicity, warc
+from formline.llm import decontaminate, exact, langid, lines, minhash, mixing, pu_quality, substrings, toxicity, warc
 from formline.llm.words import in_fold, word_count
 from formline.session import checkpoint_dir
 
@@ -87,6 +87,37 @@ FROM norm LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+@query
+def op4_line_dedup(spark, folder):
+    found = lines.duplicate_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+SQL["op4_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, i, line, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+placed AS (
+  SELECT *, array_to_string(words, ' ') AS s, row_number() OVER (ORDER BY doc_id NULLS LAST, i) AS place FROM lines WHERE len(words) > 0),
+first AS (SELECT s, min(place) AS place, any_value(words) AS words FROM placed GROUP BY s),
+less AS (
+  SELECT s, place, len(words) AS w, e, array_to_string(list_concat(words[1:e - 1], words[e + 1:]), ' ') AS v
+  FROM (SELECT s, place, words, unnest(range(1, len(words) + 1)) AS e FROM first WHERE len(words) >= 8)),
+replaced AS (SELECT s FROM (SELECT s, place, min(place) OVER (PARTITION BY w, e, v) AS earliest FROM less) WHERE earliest < place),
+shorter AS (SELECT less.s FROM less JOIN first ON less.v = first.s AND len(first.words) >= 8 AND first.place < less.place),
+longer AS (SELECT first.s FROM less JOIN first ON less.v = first.s AND len(first.words) >= 8 AND less.place < first.place),
+gone AS (SELECT s FROM replaced UNION SELECT s FROM shorter UNION SELECT s FROM longer),
+stay AS (SELECT place FROM first ANTI JOIN gone USING (s)),
+kept AS (
+  SELECT doc_id, i, line FROM placed SEMI JOIN stay USING (place)
+  UNION ALL SELECT doc_id, i, line FROM lines WHERE len(words) = 0),
+joined AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t FROM kept GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(string_split(text, chr(10))), 0) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+FROM documents LEFT JOIN joined USING (doc_id)
+"""
+
+
 @query
 def op5_quality_classifier(spark, folder):
     scored = pu_quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), ~in_fold("doc_id"))
