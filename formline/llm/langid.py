@@ -101,7 +101,7 @@ def identify(
     limits = scored.filter("learn and lang = lang_pred").groupBy("lang_pred").agg(
         F.percentile_approx("cross_entropy", F.lit(accepted), 10_000).alias("limit")
     )
-    return scored.join(limits, "lang_pred", "left").select(
+    return scored.join(F.broadcast(limits), "lang_pred", "left").select(  # a row per language learnt
         F.col("id").alias(id_col), "lang_pred", "score", "cross_entropy",
         F.coalesce(F.col("cross_entropy") <= F.col("limit"), F.lit(False)).alias("confident"),
     )

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formline.llm.components import components
-from formline.llm.words import hash_runs, hash_words, split_words
+from formline.llm.words import hash_runs, hash_words, split_words, text_key
 from formline.session import reliable_checkpoint
 
 BATCH = 25
@@ -273,3 +273,16 @@ def near_duplicates(
         )
         .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull()))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents, all columns, of which one of each group stays: the one with the smallest id.
+
+    Rows with a null id can't be named by a group and all stay. Of rows that repeat
+    id and text one stays.
+    """
+    kept = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("__id")).distinct()
+    keyed = docs.withColumn("__id", F.col(id_col)).withColumn("__key", text_key(F.col(text_col)))
+    named = keyed.filter(F.col("__id").isNotNull()).dropDuplicates(["__id", "__key"]).join(kept, "__id", "left_semi")
+    bare = keyed.filter(F.col("__id").isNull())
+    return named.unionByName(bare).select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from formline.llm.words import null_safe
+from formline.llm.words import null_safe, text_key, word_count
 from formline.session import reliable_checkpoint
 
 WEIGHTS = (3, 1, 2)
@@ -92,3 +92,20 @@ def mix_plan(
         .withColumn("__offset", offset_of(F.col(source), seed))
         .select(*keys, source, size, "source_size", "target", copies.cast("long").alias("copies"))
     )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source: str = "source", **options) -> DataFrame:
+    """The documents, all columns, once for each copy that the mix takes, with the number of the copy in ``copy``.
+
+    Sizes are numbers of words. Rows that repeat id and text are one document that
+    is taken as often as all of them together. Documents not taken are
+    left out. A column ``copy`` of the input is replaced.
+    """
+    keyed = docs.withColumn("__id", F.col(id_col)).withColumn("__key", text_key(F.col(text_col)))
+    plan = mix_plan(keyed.select("__id", "__key", F.col(source).alias("__source"), word_count(F.col(text_col)).alias("__size")),
+                    ["__id", "__key"], "__source", "__size", **options)
+    # Rows that are equal in id and text become one row with all their copies.
+    copies = plan.groupBy("__id", "__key").agg(F.sum("copies").alias("__copies")).filter("__copies > 0")
+    one = keyed.dropDuplicates(["__id", "__key"])
+    out = null_safe(one, copies, ["__id", "__key"], "inner").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return out.select(*[c for c in docs.columns if c != "copy"], "copy")

@@ -43,33 +43,28 @@ def describe(text: str | None) -> list[float]:
     ]
 
 
-def quality_scores(
+def fit_quality(
     docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE,
     prior: float | None = None,
-) -> DataFrame:
-    """One row per document: ``id, score``, the probability that a text is of quality.
+):
+    """A function from texts to probabilities of quality, learnt from trusted positives and unlabelled texts.
 
     Trusted positives are rows labelled 1 for which ``learn`` (on the id) holds,
     at most ``sample`` of them, the first in order of a hash of the id. The
     unlabelled texts are about as many rows of the documents, drawn by hash from
     all of them, whatever their labels. The class prior, unless given, is
-    estimated as the share of 1 among the labels to learn from. Every text is
-    described and scored whole.
-
-    Null and empty texts are described as texts without words. Null labels and
-    labels of unknown ids teach nothing. Without positives every score is the
-    prior (0.5 without labels). Repeated rows are scored alike.
+    estimated as the share of 1 among the labels to learn from. Null labels and
+    labels of unknown ids teach nothing. Without positives every text gets the
+    prior (0.5 without labels).
     """
     import numpy as np
 
-    kind = docs.schema[id_col].dataType.simpleString()
     known = labels.filter(learn & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
     ones, every = known.agg(F.sum("__y"), F.count(F.lit(1))).first()
     if prior is None:
         prior = min(0.95, max(0.05, (ones or 0) / every)) if every else 0.5
     trusted = known.filter("__y = 1").orderBy(F.xxhash64("__id"), "__id").limit(sample).select("__id", F.lit(True).alias("__trusted"))
-    total = docs.count()
-    share = min(1.0, sample / max(1, total))
+    share = min(1.0, sample / max(1, docs.count()))
     mark = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1_000_000)) < int(share * 1_000_000)
     rows = (
         docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), mark.alias("drawn"))
@@ -90,11 +85,38 @@ def quality_scores(
     drawn, good = (np.array(seen[c].to_pylist(), bool) for c in ("drawn", "trusted"))
     net = fit_pu(x[good], x[drawn], prior) if good.any() and drawn.any() else None
 
+    def probabilities(texts: list):
+        return net.score([describe(t) for t in texts]) if net and texts else np.full(len(texts), prior)
+
+    return probabilities
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: ``id, score``, the probability that a text is of quality.
+
+    Every text is described and scored whole. Null and empty texts are described
+    as texts without words; repeated rows are scored alike; no rows give no rows.
+    """
+    probabilities = fit_quality(docs, labels, learn, id_col, text_col, **options)
+    kind = docs.schema[id_col].dataType.simpleString()
+
     def score(batches):
         import pyarrow as pa
 
         for batch in batches:
-            p = net.score([describe(t) for t in batch["text"].to_pylist()]) if net else np.full(batch.num_rows, prior)
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(p, pa.float64())], [id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(probabilities(batch["text"].to_pylist()), pa.float64())], [id_col, "score"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"`{id_col}` {kind}, score double")
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, learn, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents, all columns, whose score is at least ``least``. Rows are decided where they are."""
+    probabilities = fit_quality(docs, labels, learn, id_col, text_col, **options)
+
+    def keep(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array(probabilities(batch[text_col].to_pylist()) >= least, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

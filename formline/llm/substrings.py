@@ -100,7 +100,7 @@ def _send(chunk: int, hashes, buckets: int):
     import numpy as np
     import pyarrow as pa
 
-    hashes = hashes.reshape(len(hashes), -1)
+    hashes = hashes.reshape(-1, 1) if hashes.ndim == 1 else hashes
     hashes = hashes[np.lexsort(hashes.T[::-1])]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]).any(axis=1)

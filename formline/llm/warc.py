@@ -120,7 +120,8 @@ class WarcReader(DataSourceReader):
 
     def pushFilters(self, filters):
         for f in filters:
-            column = f.attribute[0] if len(f.attribute) == 1 else None
+            path = getattr(f, "attribute", ())  # Not has a child instead
+            column = path[0] if len(path) == 1 else None
             if type(f) in TESTS and column in HEADERS:
                 self.wanted.append((column, type(f).__name__, getattr(f, "value", None)))
             else:
