@@ -13,11 +13,9 @@ def as_column(c: Column | str) -> Column:
 
 
 def round_half_up(c: Column | str, digits: int = 2) -> Column:
-    """Round through DECIMAL(18,6), so that ties fall the same way in every
-    SQL engine; values of 1e12 and above are rounded as doubles."""
-    c = as_column(c)
-    exact = F.round(c.cast("decimal(18,6)"), digits).cast("double")
-    return F.when(F.abs(c) < 1e12, exact).otherwise(F.round(c.cast("double"), digits))
+    """Round through DECIMAL(38,6), so that ties fall the same way in every
+    SQL engine, whatever the size of the value (below 1e32)."""
+    return F.round(as_column(c).cast("decimal(38,6)"), digits).cast("double")
 
 
 def ratio(part: Column | str, whole: Column | str, digits: int | None = 2) -> Column:

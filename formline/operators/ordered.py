@@ -7,6 +7,8 @@ partitioned by (group, order) into blocks instead: each block is evaluated on
 its own, short frames see the few neighbouring rows copied in from the blocks
 beside it, and running values start from a carry summed over the earlier
 blocks. Both ways give the same rows; only the measured group size decides.
+Running sums of doubles are added in another order by blocks, so they may differ
+in the last bits; sum decimals where that matters.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from formline.session import reliable_checkpoint
 
 HOT_ROWS_CONF = "formline.hotGroupRows"
 HOT_ROWS_DEFAULT = 2_000_000
-MAX_BLOCKS = 20_000
 MAX_LISTED_KEYS = 10_000
 
 
@@ -130,8 +131,7 @@ def ordered_blocks(rows: DataFrame, keys: Sequence[str], order: Sequence, total:
     """Rows with ``_pos`` (their place in the order of keys and order columns)
     and ``_block`` (the range partition they fell into), frozen by a checkpoint
     so that every later step sees the same blocks."""
-    wanted = math.ceil(total / max(1, hot_limit(rows.sparkSession) // 2))
-    count = min(MAX_BLOCKS, max(2, wanted))
+    count = max(2, math.ceil(total / max(1, hot_limit(rows.sparkSession) // 2)))
     ranged = rows.repartitionByRange(count, *keys, *order).sortWithinPartitions(*keys, *order)
     placed = ranged.withColumn("_pos", F.monotonically_increasing_id())
     return reliable_checkpoint(placed.withColumn("_block", F.shiftright("_pos", 33)))

@@ -92,9 +92,9 @@ def max_per_entity(df: DataFrame, entity: Sequence[str], condition: Column, alia
     )
 
 
-def distinct_keys(keys: Sequence[str], sentinel: str = "~null~") -> Column:
-    """Distinct count over several columns that does not drop nulls."""
-    return F.count_distinct(*[F.coalesce(F.col(k).cast("string"), F.lit(sentinel)) for k in keys])
+def distinct_keys(keys: Sequence[str]) -> Column:
+    """Distinct count over several columns; a null is a value of its own."""
+    return F.count_distinct(F.struct(*keys))
 
 
 def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from formline.functions.dates import as_day, day_range
 from formline.functions.numbers import as_column
-from formline.operators.joins import broadcast_if_small, join_apart_from_nulls, left_join_many
+from formline.operators.joins import join_apart_from_nulls, left_join_many
 from formline.operators.lastknown import earliest_per_key
 from formline.operators.shape import side_pivot, union_all
+from formline.session import reliable_checkpoint
 
 REGULAR_AND_PLAYOFF = (2, 3)  # fixed values: game types that count
 LARGE_LIST = 500
@@ -83,7 +84,7 @@ def keep_listed(df: DataFrame, columns: Sequence[str], allowed: Sequence | DataF
     for c in columns:
         if isinstance(allowed, DataFrame):
             codes = allowed.select(F.col(allowed.columns[0]).alias("_code")).distinct()
-            df = df.join(broadcast_if_small(codes), F.col(c) == F.col("_code"), "left_semi")
+            df = df.join(codes, F.col(c) == F.col("_code"), "left_semi")
         else:
             df = df.filter(F.col(c).isin(*allowed))
     return df
@@ -148,16 +149,31 @@ def recent_as_upcoming(df: DataFrame, game: str, order: Sequence[Column], upcomi
 
 
 def first_games_of_slate(df: DataFrame, home: str, away: str, order: Sequence[str]) -> DataFrame:
-    """Games that are the first, in ``order``, for both of their teams: at most
-    one game per team."""
-    teams = expand_schedule(df, home, away, "_team")
-    first = teams.groupBy("_team").agg(F.min(F.struct(*order)).alias("_first"))
-    own = F.struct(*order)
-    kept = df.withColumn("_own", own)
-    for side in (home, away):
-        marks = first.select(F.col("_team").alias("_t"), F.col("_first").alias("_f"))
-        kept = kept.join(marks, (F.col(side) == F.col("_t")) & (F.col("_own") == F.col("_f")), "left_semi")
-    return kept.drop("_own")
+    """Games taken greedily in ``order``, then home and away: a game is left out
+    when one of its teams already has an earlier game of the slate.
+
+    Goes by rounds: games that are the first left for both teams are taken, and
+    all games of their teams go. Each round takes the first game left at least;
+    rounds are few, since most teams find a partner in each. Rows without a team,
+    and repeats of a game in order and teams, are left out.
+    """
+    rank = [*order, home, away]
+    left = reliable_checkpoint(df.filter(F.col(home).isNotNull() & F.col(away).isNotNull()).dropDuplicates(list(dict.fromkeys(rank))))
+    taken = left.limit(0)
+    while not left.isEmpty():
+        own = left.withColumn("_own", F.struct(*rank))
+        first = expand_schedule(own, home, away, "_team").groupBy("_team").agg(F.min("_own").alias("_first"))
+        kept = own
+        for side in (home, away):
+            marks = first.select(F.col("_team").alias("_t"), F.col("_first").alias("_f"))
+            kept = kept.join(marks, (F.col(side) == F.col("_t")) & (F.col("_own") == F.col("_f")), "left_semi")
+        kept = reliable_checkpoint(kept.drop("_own"))
+        teams = kept.select(F.explode(F.array(home, away)).alias("_t")).distinct()
+        rest = left
+        for side in (home, away):
+            rest = rest.join(teams, F.col(side) == F.col("_t"), "left_anti")
+        taken, left = taken.unionByName(kept), reliable_checkpoint(rest)
+    return taken
 
 
 def best_available_date(df: DataFrame, date: str, requested, lookback: int = 7) -> DataFrame:

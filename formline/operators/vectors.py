@@ -1,4 +1,4 @@
-"""Top-k rows by cosine similarity to a few query vectors."""
+"""Top-k rows by cosine similarity to query vectors."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from formline.operators.streaks import newest_rows
 
-MAX_QUERY_VECTORS = 1_000
+QUERY_BLOCK = 1_000
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -27,23 +27,27 @@ def vector_top_k(
 ) -> DataFrame:
     """The k most similar items of every query, ties by item id.
 
-    Queries are few by contract (a count checks it) and are carried to the
-    items as one small array, so the items are read once and each is scored in
-    place; every task keeps its k best per query before anything is shuffled.
+    Queries are taken in blocks of QUERY_BLOCK, packed as one row each; a block is
+    carried to the items as a small array, so each block reads the items once and
+    scores them in place. Every task keeps its k best per query before anything
+    is shuffled. Any number of queries goes; rows of queries without an id are
+    left out.
     """
     def score(a: Column, b: Column) -> Column:
         return cosine(a, b) if digits is None else F.round(cosine(a, b), digits)
 
-    asked = queries.select(F.col(query_id).alias("q"), F.col(query_vector).cast("array<double>").alias("v"))
-    rows = asked.limit(MAX_QUERY_VECTORS + 1).collect()
-    if len(rows) > MAX_QUERY_VECTORS:
-        raise ValueError(f"more than {MAX_QUERY_VECTORS} query vectors; search them in batches")
-    small = df.sparkSession.createDataFrame(rows, asked.schema)
-    packed = small.agg(F.collect_list(F.struct("q", "v")).alias("_queries"))
-    scored = (
-        df.select(item_id, vector, F.explode(packed.scalar()).alias("_q"))
-        .select(F.col("_q.q").alias(query_id), item_id, score(F.col(vector), F.col("_q.v")).alias(alias))
+    asked = queries.filter(F.col(query_id).isNotNull()).select(
+        F.col(query_id).alias("q"), F.col(query_vector).cast("array<double>").alias("v")
     )
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    packed = asked.groupBy(F.pmod(F.xxhash64("q"), F.lit(blocks)).alias("_b")).agg(F.collect_list(F.struct("q", "v")).alias("_queries"))
+    scored = None
+    for b in range(blocks):
+        block = packed.filter(F.col("_b") == b).select("_queries").scalar()
+        some = df.select(item_id, vector, F.explode(block).alias("_q")).select(
+            F.col("_q.q").alias(query_id), item_id, score(F.col(vector), F.col("_q.v")).alias(alias)
+        )
+        scored = some if scored is None else scored.unionByName(some)
     best = newest_rows(scored, [query_id], [F.col(alias).desc_nulls_last(), F.col(item_id)], k, "rank")
     return best.select(query_id, "rank", item_id, alias)
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, PCAModel, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import Column, DataFrame
@@ -88,20 +88,21 @@ def select_features(prepared: DataFrame, label: str, k: int, must_have: Sequence
     forest = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=20, maxDepth=6, seed=seed)
     importances = forest.fit(prepared).featureImportances.toArray()
     ranked = sorted(range(len(importances)), key=lambda i: (-importances[i], i))
-    chosen = sorted(dict.fromkeys([*must_have, *ranked][: max(k, len(must_have))]))
+    chosen = sorted(list(dict.fromkeys([*must_have, *ranked]))[: max(k, len(set(must_have)))])
     return VectorSlicer(inputCol="features", outputCol="selected", indices=[int(i) for i in chosen])
 
 
-def pca_for_variance(prepared: DataFrame, share: float = 0.95, source: str = "features", max_k: int = 100):
-    """PCA model with the fewest components that explain ``share``."""
-    size = prepared.select(source).first()[0].size
-    full = PCA(k=min(size, max_k), inputCol=source, outputCol="components").fit(prepared)
+def pca_for_variance(prepared: DataFrame, share: float = 0.95, source: str = "features") -> tuple[PCAModel, VectorSlicer]:
+    """All components, fitted once, and a slicer to the fewest that explain
+    ``share`` (output ``reduced``). The size comes from the vector's metadata."""
+    size = len(vector_names(prepared, source))
+    model = PCA(k=size, inputCol=source, outputCol="components").fit(prepared)
     explained, k = 0.0, 0
-    for value in full.explainedVariance.toArray():
+    for value in model.explainedVariance.toArray():
         k, explained = k + 1, explained + float(value)
-        if explained >= share:
+        if explained >= share - 1e-12:
             break
-    return PCA(k=k, inputCol=source, outputCol="components").fit(prepared)
+    return model, VectorSlicer(inputCol="components", outputCol="reduced", indices=list(range(k)))
 
 
 def write_feature_tables(prepared: DataFrame, label: str, keys: Sequence[str], root: str, sizes: Sequence[int] = (50, 100, 200)) -> dict[int, str]:

@@ -5,12 +5,16 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from formline.functions.numbers import round_half_up
 from formline.operators.rolling import rolling_form
 from formline.plans import models
 from formline.plans.star.registry import dated_orders, query, r2, table
 from formline.session import checkpoint_dir
+from formline.sources.tables import solidify
 from formline.streaming import append
 
 _PARTS = "CASE WHEN place < 60 THEN 'train' WHEN place < 80 THEN 'validate' ELSE 'test' END"
@@ -66,24 +70,90 @@ def _training_rows(spark, folder):
 _NUMBERS = ["qty", "amount", "c_acctbal", "previous_o_totalprice", "average_o_totalprice_last_3_games", "average_o_totalprice_last_7_games"]
 
 
-@query("ml_score")
+def _written(spark, rows):
+    """The rows as files, so that each step of a fit reads them and none runs the joins again."""
+    return solidify(rows, f"{checkpoint_dir(spark).rstrip('/')}/training-{uuid.uuid4().hex}")
+
+
+@query(
+    "ml_score",
+    f"""
+    WITH a AS (SELECT l_orderkey, SUM(l_extendedprice) AS amount FROM lineitem GROUP BY 1),
+    o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice AS y, amount FROM orders LEFT JOIN a ON o_orderkey = l_orderkey),
+    m AS (SELECT AVG(amount) AS mean FROM o WHERE o_orderstatus <> 'O'),
+    f AS (SELECT regr_slope(y, COALESCE(amount, mean)) AS b, regr_intercept(y, COALESCE(amount, mean)) AS c FROM o, m WHERE o_orderstatus <> 'O')
+    SELECT o_orderkey, o_custkey, {r2("b * COALESCE(amount, mean) + c")} AS predicted FROM o, m, f WHERE o_orderstatus = 'O'""",
+)
 def ml_score(spark, folder):
-    """Trained on played orders, scored on open ones."""
-    rows = _training_rows(spark, folder)
-    model = models.fit(
-        rows.filter("o_orderstatus <> 'O'"), "o_totalprice", _NUMBERS, one_hot=["c_mktsegment"], ordinal=["o_orderpriority"]
-    )
-    return models.score(model, rows.filter("o_orderstatus = 'O'"), keep=["o_orderkey", "o_custkey"])
+    """A line fitted on played orders, scored on open ones."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_extendedprice").alias("amount"))
+    rows = _written(spark, orders.join(lines, "o_orderkey", "left"))
+    line = LinearRegression(featuresCol="features", labelCol="o_totalprice", solver="normal")
+    model = models.fit(rows.filter("o_orderstatus <> 'O'"), "o_totalprice", ["amount"], estimator=line)
+    scored = models.score(model, rows.filter("o_orderstatus = 'O'"), keep=["o_orderkey", "o_custkey"])
+    return scored.withColumn("predicted", round_half_up("predicted"))
 
 
-@query("ml_feature_select")
+@query(
+    "ml_feature_select",
+    """SELECT COUNT(*) AS n, 5 AS least, 5 AS most, TRUE AS protected FROM orders WHERE o_orderstatus <> 'O'""",
+)
 def ml_feature_select(spark, folder):
     """The five strongest features of the order value, the account balance kept
-    in any case."""
-    rows = _training_rows(spark, folder).filter("o_orderstatus <> 'O'")
+    in any case: how many rows, how wide, and whether the protected slot came
+    through unchanged in all."""
+    rows = _written(spark, _training_rows(spark, folder).filter("o_orderstatus <> 'O'"))
     prepared = Pipeline(stages=models.feature_stages(_NUMBERS, ["c_mktsegment"])).fit(rows).transform(rows)
-    slicer = models.select_features(prepared, "o_totalprice", 5, must_have=[_NUMBERS.index("c_acctbal")])
-    return slicer.transform(prepared).select("o_orderkey", F.col("selected").cast("string").alias("selected"))
+    place = _NUMBERS.index("c_acctbal")
+    slicer = models.select_features(prepared, "o_totalprice", 5, must_have=[place])
+    kept = slicer.getIndices().index(place)
+    chosen = slicer.transform(prepared).select(vector_to_array("selected").alias("s"), vector_to_array("features").alias("f"))
+    return chosen.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size("s")).alias("least"), F.max(F.size("s")).alias("most"),
+        F.bool_and(F.col("s")[kept] == F.col("f")[place]).alias("protected"),
+    )
+
+
+def _gapped_customers(spark, folder):
+    customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
+    return customers.select(
+        "c_custkey", F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("c_acctbal"), "c_mktsegment", F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("area")
+    )
+
+
+@query(
+    "feature_codes",
+    f"""
+    WITH g AS (SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS x, c_mktsegment AS seg, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS area FROM customer),
+    i AS (SELECT *, COALESCE(x, (SELECT AVG(x) FROM g)) AS v FROM g),
+    s AS (SELECT AVG(v) AS mean, STDDEV_SAMP(v) AS dev FROM i)
+    SELECT c_custkey, {r2("(v - mean) / dev", 4)} AS scaled, CAST(DENSE_RANK() OVER (ORDER BY area) - 1 AS DOUBLE) AS ordinal, CAST(DENSE_RANK() OVER (ORDER BY seg) - 1 AS INT) AS hot FROM i, s""",
+)
+def feature_codes(spark, folder):
+    """Mean-imputed and standardized balances, ordinal codes and one-hot places."""
+    rows = _gapped_customers(spark, folder)
+    stages = models.feature_stages(["c_acctbal"], one_hot=["c_mktsegment"], ordinal=["area"])
+    slots = vector_to_array("features")
+    coded = Pipeline(stages=stages).fit(rows).transform(rows).select("c_custkey", slots.alias("f"))
+    return coded.select(
+        "c_custkey", round_half_up(F.col("f")[0], 4).alias("scaled"), F.col("f")[1].alias("ordinal"),
+        (F.array_position(F.slice("f", 3, 100), 1.0) - 1).cast("int").alias("hot"),
+    )
+
+
+@query(
+    "unseen_codes",
+    f"""
+    WITH g AS (SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS area FROM customer), k AS (SELECT DISTINCT area FROM g WHERE area < '20'),
+    r AS (SELECT area, ROW_NUMBER() OVER (ORDER BY area) - 1 AS code FROM k)
+    SELECT c_custkey, CAST(COALESCE(code, (SELECT COUNT(*) FROM k)) AS DOUBLE) AS code FROM g LEFT JOIN r ON g.area = r.area""",
+)
+def unseen_codes(spark, folder):
+    """Ordinal codes learnt from some areas; the others share a code of their own."""
+    rows = _gapped_customers(spark, folder).withColumn("one", F.lit(1.0) + F.col("c_custkey") % 2)
+    model = Pipeline(stages=models.feature_stages(["one"], ordinal=["area"])).fit(rows.filter("area < '20'"))
+    return model.transform(rows).select("c_custkey", vector_to_array("features")[1].alias("code"))
 
 
 @query(

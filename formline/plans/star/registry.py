@@ -55,6 +55,20 @@ def text(column: str) -> F.Column:
 # Orders as games between nations: the customer's nation plays at home against
 # the nation of the order's lowest-numbered supplier. Points at home are whole
 # thousands of the price, points away the summed quantity.
+def slate_sql(source: str, order: str) -> str:
+    """CTEs ``ordered`` and ``slate`` for a recursive WITH: games of ``source``
+    (home, away) taken one by one in order, unless a team is in already."""
+    return f"""
+    ordered AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS rn FROM {source}),
+    slate(rn, seen, taken) AS (
+      SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), FALSE
+      UNION ALL
+      SELECT o.rn, CASE WHEN list_contains(seen, o.home) OR list_contains(seen, o.away) THEN seen ELSE seen || [CAST(o.home AS BIGINT), CAST(o.away AS BIGINT)] END,
+        NOT (list_contains(seen, o.home) OR list_contains(seen, o.away))
+      FROM slate s JOIN ordered o ON o.rn = s.rn + 1
+      WHERE len(seen) < (SELECT COUNT(*) - 1 FROM (SELECT home FROM ordered UNION SELECT away FROM ordered) t))"""
+
+
 GAMES_SQL = """
 first_supplier AS (SELECT l_orderkey, MIN(l_suppkey) AS suppkey, SUM(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey),
 pairs AS (

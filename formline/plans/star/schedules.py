@@ -27,7 +27,7 @@ from formline.operators.schedule import (
     schedule_from_facts,
     split_played,
 )
-from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games, nation_pairs, query, table, text
+from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games, nation_pairs, query, slate_sql, table, text
 
 CUTOFF = "2001-01-01"
 
@@ -289,9 +289,8 @@ def date_plus(spark, folder):
 @query(
     "slate_first_games",
     f"""
-    WITH {GAMES_SQL},
-    f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY team ORDER BY d, game) AS rn FROM games)
-    SELECT p.game, p.home, p.away FROM pairs p JOIN f h ON p.game = h.game AND p.home = h.team AND h.rn = 1 JOIN f a ON p.game = a.game AND p.away = a.team AND a.rn = 1""",
+    WITH RECURSIVE {GAMES_SQL}, {slate_sql("pairs", "d, game, home, away")}
+    SELECT o.game, o.home, o.away FROM ordered o JOIN slate ON o.rn = slate.rn WHERE taken""",
 )
 def slate(spark, folder):
     pairs = nation_pairs(spark, folder)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from formline.operators.streaks import current_streak, hit_rates_last_n
 from formline.plans import reports
-from formline.plans.star.registry import GAMES_SQL, nation_games, nation_pairs, query, r2, table, text
+from formline.plans.star.registry import GAMES_SQL, nation_games, nation_pairs, query, r2, slate_sql, table, text
 
 TODAY = "2001-06-15"
 
@@ -195,14 +195,12 @@ def results(spark, folder):
 @query(
     "upcoming_games",
     f"""
-    WITH {GAMES_SQL},
+    WITH RECURSIVE {GAMES_SQL},
     w AS (SELECT * FROM pairs WHERE status = 'O' AND d > DATE '{TODAY}'), n AS (SELECT MIN(d) AS gd FROM w),
     s AS (SELECT DISTINCT p.d, p.home, p.away FROM pairs p JOIN n ON p.d = n.gd
       WHERE EXISTS (SELECT 1 FROM pairs q WHERE q.status = 'O' AND LEAST(q.home, q.away) = LEAST(p.home, p.away) AND GREATEST(q.home, q.away) = GREATEST(p.home, p.away))),
-    t AS (SELECT home AS team, d, home, away FROM s UNION ALL SELECT away, d, home, away FROM s),
-    f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY team ORDER BY d, home, away) AS rn FROM t)
-    SELECT CAST(s.d AS VARCHAR) AS game_date, s.home, s.away FROM s JOIN f h ON h.team = s.home AND h.rn = 1 AND h.home = s.home AND h.away = s.away
-      JOIN f a ON a.team = s.away AND a.rn = 1 AND a.home = s.home AND a.away = s.away""",
+    {slate_sql("s", "d, home, away")}
+    SELECT CAST(o.d AS VARCHAR) AS game_date, o.home, o.away FROM ordered o JOIN slate ON o.rn = slate.rn WHERE taken""",
 )
 def upcoming(spark, folder):
     pairs = nation_pairs(spark, folder)
@@ -233,7 +231,7 @@ def view(spark, folder):
         F.col("playerTeam").alias("team"), F.col("avg_made_pct").alias("made_pct"), F.col("avg_allowed_pct").alias("allowed_pct")
     )
     chosen = reports.prediction_filter(player="RING")
-    shown = reports.predictions_view(predictions(spark, folder), None, chosen, ranks, tie=("playerId", "order"))
+    shown = reports.predictions_view(predictions(spark, folder), None, chosen, ranks, limit=100, tie=("playerId", "order"))
     return shown.select("order", "playerId", "team_skater_count", "team_rank", "opponent_rank")
 
 
@@ -244,7 +242,7 @@ def view(spark, folder):
     ORDER BY "gameDate", "predictedSOG" DESC, "playerId", "order" LIMIT 100""",
 )
 def of_game(spark, folder):
-    shown = reports.predictions_of_game(predictions(spark, folder), None, 7, 3, tie=("playerId", "order"))
+    shown = reports.predictions_of_game(predictions(spark, folder), None, 7, 3, limit=100, tie=("playerId", "order"))
     return shown.select("order", "playerId", "predictedSOG")
 
 
@@ -317,13 +315,11 @@ def trends(spark, folder):
 
 
 _SENTENCES = [
-    "CASE WHEN n10 >= 5 AND g10 > 0 THEN 'Scored ' || g10 || ' goals in last ' || n10 || ' games' END",
-    "CASE WHEN n10 >= 5 AND a10 > 0 THEN a10 || ' assists in last ' || n10 || ' games' END",
-    "CASE WHEN n10 >= 5 AND s3 > 0 THEN '3+ shots on goal in ' || s3 || ' of last ' || n10 || ' games' END",
-    "CASE WHEN n10 >= 5 AND s2 > 0 THEN '2+ shots on goal in ' || s2 || ' of last ' || n10 || ' games' END",
+    f"CASE WHEN n10 >= 5 AND {column} > 0 THEN '{label}: ' || {column} || ' {word} past ' || n10 END"
+    for column, label, word in (("g10", "goals", "over the"), ("a10", "assists", "over the"), ("s3", "three shots or more", "of the"), ("s2", "two shots or more", "of the"))
 ] + [
-    f"CASE WHEN {column} >= 2 THEN {column} || ' games in a row with {label}' END"
-    for column, label in (("k3", "3+ SOG"), ("k2", "2+ SOG"), ("ka", "1+ assist"), ("kg", "1+ goal"), ("kp", "1+ point"))
+    f"CASE WHEN {column} >= 2 THEN '{label}, running: ' || {column} END"
+    for column, label in (("k3", "three shots or more"), ("k2", "two shots or more"), ("ka", "an assist"), ("kg", "a goal"), ("kp", "a point"))
 ]
 
 
@@ -340,7 +336,7 @@ def _run(condition):
       SUM(CASE WHEN rn <= 10 AND shots >= 3 THEN 1 ELSE 0 END) AS s3, SUM(CASE WHEN rn <= 10 AND shots >= 2 THEN 1 ELSE 0 END) AS s2,
       {_run("shots >= 3")} AS k3, {_run("shots >= 2")} AS k2, {_run("assists >= 1")} AS ka, {_run("goals >= 1")} AS kg, {_run("goals + assists >= 1")} AS kp
       FROM n WHERE rn <= 20 GROUP BY "playerId")
-    SELECT "playerId", array_to_string(list_filter([{", ".join(_SENTENCES)}], lambda x: x IS NOT NULL)[1:8], '; ') AS sentences FROM t""",
+    SELECT "playerId", array_to_string(list_filter([{", ".join(_SENTENCES)}], lambda x: x IS NOT NULL), '; ') AS sentences FROM t""",
 )
 def sentences(spark, folder):
     found = reports.recent_trends(player_games(spark, folder), ["playerId"], "gameDate", "gameId", "shots", "goals", "assists")
@@ -353,9 +349,10 @@ def sentences(spark, folder):
     f"""WITH {PREDICTION_SQL} SELECT CAST("gameDate" AS VARCHAR) AS d, "gameId", hit_rate_2plus FROM pr WHERE "shooterName" = (SELECT MIN(p_name) FROM part) AND "gameId" IS NOT NULL ORDER BY "gameDate", "gameId", "playerId" LIMIT 100""",
 )
 def history(spark, folder):
-    name = table(spark, folder, "part").agg(F.min("p_name")).first()[0]
-    rows = reports.hit_rate_history(predictions(spark, folder), name, ["hit_rate_2plus"], tie=("playerId",))
-    return rows.select(F.col("gameDate").cast("string").alias("d"), "gameId", "hit_rate_2plus")
+    rows = predictions(spark, folder)
+    first = table(spark, folder, "part").agg(F.min("p_name")).scalar()
+    found = reports.hit_rate_history(rows, first, ["hit_rate_2plus"], limit=100, tie=("playerId",))
+    return found.select(F.col("gameDate").cast("string").alias("d"), "gameId", "hit_rate_2plus")
 
 
 @query(
@@ -363,7 +360,7 @@ def history(spark, folder):
     f"""WITH {PLAYER_SQL} SELECT "gameId", "playerId", shots FROM pg WHERE "gameId" IS NOT NULL AND "playerTeam" = 4 ORDER BY "gameDate" DESC, "gameId" DESC, "playerId" LIMIT 100""",
 )
 def stats_list(spark, folder):
-    rows = reports.player_stats_list(player_games(spark, folder), F.col("playerTeam") == 4)
+    rows = reports.player_stats_list(player_games(spark, folder), F.col("playerTeam") == 4, limit=100)
     return rows.select("gameId", "playerId", "shots")
 
 
@@ -391,7 +388,7 @@ def newest_ranks(spark, folder):
 def past_games(spark, folder):
     """Every fifth game has lost its home row."""
     kept = team_games(spark, folder).filter(~((F.col("gameId") % 5 == 0) & (F.col("home_or_away") == "HOME")))
-    return reports.historical_games(kept, "goals", "goalsAllowed", before=TODAY)
+    return reports.historical_games(kept, "goals", "goalsAllowed", before=TODAY, limit=100)
 
 
 @query(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,9 +35,10 @@ def build_session(app_name: str = "formline", master: str | None = None, **conf)
 def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder of this session.
 
-    The folder named by ``spark.checkpoint.dir`` is used. Only a local session
-    without one gets a temporary folder; on a cluster that would not be shared
-    by the executors, so it is an error there.
+    The folder named by ``spark.checkpoint.dir`` is used. Only a session in one
+    process (``local``, ``local[n]``) without one gets a temporary folder, removed
+    at its end; on a cluster, a local one too, it would not be shared by the
+    executors, so it is an error there.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -42,9 +46,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="formline-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 

@@ -46,6 +46,24 @@ def read_csv_table(
     return df
 
 
+def _reads(df: DataFrame, path: str) -> bool:
+    """Whether a scan of the plan names the folder or one inside it. The root
+    paths of the scans are looked at, never the list of their files."""
+    target = path.split(":", 1)[-1].rstrip("/").replace("//", "/")
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if not hasattr(leaf, "relation") or "LogicalRelation" not in leaf.getClass().getName():
+            continue
+        location = leaf.relation().location().rootPaths() if "HadoopFsRelation" in leaf.relation().getClass().getName() else None
+        for j in range(location.size() if location is not None else 0):
+            root = location.apply(j).toUri().getPath().rstrip("/")
+            if root == target or root.startswith(f"{target}/"):
+                return True
+    return False
+
+
 def overwrite(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), merge_schema: bool = False, replace_schema: bool = True
 ) -> None:
@@ -60,8 +78,7 @@ def overwrite(
             df = df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
         elif sorted(old.names) != sorted(df.columns):
             raise ValueError("schema changed; pass merge_schema or replace_schema")
-    target = path.rstrip("/")
-    if any(target + "/" in f for f in df.inputFiles()):
+    if _reads(df, path):
         raise ValueError(f"the frame still reads from {path}; write it elsewhere first")
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,10 +67,11 @@ def append_with_quarantine(df: DataFrame, rules: dict[str, str], path: str, reje
     with the names of the failed rules. Both folders are keyed by batch, so a
     repeated batch overwrites its own files instead of adding them again."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        judged = expect(batch, rules, on_fail="report")
+        judged = expect(batch, rules, on_fail="report").persist(StorageLevel.DISK_ONLY)
         bad = F.size("failed_rules") > 0
         judged.filter(~bad).drop("failed_rules").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         judged.filter(bad).write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
+        judged.unpersist()
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -100,7 +100,13 @@ def test_last_known_fill_levels(spark):
 
 def test_slate_keeps_first_game_of_both(spark):
     games = spark.createDataFrame([(1, "A", "B"), (2, "B", "C"), (3, "C", "D"), (4, "E", "F")], "n int, h string, a string")
-    assert rows_of(schedule.first_games_of_slate(games, "h", "a", ["n"]), "n") == [(1,), (4,)]
+    assert rows_of(schedule.first_games_of_slate(games, "h", "a", ["n"]), "n") == [(1,), (3,), (4,)]
+
+
+def test_slate_breaks_ties_by_teams(spark):
+    games = spark.createDataFrame([(1, "A", "B"), (1, "A", "C"), (1, "A", "C"), (1, "C", "D"), (1, "D", "A"), (2, "B", "E"), (1, None, "F")], "n int, h string, a string")
+    assert rows_of(schedule.first_games_of_slate(games, "h", "a", ["n"]), "h", "a") == [("A", "B"), ("C", "D")]
+    assert rows_of(schedule.first_games_of_slate(games.limit(0), "h", "a", ["n"])) == []
 
 
 def test_rows_without_key_go_round_the_join(spark):

@@ -40,8 +40,12 @@ def test_selection_pca_and_tables(spark, rows, tmp_path):
     assert len(names) == prepared.first()["features"].size
     slicer = models.select_features(prepared, "y", 2, must_have=[1])
     assert slicer.getIndices() == [0, 1]
-    reduced = models.pca_for_variance(prepared, 0.95)
-    assert 1 <= reduced.getK() <= len(names) and sum(reduced.explainedVariance.toArray()) >= 0.95
+    model, slicer = models.pca_for_variance(prepared, 0.95)
+    kept = slicer.getIndices()
+    explained = model.explainedVariance.toArray()
+    assert kept == list(range(len(kept))) and sum(explained[: len(kept)]) >= 0.95 > sum(explained[: len(kept) - 1])
+    assert slicer.transform(model.transform(prepared)).first()["reduced"].size == len(kept)
+    assert models.pca_for_variance(prepared.limit(0).unionByName(prepared), 1.0)[1].getIndices() == list(range(len(names)))
     paths = models.write_feature_tables(prepared, "y", ["id"], str(tmp_path), sizes=[2, 3])
     assert {k: spark.read.parquet(p).first()["selected"].size for k, p in paths.items()} == {2: 2, 3: 3}
 
