@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+SHARDS = 64
+
 
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -30,16 +32,24 @@ def register_total_price(spark: SparkSession, name: str = "total_price") -> None
 def register_latest_rows(
     spark: SparkSession, name: str, view: str, key: str, order: list[str], columns: list[str], played: str | None = None, default_rows: int = 3
 ) -> None:
-    """``name(key, n)``: table function with the newest n rows of one key."""
+    """``name(key, n)``: table function with the newest n rows of one key.
+
+    The key's rows are ranked in SHARDS parts first, so that a crowded key keeps
+    several tasks busy and the last ranking sees n rows of each part only.
+    """
     schema = spark.table(view).schema
     returns = ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in columns)
     newest = ", ".join(f"`{c}` DESC" for c in order)
     condition = f"AND `{played}` IS NOT NULL" if played else ""
     listed = ", ".join(f"`{c}`" for c in columns)
+    needed = ", ".join(f"`{c}`" for c in dict.fromkeys([*columns, *order]))
+    ordered = ", ".join(f"`{c}`" for c in order)
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(wanted {schema[key].dataType.simpleString()}, n INT DEFAULT {default_rows}) "
         f"RETURNS TABLE({returns}) RETURN SELECT {listed} FROM ("
-        f"SELECT *, row_number() OVER (ORDER BY {newest}) AS _rn FROM {view} WHERE `{key}` = wanted {condition}) WHERE _rn <= n"
+        f"SELECT *, row_number() OVER (ORDER BY {newest}) AS _rn FROM ("
+        f"SELECT {needed}, row_number() OVER (PARTITION BY pmod(xxhash64({ordered}), {SHARDS}) ORDER BY {newest}) AS _part "
+        f"FROM {view} WHERE `{key}` = wanted {condition}) WHERE _part <= n) WHERE _rn <= n"
     )
 
 

@@ -86,11 +86,14 @@ def player_form(
     include_current: str = "never",
     windows: Sequence[int] = (3, 7),
     zero_fill: Callable[[str], bool] | None = keep_rank_nulls,
+    bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
-    """Form per entity and per matchup: six outputs for each measure."""
+    """Form per entity and per matchup: six outputs for each measure. Crowded
+    groups are measured once per key set, on the input."""
     shared = dict(windows=windows, played=played, include_current=include_current, zero_fill=zero_fill)
-    own = rolling_form(df, entity, order, measures, **shared)
-    return rolling_form(own, matchup, order, measures, prefix="matchup_", **shared)
+    by_matchup = hot_groups(df, matchup, bounded_by)
+    own = rolling_form(df, entity, order, measures, bounded_by=bounded_by, **shared)
+    return rolling_form(own, matchup, order, measures, prefix="matchup_", hot=by_matchup, **shared)
 
 
 def games_played(

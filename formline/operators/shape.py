@@ -137,6 +137,14 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def union_by_position(*frames: DataFrame) -> DataFrame:
+    """Union by place of the columns, under the names of the first frame; their
+    number must agree."""
+    if len({len(f.columns) for f in frames}) > 1:
+        raise ValueError("the frames differ in their number of columns")
+    return reduce(DataFrame.union, frames)
+
+
 def union_distinct(*frames: DataFrame) -> DataFrame:
     return union_all(*frames).distinct()
 
