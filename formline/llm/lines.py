@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formline.llm.words import SPACES, null_safe, text_key
@@ -10,6 +10,8 @@ from formline.session import reliable_checkpoint
 
 LINE = ["__a", "__b"]
 PLACE = ["__none", "__id", "__key", "__no"]
+#: Candidate lines, of a few numbers each, that may be sent to every task.
+BROADCAST_LINES = 1_000_000
 
 
 def normal_line(line: Column) -> Column:
@@ -20,19 +22,19 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(line, SPACES, " ")).otherwise(line))
 
 
-def half_keys(words: str = "__w", line: str = "__s") -> Column:
+def half_keys(words: str = "__w", line: str = "__s") -> list[Column]:
     """Four hashes of which any two lines one word apart share one.
 
     If lines of W words differ in one word, either the first or the last half is
     the same; if one has a word more, the shorter one's halves say so in the longer
-    one as well. So a line gives its halves for its own length and for the length
-    below.
+    one as well. So a line gives its halves for its own length (places 0 and 1)
+    and for the length below (2 and 3).
     """
     keys = []
     for base in (f"{words}", f"({words} - 1)"):
         keys.append(F.expr(f"xxhash64('first', {base}, substring_index({line}, ' ', CAST({base} DIV 2 AS INT)))"))
         keys.append(F.expr(f"xxhash64('last', {base}, substring_index({line}, ' ', CAST({base} DIV 2 - {base} AS INT)))"))
-    return F.array(*keys)
+    return keys
 
 
 def one_word_apart(x: str, y: str) -> Column:
@@ -49,8 +51,8 @@ def one_word_apart(x: str, y: str) -> Column:
     )
 
 
-def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
-    """One row per document: ``id, text_key, n_lines, n_dropped, clean_text``.
+def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8, carry: tuple = ()) -> DataFrame:
+    """One row per document: ``id, text_key, n_lines, n_dropped, clean_text`` and, as a struct ``carried``, the columns named by ``carry``.
 
     Lines end at line feeds and are compared as words joined by single spaces;
     lines without words stay. A line is dropped when the same line, or, from
@@ -61,60 +63,85 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Equal lines are one row with their first place from the start. Lines sharing
     no half with another line can have no partner. The others emit a key for each
-    word taken out (a running exclusive-or of hashes of word and place, so work is
-    linear in a line's length). Equal keys are joined with the earliest line that
+    word of the other half taken out (a running exclusive-or of hashes of word and
+    place, so work is linear in a line's length). Equal keys are joined with the earliest line that
     has the key, never line with line, and such pairs are verified on the words.
 
     Null texts have no lines and a null clean_text. Rows that repeat id and text
     are one document and get the same result. No rows give no rows.
     """
     own = docs.select(F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__key"), F.col(text_col).alias("__text"))
+    full = docs.select(
+        F.col(id_col).alias("__id"), text_key(F.col(text_col)).alias("__key"), F.col(text_col).alias("__text"), F.struct(*carry).alias("__carried")
+    ) if carry else own
     lines = own.select("__id", "__key", F.posexplode(F.split("__text", "\n", -1)).alias("__no", "__line")).select(
         F.col("__id").isNull().alias("__none"), "__id", "__key", "__no", normal_line(F.col("__line")).alias("__s")
     ).filter("__s <> ''").withColumn("__w", F.size(F.split("__s", " ")))
+    halves = [F.when(F.col("__w") >= min_words, k).alias(f"__h{i}") for i, k in enumerate(half_keys())]
     named = lines.select(
-        F.xxhash64("__s").alias("__a"), F.xxhash64("__s", F.lit("b")).alias("__b"), F.struct(*PLACE).alias("__at"), "__w",
-        F.when(F.col("__w") >= min_words, half_keys()).alias("__halves"),
+        F.xxhash64("__s").alias("__a"), F.xxhash64("__s", F.lit("b")).alias("__b"), F.struct(*PLACE).alias("__at"), F.struct(*halves).alias("__h")
     )
     distinct = reliable_checkpoint(
-        named.groupBy(*LINE).agg(F.min("__at").alias("__at"), F.any_value("__halves").alias("__halves")).select(*LINE, "__at.*", "__halves")
+        named.groupBy(*LINE).agg(F.min("__at").alias("__at"), F.any_value("__h").alias("__h"))
+        .select("__a", "__at.__id", "__at.__key", "__at.__no", "__h.*")
     )
+    return _cleaned(full, distinct, _superseded(_candidates(own, distinct)), id_col)
 
-    halves = distinct.select("__a", F.explode("__halves").alias("__half"))
-    shared = halves.groupBy("__half").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
-    open_ = halves.join(shared, "__half").select("__a").distinct()
-    places = distinct.drop("__halves").join(open_, "__a")
-    texts = null_safe(own, places, ["__id", "__key"], "inner").select(
-        *LINE, "__none", "__id", "__key", "__no", normal_line(F.element_at(F.split("__text", "\n", -1), F.col("__no") + 1)).alias("__s")
-    ).dropDuplicates(LINE)
-    near = reliable_checkpoint(texts)
 
-    return _cleaned(own, distinct, _superseded(near), id_col)
+def _candidates(own: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Lines that share a half with another, with their first places, texts and a mask of the halves shared.
+
+    The few documents that hold them are found by a broadcast join as long as
+    their lines are counted and below BROADCAST_LINES, else by a shuffle.
+    """
+    halves = distinct.select("__a", F.posexplode(F.array("__h0", "__h1", "__h2", "__h3")).alias("__i", "__half")).filter("__half is not null")
+    shared = halves.groupBy("__half").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+    open_ = reliable_checkpoint(
+        halves.join(shared, "__half").groupBy("__a").agg(F.bit_or(F.expr("shiftleft(1, __i)")).alias("__mask"))
+    )
+    sized = F.broadcast if open_.count() <= BROADCAST_LINES else lambda df: df
+    wanted = reliable_checkpoint(
+        distinct.select("__a", "__id", "__key", "__no").join(sized(open_), "__a")
+        .groupBy("__id", "__key").agg(F.collect_list(F.struct("__no", "__mask")).alias("__want"))
+    )
+    texts = null_safe(own, sized(wanted), ["__id", "__key"], "inner").select(
+        "__id", "__key", "__want", F.split("__text", "\n", -1).alias("__lines")
+    )
+    picked = F.transform("__want", lambda x: F.struct(x["__no"].alias("no"), x["__mask"].alias("mask"), F.element_at("__lines", x["__no"] + 1).alias("line")))
+    return reliable_checkpoint(
+        texts.select("__id", "__key", F.explode(picked).alias("__x")).select(
+            F.col("__id").isNull().alias("__none"), "__id", "__key", F.col("__x.no").alias("__no"), F.col("__x.mask").alias("__mask"),
+            normal_line(F.col("__x.line")).alias("__s"),
+        ).withColumns({"__a": F.xxhash64("__s"), "__b": F.xxhash64("__s", F.lit("b"))}).dropDuplicates(LINE)
+    )
 
 
 def _superseded(near: DataFrame) -> DataFrame:
-    """Of candidate lines, the names of those that an earlier one is a word apart from."""
-    from pyspark.sql import Window
-
-    words = near.select(*LINE, F.size(F.split("__s", " ")).alias("__w"), F.posexplode(F.split("__s", " ")).alias("__p", "__word"))
+    """Of candidate lines, the places of those that an earlier one is a word apart from."""
+    words = near.select(*LINE, "__mask", F.size(F.split("__s", " ")).alias("__w"), F.posexplode(F.split("__s", " ")).alias("__p", "__word"))
     whole = Window.partitionBy(*LINE)
     before = whole.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     here, moved = F.xxhash64("__word", "__p"), F.xxhash64("__word", F.col("__p") - 1)
     runs = words.withColumn("__here", here).withColumn("__moved", moved).select(
-        *LINE, "__w", "__p",
+        *LINE, "__mask", "__w", "__p",
         F.coalesce(F.bit_xor("__here").over(before), F.lit(0)).bitwiseXOR(
             F.bit_xor("__moved").over(whole).bitwiseXOR(F.coalesce(F.bit_xor("__moved").over(before), F.lit(0))).bitwiseXOR(F.col("__moved"))
         ).alias("__less"),
         F.bit_xor("__here").over(whole).alias("__all"),
     )
+    # A shared first half leaves the change to the words behind it, a shared last half to those before it.
+    shares = lambda i: F.col("__mask").bitwiseAND(1 << i) != 0
+    half = F.expr("__w DIV 2")
+    below = F.expr("(__w - 1) DIV 2")
+    inside = lambda i, edge: (shares(i) & (F.col("__p") >= edge)) | (shares(i + 1) & (F.col("__p") <= edge))
     kinds = F.array(
-        F.struct(F.xxhash64(F.lit("replaced"), "__w", "__p", "__less").alias("key"), F.lit(0).alias("side")),
-        F.struct(F.xxhash64(F.lit("put in"), F.col("__w") - 1, "__less").alias("key"), F.lit(1).alias("side")),
+        F.when(inside(0, half), F.struct(F.xxhash64(F.lit("replaced"), "__w", "__p", "__less").alias("key"), F.lit(0).alias("side"))),
+        F.when(inside(2, below), F.struct(F.xxhash64(F.lit("put in"), F.col("__w") - 1, "__less").alias("key"), F.lit(1).alias("side"))),
         F.when(F.col("__p") == 0, F.struct(F.xxhash64(F.lit("put in"), "__w", "__all").alias("key"), F.lit(2).alias("side"))),
     )
     keys = runs.select(*LINE, F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("__k")).select(*LINE, "__k.key", "__k.side")
     often = keys.groupBy("key").agg(F.min("__a").alias("__x"), F.max("__a").alias("__y")).filter("__x <> __y").select("key")
-    found = reliable_checkpoint(keys.join(often, "key").join(near.drop("__s"), LINE))
+    found = reliable_checkpoint(keys.join(often, "key").join(near.select(*LINE, *PLACE), LINE))
     # Replaced words meet on one side; a line with a word more meets the whole line, and the other way round.
     first = found.groupBy("key", "side").agg(F.min(F.struct(*PLACE, *LINE)).alias("__first"))
     partner = first.select("key", F.when(F.col("side") == 0, 0).otherwise(3 - F.col("side")).alias("side"), "__first")
@@ -122,33 +149,37 @@ def _superseded(near: DataFrame) -> DataFrame:
         found.join(partner, ["key", "side"]).filter(F.col("__first") < F.struct(*PLACE, *LINE))
         .select(*LINE, F.col("__first.__a").alias("__c"), F.col("__first.__b").alias("__d")).distinct()
     )
-    text = near.select(*LINE, "__s")
-    verified = pairs.join(text, LINE).join(text.toDF("__c", "__d", "__t"), ["__c", "__d"])
-    return verified.filter(one_word_apart("__s", "__t")).select(*LINE).distinct()
+    verified = pairs.join(near.select(*LINE, "__id", "__key", "__no", "__s"), LINE).join(
+        near.select(F.col("__a").alias("__c"), F.col("__b").alias("__d"), F.col("__s").alias("__t")), ["__c", "__d"]
+    )
+    return verified.filter(one_word_apart("__s", "__t")).select("__id", "__key", "__no").distinct()
 
 
 def _cleaned(own: DataFrame, distinct: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     """The documents with the first places of the lines that stay, and their blank lines."""
-    stay = distinct.join(gone, LINE, "left_anti").groupBy("__id", "__key").agg(F.collect_list("__no").alias("__stay"))
-    joined = null_safe(own, stay, ["__id", "__key"], "left").withColumn("__lines", F.split("__text", "\n", -1))
+    keys = ["__id", "__key"]
+    first = distinct.groupBy(*keys).agg(F.collect_list("__no").alias("__first"))
+    late = gone.groupBy(*keys).agg(F.collect_list("__no").alias("__gone"))
+    joined = null_safe(null_safe(own, first, keys, "left"), late, keys, "left").withColumn("__lines", F.split("__text", "\n", -1))
+    none = F.array().cast("array<int>")
     blank = F.filter(
         F.transform("__lines", lambda line, i: F.when(F.trim(F.translate(line, "\t\r\x0b\x0c", "    ")) == "", i)), lambda i: i.isNotNull()
     )
-    kept = F.array_sort(F.concat(F.coalesce("__stay", F.array().cast("array<int>")), blank))
-    return joined.withColumn("__blank", F.size(blank)).withColumn("__kept", kept).select(
+    stay = F.array_except(F.coalesce("__first", none), F.coalesce("__gone", none))
+    joined = joined.withColumn("__kept", F.array_sort(F.concat(stay, blank)))
+    return joined.select(
         F.col("__id").alias(id_col), F.col("__key").alias("text_key"),
         F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.when(F.col("__text").isNull(), 0).otherwise(F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"),
         F.array_join(F.transform("__kept", lambda i: F.element_at("__lines", i + 1)), "\n").alias("clean_text"),
+        *([F.col("__carried").alias("carried")] if "__carried" in own.columns else []),
     )
 
 
 def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
     """The documents, all columns, with their clean texts. Documents that lose every line they had words in are left out."""
-    cleaned = duplicate_lines(docs, id_col, text_col, min_words).select(
-        F.col(id_col).alias("__id"), F.col("text_key").alias("__key"), "n_dropped", F.col("clean_text").alias("__clean")
-    ).dropDuplicates(["__id", "__key"])
-    keyed = docs.withColumn("__id", F.col(id_col)).withColumn("__key", text_key(F.col(text_col)))
-    joined = null_safe(keyed, cleaned.withColumnRenamed("n_dropped", "__dropped"), ["__id", "__key"], "inner")
-    left = (F.col("__dropped") == 0) | (F.trim(F.translate("__clean", "\t\r\n\x0b\x0c", "     ")) != "")
-    return joined.filter(left).withColumn(text_col, F.col("__clean")).select(*docs.columns)
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    cleaned = duplicate_lines(docs, id_col, text_col, min_words, tuple(others))
+    left = (F.col("n_dropped") == 0) | (F.trim(F.translate("clean_text", "\t\r\n\x0b\x0c", "     ")) != "")
+    named = {id_col: F.col(id_col), text_col: F.col("clean_text")} | {c: F.col("carried")[c] for c in others}
+    return cleaned.filter(left).select(*[named[c].alias(c) for c in docs.columns])
