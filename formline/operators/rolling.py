@@ -86,13 +86,17 @@ def player_form(
     include_current: str = "never",
     windows: Sequence[int] = (3, 7),
     zero_fill: Callable[[str], bool] | None = keep_rank_nulls,
+    extra: Sequence[Running | Framed] = (),
     bounded_by: Sequence[DataFrame] | int = (),
 ) -> DataFrame:
     """Form per entity and per matchup: six outputs for each measure. Crowded
-    groups are measured once per key set, on the input."""
+    groups are measured once per key set, on the input; ``extra`` outputs ride
+    along with the entity's."""
     shared = dict(windows=windows, played=played, include_current=include_current, zero_fill=zero_fill)
-    by_matchup = hot_groups(df, matchup, bounded_by)
-    own = rolling_form(df, entity, order, measures, bounded_by=bounded_by, **shared)
+    by_entity = hot_groups(df, entity, bounded_by)
+    finer = set(entity) <= set(matchup)
+    by_matchup = None if finer and by_entity is None else hot_groups(df, matchup, bounded_by)
+    own = rolling_form(df, entity, order, measures, extra=extra, hot=by_entity, **shared)
     return rolling_form(own, matchup, order, measures, prefix="matchup_", hot=by_matchup, **shared)
 
 

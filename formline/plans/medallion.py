@@ -19,7 +19,7 @@ from formline.functions.dates import parse_date, season_code
 from formline.functions.numbers import ratio, zero_if_null
 from formline.operators.joins import join_apart_from_nulls, null_safe_join
 from formline.operators.lastknown import last_known_fill
-from formline.operators.ordered import Running, over_ordered
+from formline.operators.ordered import Running, hot_groups, over_ordered
 from formline.operators.quality import assert_unique, distinct_keys, expect_or_fail
 from formline.operators.ranking import latest_date_flag, rank_form, usage_rank
 from formline.operators.rolling import games_played, player_form, running_totals, team_form
@@ -86,13 +86,15 @@ def silver_team_ranks(games: DataFrame) -> DataFrame:
     team's latest date among the latest rows of all teams."""
     played = games.filter(F.col("gameId").isNotNull())
     order = ["gameDate", "gameId"]
-    counted = games_played(played, ["playerTeam", "season"], order, "gameId", "teamGamesPlayedRolling")
-    counted = games_played(
-        counted, ["playerTeam", "opposingTeam", "season"], order, "gameId", "teamMatchupPlayedRolling"
-    )
+    # Measured on the input; finer groups are only crowded where coarser ones are.
+    hot = hot_groups(played, ["playerTeam", "season"])
+    matchup = ["playerTeam", "opposingTeam", "season"]
+    hot_matchup = None if hot is None else hot_groups(played, matchup)
+    counted = games_played(played, ["playerTeam", "season"], order, "gameId", "teamGamesPlayedRolling", hot=hot)
+    counted = games_played(counted, matchup, order, "gameId", "teamMatchupPlayedRolling", hot=hot_matchup)
     per_game = [f"game_Total_{m}{side}" for m in PER_GAME for side in ("For", "Against")]
     base = [f"game_{c}" for c in TEAM_BASE]
-    rolled = running_totals(counted, ["playerTeam", "season"], order, [*per_game, *base])
+    rolled = running_totals(counted, ["playerTeam", "season"], order, [*per_game, *base], hot=hot)
     n = "teamGamesPlayedRolling"
     rolled = rolled.select(
         "*",
@@ -134,8 +136,9 @@ def silver_player_ranks(players: DataFrame, measures: Sequence[str]) -> DataFram
     players with as many games."""
     order = ["gameDate", "gameId"]
     entity = ["playerId", "playerTeam", "season"]
-    counted = games_played(players, entity, order, "gameId", "_games")
-    rolled = running_totals(counted, entity, order, measures, games="_games")
+    hot = hot_groups(players, entity)
+    counted = games_played(players, entity, order, "gameId", "_games", hot=hot)
+    rolled = running_totals(counted, entity, order, measures, games="_games", hot=hot)
     rates = [f"rolling_per_game_{m}" for m in measures]
     ranked = rank_form(rolled, ["_games", "playerTeam", "season"], rates)
     names = {f"{k}_rolling_per_game_{m}": f"{k}_rolling_{m}" for m in measures for k in ("rank", "perc_rank")}
@@ -160,15 +163,18 @@ def gold_player_form(
     following = next_game_per_member(upcoming, roster, ["playerTeam", "season"], player, ["gameDate", "playerTeam"])
     rows = union_all(players, following)
     order = ["gameDate", F.col("gameId").asc_nulls_last(), "playerTeam"]
-    rows = games_played(rows, ["playerId", "playerTeam", "season"], order, "gameId", "playerGamesPlayedRolling")
+    entity, matchup = ["playerId", "playerTeam", "season"], ["playerId", "playerTeam", "opposingTeam", "season"]
+    hot = hot_groups(rows, entity)
+    rows = games_played(rows, entity, order, "gameId", "playerGamesPlayedRolling", hot=hot)
     rows = games_played(
-        rows, ["playerId", "playerTeam", "opposingTeam", "season"], order, "gameId", "playerMatchupPlayedRolling"
+        rows, matchup, order, "gameId", "playerMatchupPlayedRolling", hot=None if hot is None else hot_groups(rows, matchup)
     )
     shares = [
         ratio(f"player_{s}_shotsOnGoal", "player_Total_shotsOnGoal").alias(f"player_SOG%_{s}") for s in ("PP", "EV")
     ]
     rows = rows.select("*", *shares)
-    formed = player_form(
+    faced = Running("previous_opposingTeam", F.col("opposingTeam"), "last", strict=True)
+    return player_form(
         rows,
         player,
         ["playerId", "playerTeam", "shooterName", "opposingTeam"],
@@ -176,9 +182,8 @@ def gold_player_form(
         [*measures, "player_SOG%_PP", "player_SOG%_EV"],
         F.col("gameId").isNotNull(),
         include_current,
+        extra=[faced],
     )
-    faced = Running("previous_opposingTeam", F.col("opposingTeam"), "last", strict=True)
-    return over_ordered(formed, player, order, [faced])
 
 
 def gold_game_form(ranks: DataFrame, measures: Sequence[str]) -> DataFrame:
