@@ -10,6 +10,8 @@ from formline.llm.net import fit_labelled
 
 SHARED_ORDERS = 2
 SAMPLE = 20_000
+#: Labels, of an id and two numbers each, that may be sent to every task.
+BROADCAST_LABELS = 2_000_000
 CLEAR = (1.0, 2.0, 3.5)
 
 
@@ -68,6 +70,9 @@ def toxicity_scores(
     the first in order of a hash of the id, each measured with the models of the
     half of the rows that it isn't in.
 
+    Labels are counted; up to BROADCAST_LABELS of them go to the texts by
+    broadcast, more by a shuffle.
+
     Null and empty texts get the score of a text without words. A null label, or
     one whose id isn't among the documents, teaches nothing; an id labelled twice
     has its larger label. Without labels of both kinds all scores are 0.
@@ -77,7 +82,8 @@ def toxicity_scores(
     kind = docs.schema[id_col].dataType.simpleString()
     known = labels.filter(learn & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
     half = F.pmod(F.xxhash64("__id"), F.lit(2))
-    taught = docs.filter(learn).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(known, "__id")
+    sized = F.broadcast(known) if known.count() <= BROADCAST_LABELS else known
+    taught = docs.filter(learn).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(sized, "__id")
     counts = collected(count_cells(taught.select(F.concat(half, F.lit(":"), "__y").alias("class"), "text"), "class", "text"))
     pick = lambda name, c: counts.get(f"{name}:{c}", np.zeros(CELLS))
     parts = [log_ratios({c: pick(1 - h, c) for c in "01"}) for h in (0, 1)]  # for the rows of half h, counts of the other
