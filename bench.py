@@ -27,7 +27,8 @@ schedule_outer_join roster_fill_next_only last_known_fill anti_join_append upser
 ordered_dedupe event_counts_for_against possession_pct rebounds events_in_interval totals_in_intervals
 first_within_tolerance nearest_date_match two_tier_lookup either_order_pair current_streak hit_rates_last_n
 game_analysis recent_trends historical_games pick_grading layer_profile dup_groups vector_topk regression_metrics
-stream_dedupe_append
+stream_dedupe_append predictions_view season_rank_map player_game_stats team_game_stats bi_summary player_form_fanout
+ml_score ml_feature_select
 """.split()
 
 
@@ -62,6 +63,7 @@ def main() -> None:
         "queries": times,
         "sf": Path(folder).name.removeprefix("sf"),
         "first": round(sum(first.values()), 3),
+        "cold": first,
     }
     print(json.dumps(result))
     spark.stop()

@@ -346,7 +346,7 @@ def hit_rate_month(spark, folder):
     _recent_sql(
         "user_id",
         "event_id",
-        "SELECT *, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'purchase'",
+        "SELECT *, CAST(ts AS DATE) AS d FROM events",
         "value",
         20,
         60,
@@ -354,7 +354,7 @@ def hit_rate_month(spark, folder):
     ),
 )
 def hit_rate_week(spark, folder):
-    events = table(spark, folder, "events").filter("event_type = 'purchase'")
+    events = table(spark, folder, "events")
     days = events.select("event_id", "user_id", "value", F.to_date("ts").alias("d"))
     return hit_rate_last_days(days, ["user_id"], "d", "value", days=7, thresholds=(20, 60)).drop(
         "user_id", "value", "d"

@@ -38,16 +38,16 @@ def nearest_date_match(spark, folder):
 @query(
     "two_tier_lookup",
     """
-    WITH byid AS (SELECT o_custkey, MAX(o_totalprice) AS v FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' GROUP BY o_custkey),
-    bynation AS (SELECT c_nationkey, MAX(c_acctbal) AS v FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY c_nationkey)
+    WITH byid AS (SELECT o_custkey, MAX(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS v FROM orders GROUP BY o_custkey),
+    bynation AS (SELECT c_nationkey, MAX(c_acctbal) AS v FROM customer GROUP BY c_nationkey)
     SELECT c_custkey, CASE WHEN i.o_custkey IS NOT NULL THEN i.v ELSE n.v END AS v, CASE WHEN i.o_custkey IS NOT NULL THEN 1 WHEN n.c_nationkey IS NOT NULL THEN 2 END AS tier
     FROM customer c LEFT JOIN byid i ON c.c_custkey = i.o_custkey LEFT JOIN bynation n ON c.c_nationkey = n.c_nationkey""",
 )
 def tiered(spark, folder):
     customer = table(spark, folder, "customer")
-    urgent = table(spark, folder, "orders").filter("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
-    by_id = urgent.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("v"))
-    by_nation = customer.filter("c_mktsegment = 'BUILDING'").groupBy("c_nationkey").agg(F.max("c_acctbal").alias("v"))
+    finished = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
+    by_id = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max(finished).alias("v"))
+    by_nation = customer.groupBy("c_nationkey").agg(F.max("c_acctbal").alias("v"))
     asked = customer.select("c_custkey", "c_nationkey")
     found = two_tier_lookup(asked, by_id, ["c_custkey"], ["c_nationkey"], ["v"], "tier", second_table=by_nation)
     return found.drop("c_nationkey")

@@ -166,7 +166,7 @@ def options(spark, folder):
     "repair_scores",
     f"""
     WITH {TEAM_SQL}, z AS (SELECT "gameId", "playerTeam", "opposingTeam", CASE WHEN "gameId" % 3 = 0 THEN 0 ELSE goals END AS goals, CASE WHEN "gameId" % 3 = 0 THEN 0 ELSE "goalsAllowed" END AS ga FROM tg),
-    s AS (SELECT "gameId", "playerTeam", goals AS total FROM tg WHERE "gameId" % 2 = 0),
+    s AS (SELECT "gameId", "playerTeam", CASE WHEN "gameId" % 2 = 0 THEN goals END AS total FROM tg),
     f AS (SELECT z.*, z.goals = 0 AND z.ga = 0 AND o.total IS NOT NULL AND p.total IS NOT NULL AS rep, o.total AS o, p.total AS p FROM z LEFT JOIN s o ON z."gameId" = o."gameId" AND z."playerTeam" = o."playerTeam"
       LEFT JOIN s p ON z."gameId" = p."gameId" AND z."opposingTeam" = p."playerTeam")
     SELECT "gameId", "playerTeam", "opposingTeam", CASE WHEN rep THEN o ELSE goals END AS goals, CASE WHEN rep THEN p ELSE ga END AS "goalsAllowed",
@@ -176,7 +176,7 @@ def repaired(spark, folder):
     games = team_games(spark, folder).select("gameId", "playerTeam", "opposingTeam", "goals", "goalsAllowed")
     lost = F.col("gameId") % 3 == 0
     gaps = games.withColumns({c: F.when(lost, 0).otherwise(F.col(c)) for c in ("goals", "goalsAllowed")})
-    sums = games.filter("gameId % 2 = 0").select("gameId", "playerTeam", F.col("goals").alias("total"))
+    sums = games.select("gameId", "playerTeam", F.when(F.col("gameId") % 2 == 0, F.col("goals")).alias("total"))
     return reports.repair_scores(gaps, sums, "goals", "goalsAllowed")
 
 
@@ -192,6 +192,18 @@ def results(spark, folder):
     return best.select("playerId", "playerTeam", "shots")
 
 
+@query(
+    "latest_scores",
+    f"""
+    WITH {TEAM_SQL}, l AS (SELECT MAX("gameDate") AS day FROM tg WHERE "gameDate" BETWEEN DATE '{TODAY}' - INTERVAL 14 DAY AND DATE '{TODAY}' - INTERVAL 1 DAY)
+    SELECT "gameId", "playerTeam", "opposingTeam", goals, "goalsAllowed" FROM tg JOIN l ON "gameDate" = day WHERE home_or_away = 'HOME'""",
+)
+def scores(spark, folder):
+    games, players = team_games(spark, folder), player_games(spark, folder)
+    latest, _ = reports.latest_results(games, players, TODAY, "shots")
+    return latest.select("gameId", "playerTeam", "opposingTeam", "goals", "goalsAllowed")
+
+
 @query(
     "upcoming_games",
     f"""
@@ -430,9 +442,10 @@ def summary(spark, folder):
 
 
 def _picks(spark, folder):
-    """Every third player row of a played game is picked, the type by its
-    part; a third of the picks know only the name."""
-    rows = player_games(spark, folder).filter("gameId is not null and gameId % 3 = 0")
+    """Every player row of a played game is picked, the type by its part; a third
+    of the picks know only the name. Actuals of odd games have lost id and name."""
+    rows = player_games(spark, folder).filter("gameId is not null")
+    known = F.col("gameId") % 2 == 0
     kinds = ["sog", "sog_2", "sog_3", "sog_4", "goal", "point", "assist", "other"]
     kind = F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("playerId") % 8 + 1).cast("int"))
     picks = rows.select(
@@ -445,12 +458,12 @@ def _picks(spark, folder):
         kind.alias("pick_type"),
         (F.col("shots") * 0.9).alias("predicted_sog"),
     )
-    actuals = rows.filter("gameId % 2 = 0").select(
+    actuals = rows.select(
         F.col("gameDate").alias("game_date"),
         F.col("playerTeam").alias("player_team"),
         F.col("opposingTeam").alias("opposing_team"),
-        F.col("playerId").cast("string").alias("player_id"),
-        F.concat(F.lit("P"), F.col("playerId"), F.lit("-"), F.col("gameId")).alias("player_name"),
+        F.when(known, F.col("playerId").cast("string")).alias("player_id"),
+        F.when(known, F.concat(F.lit("P"), F.col("playerId"), F.lit("-"), F.col("gameId"))).alias("player_name"),
         F.col("shots").alias("actual_sog"),
         F.col("goals").alias("actual_goal"),
         F.col("assists").alias("actual_assist"),
@@ -459,8 +472,8 @@ def _picks(spark, folder):
 
 
 _GRADED = f"""{PLAYER_SQL},
-rows AS (SELECT * FROM pg WHERE "gameId" IS NOT NULL AND "gameId" % 3 = 0),
-act AS (SELECT * FROM rows WHERE "gameId" % 2 = 0),
+rows AS (SELECT * FROM pg WHERE "gameId" IS NOT NULL),
+act AS (SELECT "gameId", "gameDate", "playerTeam", "opposingTeam", CASE WHEN "gameId" % 2 = 0 THEN "playerId" END AS "playerId", shots, goals, assists FROM rows),
 byid AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "gameDate", "playerTeam", "opposingTeam", "playerId" ORDER BY shots DESC, goals DESC, assists DESC) AS rn FROM act) t WHERE rn = 1),
 graded AS (SELECT r."gameId" AS id, r."playerId" AS p, r.shots * 0.9 AS pred, r."playerId" % 8 AS k,
   CASE WHEN i."playerId" IS NOT NULL THEN 1 WHEN n."playerId" IS NOT NULL THEN 2 END AS tier, COALESCE(i.shots, n.shots) AS s, COALESCE(i.goals, n.goals) AS g, COALESCE(i.assists, n.assists) AS a

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -45,7 +45,8 @@ def zero_fill(df: DataFrame, types: Sequence[str] = ("int", "bigint")) -> DataFr
 
 def dedupe_within(df: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
     """First row per key among rows at most ``delay`` apart. State is dropped
-    as the watermark passes, so it stays bounded for an endless stream."""
+    as the watermark passes, so it stays bounded for an endless stream; rows later
+    than the watermark are dropped by Spark. ``append_first_within`` keeps them."""
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -62,6 +63,43 @@ def append_table(df: DataFrame, path: str, checkpoint: str, available_now: bool
     return (writer.trigger(availableNow=True) if available_now else writer).start(path)
 
 
+def append_first_within(
+    df: DataFrame, keys: Sequence[str], time: str, delay: str, path: str, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Append rows that have no row of the same keys at most ``delay`` before
+    them in their batch, or within ``delay`` in the table.
+
+    No watermark is used, so a row that comes late, however late, is compared
+    with the stored rows of its own time and is never dropped for being late. Of
+    the table only the batch's span of time is read. Folders are keyed by batch,
+    so a repeated batch overwrites its own files. Set ``max_files`` on the source
+    to bound a batch. Rows without a time are compared with nothing and stored.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        at, pause = F.col(time), F.expr(f"INTERVAL {delay}")
+        rows = batch.persist(StorageLevel.DISK_ONLY)
+        low, high = rows.agg(F.min(at - pause), F.max(at + pause)).first()
+        order = Window.partitionBy(*keys).orderBy(time)
+        fresh = rows.withColumn("_before", F.lag(time).over(order)).filter(
+            F.col("_before").isNull() | at.isNull() | (at - pause > F.col("_before"))
+        ).drop("_before")
+        if low is not None and batch_id > 0:
+            stored = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+            stored = stored.filter((F.col("batch") != batch_id) & at.between(F.lit(low), F.lit(high))).select(
+                *[F.col(k).alias(f"_s_{k}") for k in keys], at.alias("_stored")
+            )
+            same = F.abs(F.unix_micros(at) - F.unix_micros("_stored")) <= F.unix_micros(F.lit(high)) - F.unix_micros(F.lit(high) - pause)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+            fresh = fresh.join(stored, same, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows.unpersist()
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def append_with_quarantine(df: DataFrame, rules: dict[str, str], path: str, rejected: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Rows that meet every rule go to ``path``, the others to ``rejected``
     with the names of the failed rules. Both folders are keyed by batch, so a

@@ -91,6 +91,21 @@ def test_stream_dedupe_and_second_run(spark, tmp_path):
     assert run().count() == 1001
 
 
+def test_late_rows_of_a_stream_are_kept(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "k int, ts timestamp, v int"
+    files = [
+        [(1, "2024-01-05 10:00:00", 1), (1, "2024-01-05 10:05:00", 2), (2, "2024-01-05 10:00:00", 3)],
+        [(1, "2024-01-05 10:20:00", 4), (1, "2024-01-05 10:09:00", 5), (None, "2024-01-05 10:00:00", 6)],
+        [(1, "2024-01-01 00:00:00", 7), (3, "2023-12-01 00:00:00", 8), (2, "2024-01-05 09:55:00", 9), (None, "2024-01-05 10:01:00", 10)],
+    ]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, "k int, ts string, v int").selectExpr("k", "CAST(ts AS timestamp) AS ts", "v").coalesce(1).write.parquet(f"{source}/f={i}")
+        stream = append.stream_files(spark, source + "/*", spark.createDataFrame([], schema).schema, max_files=1)
+        append.append_first_within(stream, ["k"], "ts", "10 MINUTES", out, state).awaitTermination()
+    assert [v for (v,) in rows_of(spark.read.schema(schema).parquet(out), "v")] == [1, 3, 4, 6, 7, 8]
+
+
 def test_stream_quarantine(spark, tmp_path):
     source, out, bad, state = (str(tmp_path / n) for n in ("in", "out", "bad", "state"))
     df = spark.createDataFrame([(1, 5), (None, 6), (3, -1)], "k int, n int")
