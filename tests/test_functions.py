@@ -113,3 +113,29 @@ def test_day_ranges_reach_the_scan(spark, tmp_path):
         if kind != "string":
             plan = kept._jdf.queryExecution().executedPlan().toString()
             assert "GreaterThanOrEqual(d," in plan and "LessThan" in plan.split("PushedFilters")[1]
+
+
+def test_rounding_has_one_path(spark):
+    rows = spark.createDataFrame([(0.125,), (2.5e12 + 0.125,), (-1.0e15 - 0.375,), (None,)], "v double")
+    got = [r[0] for r in rows.select(round_half_up("v")).collect()]
+    assert got == [0.13, 2500000000000.13, -1000000000000000.38, None]
+
+
+def test_vector_search_in_blocks(spark, monkeypatch):
+    from formline.operators import vectors
+
+    items = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(8)], "i int, v array<double>")
+    asked = spark.createDataFrame([(q, [float(q), 2.0]) for q in range(5)], "q int, v array<double>")
+    whole = sorted(map(tuple, vectors.vector_top_k(items, asked, "q", "v", "i", "v", 3, digits=6).collect()))
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 2)
+    assert sorted(map(tuple, vectors.vector_top_k(items, asked, "q", "v", "i", "v", 3, digits=6).collect())) == whole
+    assert len(whole) == 15
+
+
+def test_sql_table_function_over_parts(spark):
+    from formline.functions import sqlfunctions
+
+    spark.range(500).selectExpr("id", "id % 2 AS k", "CAST(id AS STRING) AS name").createOrReplaceTempView("numbered")
+    sqlfunctions.register_latest_rows(spark, "newest_numbers", "numbered", "k", ["id"], ["id", "name"])
+    assert [r.id for r in spark.sql("SELECT * FROM newest_numbers(1) ORDER BY id").collect()] == [495, 497, 499]
+    assert [r.id for r in spark.sql("SELECT * FROM newest_numbers(0, 2) ORDER BY id").collect()] == [496, 498]
