@@ -70,7 +70,7 @@ def fit_quality(
         docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), mark.alias("drawn"))
         .join(F.broadcast(trusted), "__id", "left")  # at most `sample` rows
         .select("text", "drawn", F.coalesce("__trusted", F.lit(False)).alias("trusted"))
-        .filter("drawn or trusted").limit(3 * sample)
+        .filter("drawn or trusted")
     )
 
     def features(batches):
@@ -80,7 +80,7 @@ def fit_quality(
             x = [describe(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["drawn"], batch["trusted"], pa.array(x, pa.list_(pa.float64()))], ["drawn", "trusted", "x"])
 
-    seen = rows.mapInArrow(features, "drawn boolean, trusted boolean, x array<double>").toArrow()
+    seen = rows.mapInArrow(features, "drawn boolean, trusted boolean, x array<double>").limit(3 * sample).toArrow()
     x = np.array(seen["x"].to_pylist()).reshape(-1, len(FEATURES))
     drawn, good = (np.array(seen[c].to_pylist(), bool) for c in ("drawn", "trusted"))
     net = fit_pu(x[good], x[drawn], prior) if good.any() and drawn.any() else None
