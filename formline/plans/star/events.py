@@ -293,6 +293,24 @@ def _acting(p):
     ).drop("player_id")
 
 
+def _player_stats(spark, folder):
+    p = plays(spark, folder)
+    roster = p.select("game_id", "player_id", (F.col("owner_id") == "A").alias("is_home")).distinct()
+
+    def clock(c):
+        return F.format_string("%02d:%02d", F.floor(c / 60).cast("int"), F.pmod(c, F.lit(60)))
+
+    shifts = _shifts_of_users(spark, folder).select(
+        "game_id",
+        "player_id",
+        "period",
+        clock(F.col("s0")).alias("startTime"),
+        clock(F.col("s1")).alias("endTime"),
+        clock(F.col("s1") - F.col("s0")).alias("duration"),
+    )
+    return player_stats(_acting(p), shifts, roster, bounded_by=row_bound(spark, folder, "events", 25))
+
+
 _ON = """SELECT DISTINCT s.game_id, s.player, p.event_index, p.owner, p.type,
   CASE WHEN s.player % 2 = 0 THEN CASE code WHEN '1451' THEN '5on4' WHEN '1541' THEN '4on5' ELSE '5on5' END
        ELSE CASE code WHEN '1451' THEN '4on5' WHEN '1541' THEN '5on4' ELSE '5on5' END END AS sit,
@@ -315,21 +333,7 @@ _ON = """SELECT DISTINCT s.game_id, s.player, p.event_index, p.owner, p.type,
     LEFT JOIN ice i ON r.game_id = i.game_id AND r.player = i.player""",
 )
 def player_game_stats(spark, folder):
-    p = plays(spark, folder)
-    roster = p.select("game_id", "player_id", (F.col("owner_id") == "A").alias("is_home")).distinct()
-
-    def clock(c):
-        return F.format_string("%02d:%02d", F.floor(c / 60).cast("int"), F.pmod(c, F.lit(60)))
-
-    shifts = _shifts_of_users(spark, folder).select(
-        "game_id",
-        "player_id",
-        "period",
-        clock(F.col("s0")).alias("startTime"),
-        clock(F.col("s1")).alias("endTime"),
-        clock(F.col("s1") - F.col("s0")).alias("duration"),
-    )
-    stats = player_stats(_acting(p), shifts, roster, bounded_by=row_bound(spark, folder, "events", 25))
+    stats = _player_stats(spark, folder)
     whole = F.col("situation") == "all"
     return stats.select(
         "game_id",
@@ -343,6 +347,74 @@ def player_game_stats(spark, folder):
     )
 
 
+_WIDE_KINDS = {
+    "shotsOnGoal": _SHOT, "goals": "type = 'goal'", "missedShots": "type = 'missed-shot'", "blockedShotAttempts": "type = 'blocked-shot'", "hits": "type = 'hit'",
+    **{f"{d}DangerShots": f"{_SHOT} AND danger = '{d}'" for d in ("high", "medium", "low")},
+    **{f"{d}DangerGoals": f"type = 'goal' AND danger = '{d}'" for d in ("high", "medium", "low")},
+    "shotAttempts": "type <> 'hit'", "unblockedShotAttempts": "type NOT IN ('hit', 'blocked-shot')", "savedShotsOnGoal": "type = 'shot-on-goal'",
+    "savedUnblockedShotAttempts": "type IN ('shot-on-goal', 'missed-shot')",
+}
+_WIDE = {f"{name}{side}": f"{own} AND {kind}" for side, own in (("For", "own"), ("Against", "NOT own")) for name, kind in _WIDE_KINDS.items()}
+
+
+@query(
+    "event_counts_wide",
+    f"WITH {PLAYS_SQL} SELECT game_id, team_id, sit AS situation, {', '.join(_count(c, n) for n, c in _WIDE.items())} FROM listed GROUP BY game_id, team_id, sit",
+)
+def event_counts_wide(spark, folder):
+    """Every counter and danger class of both sides."""
+    return team_counts(plays(spark, folder)).select("game_id", "team_id", "situation", *_WIDE)
+
+
+_ICE = {
+    "shotsOnGoal": _SHOT, "missedShots": "type = 'missed-shot'", "blockedShotAttempts": "type = 'blocked-shot'", "goals": "type = 'goal'",
+    "shotAttempts": "TRUE", "unblockedShotAttempts": "type <> 'blocked-shot'",
+}
+_ICE_NAMES = {f"{where}_{mark}_{name}": (where, own, kind) for where in ("OnIce", "OffIce") for mark, own in (("F", "own"), ("A", "NOT own")) for name, kind in _ICE.items()}
+_OWN_COUNTS = {
+    "I_F_goals": "type = 'goal'", "I_F_shotsOnGoal": _SHOT, "I_F_missedShots": "type = 'missed-shot'", "I_F_blockedShotAttempts": "type = 'blocked-shot'",
+    "I_F_hits": "type = 'hit'", **{f"I_F_{d}DangerShots": f"{_SHOT} AND danger = '{d}'" for d in ("high", "medium", "low")},
+    **{f"I_F_{d}DangerGoals": f"type = 'goal' AND danger = '{d}'" for d in ("high", "medium", "low")}, "I_F_shotAttempts": "type <> 'hit'",
+}
+
+
+def _sums(table_name, names):
+    return ", ".join(f'COALESCE(SUM(CASE WHEN {c} THEN 1 ELSE 0 END), 0) AS "{n}"' for n, c in names) + f" FROM {table_name}"
+
+
+_MINE = "CASE WHEN p.player % 2 = 0 THEN CASE code WHEN '1451' THEN '5on4' WHEN '1541' THEN '4on5' ELSE '5on5' END ELSE CASE code WHEN '1451' THEN '4on5' WHEN '1541' THEN '5on4' ELSE '5on5' END END"
+
+
+@query(
+    "player_game_stats_wide",
+    f"""
+    WITH {PLAYS_SQL}, {_SHIFTS}, oni AS ({_ON}), onl AS (SELECT *, 'all' AS s2 FROM oni UNION ALL SELECT *, sit FROM oni),
+    roster AS (SELECT DISTINCT game_id, player FROM plays), sits AS (SELECT UNNEST(['all', '5on4', '4on5', '5on5']) AS s2),
+    alli AS (SELECT r.game_id, r.player, q.type, (q.owner = 'A') = (r.player % 2 = 0) AS own, {_MINE.replace("p.player", "r.player")} AS sit
+      FROM roster r JOIN plays q ON r.game_id = q.game_id AND q.type <> 'hit'),
+    alll AS (SELECT *, 'all' AS s2 FROM alli UNION ALL SELECT *, sit FROM alli),
+    mine AS (SELECT *, {_MINE} AS sit FROM graded p), minel AS (SELECT *, 'all' AS s2 FROM mine UNION ALL SELECT *, sit FROM mine),
+    onc AS (SELECT game_id, player, s2, {_sums("onl", [(n, f"{own} AND {kind}") for n, (w, own, kind) in _ICE_NAMES.items() if w == "OnIce"])} GROUP BY 1, 2, 3),
+    allc AS (SELECT game_id, player, s2, {_sums("alll", [(n, f"{own} AND {kind}") for n, (w, own, kind) in _ICE_NAMES.items() if w == "OffIce"])} GROUP BY 1, 2, 3),
+    own AS (SELECT game_id, player, s2, {_sums("minel", _OWN_COUNTS.items())} GROUP BY 1, 2, 3),
+    held AS (SELECT DISTINCT game_id FROM shifts),
+    placed AS (SELECT s.game_id, s.player, s.s1 - s.s0 AS t, (SELECT arg_min(COALESCE(code, '1551'), p.event_index) FROM plays p WHERE p.game_id = s.game_id AND p.period = s.period AND p.sec BETWEEN s.s0 - 4 AND s.s0 + 4) AS code FROM shifts s),
+    icel AS (SELECT game_id, player, t, 'all' AS s2 FROM placed UNION ALL SELECT game_id, player, t, {_MINE.replace("p.player", "player")} FROM placed),
+    ice AS (SELECT game_id, player, s2, SUM(t) AS t, COUNT(*) AS c FROM icel GROUP BY 1, 2, 3)
+    SELECT r.game_id, CAST(r.player AS VARCHAR) AS player_id, s.s2 AS situation, CAST(COALESCE(ice.t, 0) AS DOUBLE) AS icetime, CAST(COALESCE(ice.c, 0) AS BIGINT) AS shifts,
+      {", ".join(f'CAST(COALESCE(own."{n}", 0) AS BIGINT) AS "{n}"' for n in _OWN_COUNTS)},
+      {", ".join(f'CASE WHEN held.game_id IS NOT NULL THEN CAST(COALESCE(onc."{n}", 0) AS BIGINT) END AS "{n}"' for n, x in _ICE_NAMES.items() if x[0] == "OnIce")},
+      {", ".join(f'CASE WHEN held.game_id IS NOT NULL THEN CAST(COALESCE(allc."{n}", 0) - COALESCE(onc."{n.replace("OffIce", "OnIce")}", 0) AS BIGINT) END AS "{n}"' for n, x in _ICE_NAMES.items() if x[0] == "OffIce")}
+    FROM roster r CROSS JOIN sits s LEFT JOIN held ON r.game_id = held.game_id LEFT JOIN onc ON r.game_id = onc.game_id AND r.player = onc.player AND s.s2 = onc.s2
+    LEFT JOIN allc ON r.game_id = allc.game_id AND r.player = allc.player AND s.s2 = allc.s2 LEFT JOIN own ON r.game_id = own.game_id AND r.player = own.player AND s.s2 = own.s2
+    LEFT JOIN ice ON r.game_id = ice.game_id AND r.player = ice.player AND s.s2 = ice.s2""",
+)
+def player_game_stats_wide(spark, folder):
+    """Own counters, on-ice and off-ice attempts of both sides, and the ice time of each situation."""
+    stats = _player_stats(spark, folder)
+    return stats.select("game_id", "player_id", "situation", "icetime", "shifts", *_OWN_COUNTS, *_ICE_NAMES)
+
+
 @query("games_of_events", "SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS game_id, 'A' AS home_id, 'B' AS away_id FROM events")
 def games_seen(spark, folder):
     return games_of(plays(spark, folder), ["game_id"])
