@@ -261,7 +261,8 @@ def near_duplicates(
         return pa.table({"a": pa.array([x for x, _ in links], column), "b": pa.array([y for _, y in links], column)})
 
     more = units.groupBy("band", "hash", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
-    named = components(stars.unionByName(more))
+    # The components known are stars already.
+    named = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
     smallest = classes.join(named.withColumnRenamed("id", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component_id")
     )
