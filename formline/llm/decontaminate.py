@@ -127,21 +127,25 @@ def contamination(
         rows = base.select(
             "__row", id_col, "text_key", total.cast("long").alias("n_words"), F.explode(each).alias("__e")
         ).select("__row", id_col, "text_key", "n_words", F.col("__e.gram").alias("__gram"), F.col("__e.spots").alias("__spots"))
-        plain = rows.filter(F.col("__gram").isNull())
-        matched = rows.filter(F.col("__gram").isNotNull()).join(grams, "__gram", "left_semi")
-        spots = plain.unionByName(matched).select("__row", id_col, "text_key", "n_words", F.explode_outer("__spots").alias("__spot"))
+        # One pass and one join: a document's first row has no gram and a key of its own.
+        keyed = rows.withColumns({"__k": F.coalesce("__gram", "__row"), "__first": F.col("__gram").isNull()})
+        wanted = grams.select(F.col("__gram").alias("__k"), F.lit(False).alias("__first"), F.lit(True).alias("__in"))
+        matched = keyed.join(wanted, ["__k", "__first"], "left").filter("__first or __in")
+        spots = matched.select("__row", id_col, "text_key", "n_words", F.explode_outer("__spots").alias("__spot"))
     else:
         spots = base.select("__row", id_col, "text_key", total.cast("long").alias("n_words"), F.explode_outer(found).alias("__spot"))
 
     # Rows without a spot get a key of their own, so they don't meet in one task where the join is shuffled.
     key = F.coalesce(F.col("__spot.window"), F.concat(F.lit(" "), F.col("__row").cast("string")))
-    table = windows.select(F.col("__window").alias("__key"), "__item", F.lit(True).alias("__known"))
+    table = windows.groupBy(F.col("__window").alias("__key")).agg(
+        F.collect_set(F.col("__item").cast("string")).alias("__items"), F.lit(True).alias("__known")
+    )
     joined = spots.withColumn("__key", key).join(F.broadcast(table) if small else table, "__key", "left")
     span = F.when(F.col("__known"), F.struct(F.col("__spot.at").alias("at"), F.col("__spot.len").alias("len")))
     covered = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["len"] - 1))))
     return (
         joined.groupBy("__row", id_col, "text_key", "n_words")
-        .agg(F.collect_set(span).alias("spans"), F.collect_set(F.col("__item").cast("string")).alias("items"))
+        .agg(F.collect_set(span).alias("spans"), F.array_distinct(F.flatten(F.collect_set("__items"))).alias("items"))
         .select(
             id_col, "text_key", "n_words", F.size(covered).cast("long").alias("n_hit"),
             F.array_sort("spans").alias("spans"), F.array_sort("items").alias("items"),
