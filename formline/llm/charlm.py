@@ -15,6 +15,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formline.llm.words import text_slices
+
 SYMBOLS, ORDER = 32, 4
 CELLS = SYMBOLS**ORDER
 SLICE_CHARS = 1 << 20
@@ -83,7 +85,7 @@ def count_cells(texts: DataFrame, class_col: str, text_col: str, at_once: int =
                 )
             held.clear()
 
-        for batch in batches:
+        for batch in text_slices(batches):
             names, texts_ = batch["class"].to_pylist(), batch["text"].to_pylist()
             for a, b in slices([t or "" for t in texts_]):
                 by_class: dict[str, list[str]] = {}

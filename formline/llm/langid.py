@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formline.llm.charlm import CELLS, cells, collected, count_cells, kneser_ney, slices
+from formline.llm.words import text_slices
 from formline.session import reliable_checkpoint
 
 UNKNOWN = "und"
@@ -75,7 +76,7 @@ def identify(
         import pyarrow as pa
 
         table = model.table()
-        for batch in batches:
+        for batch in text_slices(batches):
             texts = [t or "" for t in batch["text"].to_pylist()]
             for a, b in slices(texts):
                 best, share, level = [UNKNOWN] * (b - a), np.zeros(b - a), [None] * (b - a)

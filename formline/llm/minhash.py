@@ -25,11 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formline.llm.components import components
-from formline.llm.words import hash_runs, hash_words, split_words, text_key
+from formline.llm.words import hash_runs, hash_words, split_words, text_key, text_slices
 from formline.session import reliable_checkpoint
 
 BATCH = 25
-SLICE_BYTES = 2 << 20
 
 
 @lru_cache
@@ -103,20 +102,6 @@ def signatures(sets, hashes: int, seed: int = 7):
     return out
 
 
-def _slices(batches, column: str):
-    """Record batches cut to about SLICE_BYTES of text each."""
-    import numpy as np
-    import pyarrow.compute as pc
-
-    for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
-        at = 0
-        while at < batch.num_rows:
-            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES)))
-            yield batch.slice(at, upto - at)
-            at = upto
-
-
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, size: int = 5, bands: int = 25,
     rows: int = 5, miss: float = 1e-6, block: int = 1024,
@@ -146,7 +131,7 @@ def near_duplicates(
         import pyarrow as pa
         from pandas.util import hash_array
 
-        for part in _slices(batches, "text"):
+        for part in text_slices(batches):
             sets = shingle_sets(part["text"], size)
             full = [i for i, s in enumerate(sets) if len(s)]
             names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
@@ -176,7 +161,7 @@ def near_duplicates(
     def node(batches):
         import pyarrow as pa
 
-        for part in _slices(batches, "text"):
+        for part in text_slices(batches):
             sets = shingle_sets(part["text"], size)
             full = [i for i, s in enumerate(sets) if len(s)]
             if full:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formline.llm.net import fit_pu
+from formline.llm.words import text_slices
 
 SAMPLE = 20_000
 FEATURES = (
@@ -76,7 +77,7 @@ def fit_quality(
     def features(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in text_slices(batches):
             x = [describe(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["drawn"], batch["trusted"], pa.array(x, pa.list_(pa.float64()))], ["drawn", "trusted", "x"])
 
@@ -103,7 +104,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc
     def score(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in text_slices(batches):
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(probabilities(batch["text"].to_pylist()), pa.float64())], [id_col, "score"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"`{id_col}` {kind}, score double")
@@ -116,7 +117,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, learn, least: float = 0.3,
     def keep(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in text_slices(batches, text_col):
             yield batch.filter(pa.array(probabilities(batch[text_col].to_pylist()) >= least, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

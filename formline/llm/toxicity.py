@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from formline.llm.charlm import CELLS, cells, collected, count_cells, kneser_ney, slices
 from formline.llm.net import fit_labelled
+from formline.llm.words import text_slices
 
 SHARED_ORDERS = 2
 SAMPLE = 20_000
@@ -95,7 +96,7 @@ def toxicity_scores(
     def measure(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in text_slices(batches):
             texts = [t or "" for t in batch["text"].to_pylist()]
             for a, b in slices(texts):
                 side = batch["half"].slice(a, b - a).to_numpy()
@@ -110,7 +111,7 @@ def toxicity_scores(
     def score(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in text_slices(batches):
             texts = [t or "" for t in batch["text"].to_pylist()]
             for a, b in slices(texts):
                 x = measures(texts[a:b], ratios)

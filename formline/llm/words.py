@@ -47,6 +47,20 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> D
 # Inside Python tasks: the words of a batch of texts as arrays.
 
 
+def text_slices(batches, column: str = "text", size: int = 2 << 20):
+    """Record batches cut to about ``size`` bytes of text each, one row at least, so that a task holds little at a time."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size)))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
 def split_words(texts):
     """``(words, offsets)``: all words of an Arrow array of texts, and where each text's words begin and end.
 
