@@ -84,6 +84,8 @@ def fit_quality(
     seen = rows.mapInArrow(features, "drawn boolean, trusted boolean, x array<double>").limit(3 * sample).toArrow()
     x = np.array(seen["x"].to_pylist()).reshape(-1, len(FEATURES))
     drawn, good = (np.array(seen[c].to_pylist(), bool) for c in ("drawn", "trusted"))
+    order = np.lexsort(np.column_stack([x, good]).T) if len(x) else np.zeros(0, int)  # rows come in any order
+    x, drawn, good = x[order], drawn[order], good[order]
     net = fit_pu(x[good], x[drawn], prior) if good.any() and drawn.any() else None
 
     def probabilities(texts: list):

@@ -104,9 +104,11 @@ def toxicity_scores(
                 yield pa.RecordBatch.from_arrays([batch["__y"].slice(a, b - a), pa.array(list(got))], ["y", "x"])
 
     seen = rows.mapInArrow(measure, "y int, x array<double>").toArrow()
-    y = seen["y"].to_numpy()
+    x, y = np.array(seen["x"].to_pylist()).reshape(-1, 3 + len(CLEAR)), seen["y"].to_numpy()
+    order = np.lexsort(np.column_stack([x, y]).T) if len(y) else np.zeros(0, int)  # rows come in any order
+    x, y = x[order], y[order]
     able = len(y) and 0 < y.sum() < len(y) and ratios.any()
-    probability = fit_labelled(np.array(seen["x"].to_pylist()), y) if able else None
+    probability = fit_labelled(x, y) if able else None
 
     def score(batches):
         import pyarrow as pa
