@@ -1,4 +1,4 @@
-"""Toxicity by class-conditional Kneser-Ney models."""
+"""Toxicity by class-conditional Kneser-Ney models of characters and a table of runs of words."""
 
 from __future__ import annotations
 
@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from formline.llm.charlm import CELLS, cells, collected, count_cells, kneser_ney, slices
 from formline.llm.net import fit_labelled
+from formline.llm.wordruns import Filter, count_runs, runs_of
 from formline.llm.words import text_slices
+from formline.session import reliable_checkpoint
 
 SHARED_ORDERS = 2
 SAMPLE = 20_000
 #: Labels, of an id and two numbers each, that may be sent to every task.
 BROADCAST_LABELS = 2_000_000
 CLEAR = (1.0, 2.0, 3.5)
+TELLING = (1.0, 2.5)
 
 
 def log_ratios(counts: dict):
@@ -59,6 +62,42 @@ def measures(texts: list[str], ratios):
     return out
 
 
+def telling_runs(taught: DataFrame):
+    """``run, s, s0, s1``: how clearly each run of words speaks of toxic texts, by all rows and without the rows of half 0 and 1.
+
+    A run counts from its second toxic text on. Its evidence is the logarithm of
+    its share of toxic over its share of ordinary texts, one toxic text and as
+    many ordinary ones as go with it put in on both sides, so that unknown runs
+    have 0. Runs without evidence above the least of TELLING say nothing. The
+    table has a row for each run that does, however many texts there are.
+    """
+    toxic = reliable_checkpoint(count_runs(taught.filter("__y = 1")).filter("n0 + n1 > 1").toDF("run", "t0", "t1"))
+    ordinary = count_runs(taught.filter("__y = 0"), Filter(toxic)).toDF("run", "o0", "o1")
+    sizes = {(r.half, r["__y"]): r.n for r in taught.groupBy("half", "__y").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def evidence(halves):
+        t, o = (sum(F.coalesce(f"{c}{h}", F.lit(0)) for h in halves) for c in "to")
+        many, rest = (sum(sizes.get((h, y), 0) for h in halves) for y in (1, 0))
+        return F.when(t > 1, F.log((t + 1) / (o * F.lit(many / max(1, rest)) + 1))).otherwise(0.0)
+
+    table = toxic.join(ordinary, "run", "left").select("run", evidence((0, 1)).alias("s"), evidence((1,)).alias("s0"), evidence((0,)).alias("s1"))
+    return reliable_checkpoint(table.filter(F.greatest("s", "s0", "s1") > TELLING[0]))
+
+
+def with_evidence(rows: DataFrame, runs: DataFrame, strength) -> DataFrame:
+    """Rows of ``at, n, runs, x``: the measures x with those of the row's runs of words behind them, the runs left out.
+
+    The row's clearest run, and the excess of its runs over the levels of TELLING for each of its n words.
+    """
+    over = [F.sum(F.greatest(F.col("s") - level, F.lit(0.0))).alias(f"e{k}") for k, level in enumerate(TELLING)]
+    found = (
+        rows.select("at", "half", F.explode("runs").alias("run")).join(runs, "run").select("at", strength.alias("s"))
+        .groupBy("at").agg(F.max("s").alias("top"), *over)
+    )
+    more = [F.coalesce("top", F.lit(0.0))] + [F.log1p(1000 * F.coalesce(f"e{k}", F.lit(0.0)) / F.greatest("n", F.lit(1))) for k in range(len(TELLING))]
+    return rows.drop("runs").join(found, "at", "left").withColumn("x", F.concat("x", F.array(*more))).drop("at", "n", "top", *[f"e{k}" for k in range(len(TELLING))])
+
+
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE,
 ) -> DataFrame:
@@ -66,10 +105,12 @@ def toxicity_scores(
 
     Two character models, of the texts labelled 1 and 0, are counted over every
     labelled row for which ``learn`` (on the id) holds; they share their lower
-    orders. A text's measures compare its length-normalised log-likelihoods. How
-    they weigh up to a probability is fitted on at most ``sample`` labelled rows,
-    the first in order of a hash of the id, each measured with the models of the
-    half of the rows that it isn't in.
+    orders. A text's measures compare its length-normalised log-likelihoods. Runs
+    of one to three words are counted over the same rows into a table that grows
+    with them (``telling_runs``), and joined with the distinct runs of each text
+    for further measures. How all measures weigh up to a probability is fitted on
+    at most ``sample`` labelled rows, the first in order of a hash of the id, each
+    measured with the models of the half of the rows that it isn't in.
 
     Labels are counted; up to BROADCAST_LABELS of them go to the texts by
     broadcast, more by a shuffle.
@@ -90,21 +131,41 @@ def toxicity_scores(
     parts = [log_ratios({c: pick(1 - h, c) for c in "01"}) for h in (0, 1)]  # for the rows of half h, counts of the other
     ratios = log_ratios({c: pick(0, c) + pick(1, c) for c in "01"})
 
-    some = known.withColumn("half", half).orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(some), "__id")  # at most `sample` rows
-
-    def measure(batches):
-        import pyarrow as pa
-
-        for batch in text_slices(batches):
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            for a, b in slices(texts):
-                side = batch["half"].slice(a, b - a).to_numpy()
-                got = np.where((side == 0)[:, None], *[measures(texts[a:b], r) for r in parts])
-                yield pa.RecordBatch.from_arrays([batch["__y"].slice(a, b - a), pa.array(list(got))], ["y", "x"])
-
-    seen = rows.mapInArrow(measure, "y int, x array<double>").toArrow()
-    x, y = np.array(seen["x"].to_pylist()).reshape(-1, 3 + len(CLEAR)), seen["y"].to_numpy()
+    taught = taught.select(half.cast("int").alias("half"), "__y", "text")
+    runs = telling_runs(taught)
+    told = Filter(runs)
+
+    some = known.withColumn("half", half.cast("int")).orderBy(F.xxhash64("__id"), "__id").limit(sample)
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(some), "__id")  # at most `sample` ids
+
+    def measured(rows, models, named):
+        """``at, half, n, runs, x`` and the named columns of each row. Written, so that ``at`` names a row from here on."""
+
+        def measure(batches):
+            import pyarrow as pa
+
+            for batch in text_slices(batches):
+                texts = [t or "" for t in batch["text"].to_pylist()]
+                for a, b in slices(texts):
+                    part = batch.slice(a, b - a)
+                    row, found, n = runs_of(part["text"], told)
+                    ends = np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32)
+                    asked = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.view(np.int64)))
+                    each = [measures(texts[a:b], r) for r in models]
+                    x = each[0] if len(each) == 1 else np.where((part["half"].to_numpy() == 0)[:, None], *each)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part[c] for c in named), part["half"], pa.array(n), asked, pa.array(list(x), pa.list_(pa.float64()))],
+                        [*named, "half", "n", "runs", "x"],
+                    )
+
+        kinds = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in named)
+        return reliable_checkpoint(
+            rows.mapInArrow(measure, f"{kinds}half int, n long, runs array<long>, x array<double>").withColumn("at", F.monotonically_increasing_id())
+        )
+
+    seen = with_evidence(measured(rows, parts, ["__id", "__y"]), runs, F.when(F.col("half") == 0, F.col("s0")).otherwise(F.col("s1")))
+    seen = seen.groupBy("__id").agg(F.min(F.struct("__y", "x")).alias("r")).select(F.col("r.__y").alias("y"), "r.x").toArrow()  # repeated ids once
+    x, y = np.array(seen["x"].to_pylist()).reshape(-1, 4 + len(CLEAR) + len(TELLING)), seen["y"].to_numpy()
     order = np.lexsort(np.column_stack([x, y]).T) if len(y) else np.zeros(0, int)  # rows come in any order
     x, y = x[order], y[order]
     able = len(y) and 0 < y.sum() < len(y) and ratios.any()
@@ -113,13 +174,12 @@ def toxicity_scores(
     def score(batches):
         import pyarrow as pa
 
-        for batch in text_slices(batches):
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            for a, b in slices(texts):
-                x = measures(texts[a:b], ratios)
-                p = probability.score(x) if able else np.zeros(b - a)
-                yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a), pa.array(p), pa.array(x[:, 0])], [id_col, "score", "mean_log_ratio"])
+        for batch in batches:
+            x = np.array(batch["x"].to_pylist(), float).reshape(batch.num_rows, -1)
+            p = probability.score(x) if able else np.zeros(batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(p), pa.array(x[:, 0])], [id_col, "score", "mean_log_ratio"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    every = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).alias("half"))
+    return with_evidence(measured(every, [ratios], ["id"]), runs, F.col("s")).select("id", "x").mapInArrow(
         score, f"`{id_col}` {kind}, score double, mean_log_ratio double"
     )
