@@ -29,8 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return minhash.drop_near_duplicates(docs)
+    """One document of each group of near duplicates: five words, a similarity of 80 % or more."""
+    return minhash.drop_near_duplicates(docs, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

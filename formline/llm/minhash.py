@@ -113,8 +113,8 @@ def near_duplicates(
     are linked with nothing. Two documents are linked when the intersection is at
     least ``percent`` of the union; component_id is the smallest id reachable, and
     that document is kept. With the default bands a pair of just 85 % shares no
-    band with a chance of 4e-7, and ``miss`` bounds what each look at the
-    signatures may lose.
+    band with a chance of 4e-7 (80 %: 5e-5), and ``miss`` bounds what each look at
+    the signatures may lose.
 
     Rows with a null id are linked through their text to others' classes, but name
     no component; such a row without a named class has a null component_id and is
@@ -261,13 +261,13 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, **options) -> DataFrame:
     """The documents, all columns, of which one of each group stays: the one with the smallest id.
 
     Rows with a null id can't be named by a group and all stay. Of rows that repeat
     id and text one stays.
     """
-    kept = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("__id")).distinct()
+    kept = near_duplicates(docs, id_col, text_col, percent, **options).filter("kept").select(F.col(id_col).alias("__id")).distinct()
     keyed = docs.withColumn("__id", F.col(id_col)).withColumn("__key", text_key(F.col(text_col)))
     named = keyed.filter(F.col("__id").isNotNull()).dropDuplicates(["__id", "__key"]).join(kept, "__id", "left_semi")
     bare = keyed.filter(F.col("__id").isNull())

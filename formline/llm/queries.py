@@ -158,7 +158,7 @@ SELECT doc_id, size, source_size, target, CAST(floor(r * per + shift) - floor((r
 
 @query
 def op7_minhash_near_dedup(spark, folder):
-    return minhash.near_duplicates(table(spark, folder, "documents"))
+    return minhash.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
 SQL["op7_minhash_near_dedup"] = r"""
