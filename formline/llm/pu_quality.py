@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from math import log1p
 
 from pyspark.sql import DataFrame
@@ -37,7 +38,7 @@ def describe(text: str | None) -> list[float]:
     odd = sum(1 for w in words if not w[-1:].isalnum() and w[-1] < 128 and w[-1:] not in b".,")
     return [
         log1p(len(words)), len(data) / m, len(distinct) / m,
-        max(map(words.count, words[:3]), default=0) / m if words else 0.0,
+        max(Counter(words).values(), default=0) / m,
         again / m, len(set(lines)) / max(1, len(lines)), log1p(len(data) / max(1, len(lines))), lower / n, upper / n, digit / n, space / n,
         stop / m, mark / m, bar / m, symbol / m, (n - lower - upper - digit - space - beyond - stop) / n, beyond / n, odd / m,
         len(zlib.compress(data, 1)) / n, data.count(b".") / max(1, len(lines)),
@@ -53,7 +54,8 @@ def fit_quality(
     Trusted positives are rows labelled 1 for which ``learn`` (on the id) holds,
     at most ``sample`` of them, the first in order of a hash of the id. The
     unlabelled texts are about as many rows of the documents, drawn by hash from
-    all of them, whatever their labels. The class prior, unless given, is
+    all of them, whatever their labels; if none is drawn, that is an error. Of
+    the rows of an id one counts on either side, of rows without an id every text. The class prior, unless given, is
     estimated as the share of 1 among the labels to learn from. Null labels and
     labels of unknown ids teach nothing. Without positives every text gets the
     prior (0.5 without labels).
@@ -66,11 +68,12 @@ def fit_quality(
         prior = min(0.95, max(0.05, (ones or 0) / every)) if every else 0.5
     trusted = known.filter("__y = 1").orderBy(F.xxhash64("__id"), "__id").limit(sample).select("__id", F.lit(True).alias("__trusted"))
     share = min(1.0, sample / max(1, docs.count()))
-    mark = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1_000_000)) < int(share * 1_000_000)
+    own = F.xxhash64(F.col(id_col), F.col(text_col))
+    mark = F.shiftrightunsigned(own, 1) <= min(2**63 - 1, int(share * 2**63))
     rows = (
-        docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), mark.alias("drawn"))
+        docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), own.alias("own"), mark.alias("drawn"))
         .join(F.broadcast(trusted), "__id", "left")  # at most `sample` rows
-        .select("text", "drawn", F.coalesce("__trusted", F.lit(False)).alias("trusted"))
+        .select("__id", "own", "text", "drawn", F.coalesce("__trusted", F.lit(False)).alias("trusted"))
         .filter("drawn or trusted")
     )
 
@@ -79,14 +82,24 @@ def fit_quality(
 
         for batch in text_slices(batches):
             x = [describe(t) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["drawn"], batch["trusted"], pa.array(x, pa.list_(pa.float64()))], ["drawn", "trusted", "x"])
-
-    seen = rows.mapInArrow(features, "drawn boolean, trusted boolean, x array<double>").limit(3 * sample).toArrow()
-    x = np.array(seen["x"].to_pylist()).reshape(-1, len(FEATURES))
-    drawn, good = (np.array(seen[c].to_pylist(), bool) for c in ("drawn", "trusted"))
-    order = np.lexsort(np.column_stack([x, good]).T) if len(x) else np.zeros(0, int)  # rows come in any order
-    x, drawn, good = x[order], drawn[order], good[order]
-    net = fit_pu(x[good], x[drawn], prior) if good.any() and drawn.any() else None
+            named = ["__id", "own", "drawn", "trusted"]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in named), pa.array(x, pa.list_(pa.float64()))], [*named, "x"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    seen = (
+        rows.mapInArrow(features, f"__id {kind}, own long, drawn boolean, trusted boolean, x array<double>")
+        .groupBy("__id", F.when(F.col("__id").isNull(), F.col("own")).alias("own"))
+        .agg(*[F.min(F.when(F.col(c), F.col("x"))).alias(c) for c in ("drawn", "trusted")]).toArrow()
+    )
+
+    def ordered(column):
+        x = np.array([v for v in seen[column].to_pylist() if v is not None], float).reshape(-1, len(FEATURES))
+        return x[np.lexsort(x.T)] if len(x) else x  # rows come in any order
+
+    good, drawn = ordered("trusted"), ordered("drawn")
+    if not len(drawn) and not docs.isEmpty():
+        raise ValueError(f"no unlabelled text was drawn at a share of {share}")
+    net = fit_pu(good, drawn, prior) if len(good) and len(drawn) else None
 
     def probabilities(texts: list):
         return net.score([describe(t) for t in texts]) if net and texts else np.full(len(texts), prior)
