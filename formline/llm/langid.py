@@ -5,47 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formline.llm.charlm import CELLS, cells, collected, count_cells, kneser_ney, slices
+from formline.llm.chargrams import count_grams, distinct, grams
+from formline.llm.chargrams import models as models_of
+from formline.llm.charlm import slices
 from formline.llm.words import text_slices
 from formline.session import reliable_checkpoint
 
 UNKNOWN = "und"
 
 
-class Model:
-    """Per language the observed cells in order and their log probabilities, and one for cells never seen there."""
-
-    def __init__(self, counts: dict):
-        import numpy as np
-
-        self.languages = sorted(counts)
-        self.arrays = []
-        for name in self.languages:
-            p = np.log(kneser_ney(counts[name])).astype(np.float32)
-            kept = np.flatnonzero(np.abs(p - np.log(1 / 32)) > 1e-9).astype(np.int32)
-            self.arrays.append((kept, p[kept]))
-
-    def table(self):
-        """Rows of cells, columns of languages: the sorted arrays laid out for lookups."""
-        import numpy as np
-
-        out = np.full((CELLS, len(self.languages)), np.log(1 / 32), np.float32)
-        for i, (at, p) in enumerate(self.arrays):
-            out[at, i] = p
-        return out
-
-
-def entropies(texts: list[str], table):
+def entropies(texts: list[str], models: list):
     """Cross-entropy per symbol of each text under each language (rows of zeros for texts without a letter), and symbols."""
     import numpy as np
 
-    found, ends = cells(texts)
+    context, symbol, ends = grams(texts)
     n = np.diff(ends)
-    sums = np.zeros((len(texts), table.shape[1]))
+    sums = np.zeros((len(texts), len(models)))
     full = np.flatnonzero(n > 0)
     if len(full):
-        logs = table[found[ends[0] : ends[-1]]]
-        sums[full] = np.add.reduceat(logs, ends[:-1][full] - ends[0], axis=0, dtype=np.float64)
+        context, symbol, at = distinct(context[ends[0] : ends[-1]], symbol[ends[0] : ends[-1]])
+        logs = np.column_stack([m.logs(context, symbol) for m in models])[at]
+        sums[full] = np.add.reduceat(logs, ends[:-1][full] - ends[0], axis=0)
     return -sums / np.maximum(n, 1)[:, None], n
 
 
@@ -64,30 +44,33 @@ def identify(
     their own language, or where the language is unknown.
 
     Null texts and texts without a letter are ``und`` with score 0. With no row to
-    learn from, all are. Repeated rows are scored alike. The model has one number
-    per cell and language, whatever the size of the corpus.
+    learn from, all are. Repeated rows are scored alike. The models have a number
+    per distinct run of symbols, so they grow with the corpus; the driver and
+    each task hold them.
     """
     known = docs.filter(learn & F.col(lang_col).isNotNull())
-    model = Model(collected(count_cells(known, lang_col, text_col)))
+    models = models_of(count_grams(known, lang_col, text_col))
+    languages = sorted(models)
+    held = known.sparkSession.sparkContext.broadcast([models[x] for x in languages])
     kind = docs.schema[id_col].dataType.simpleString()
 
     def score(batches):
         import numpy as np
         import pyarrow as pa
 
-        table = model.table()
+        ordered = held.value
         for batch in text_slices(batches):
             texts = [t or "" for t in batch["text"].to_pylist()]
             for a, b in slices(texts):
                 best, share, level = [UNKNOWN] * (b - a), np.zeros(b - a), [None] * (b - a)
-                if model.languages:
-                    h, n = entropies(texts[a:b], table)
+                if languages:
+                    h, n = entropies(texts[a:b], ordered)
                     first = h.argmin(axis=1)
                     low = h[np.arange(b - a), first]
                     share = 1 / np.exp((low[:, None] - h) * np.minimum(n, sharpness)[:, None]).sum(axis=1)
                     share[n == 0] = 0
                     for i in np.flatnonzero(n):
-                        best[i], level[i] = model.languages[first[i]], float(low[i])
+                        best[i], level[i] = languages[first[i]], float(low[i])
                 yield pa.RecordBatch.from_arrays(
                     [batch["id"].slice(a, b - a), batch["learn"].slice(a, b - a), batch["lang"].slice(a, b - a), pa.array(best), pa.array(share), pa.array(level, pa.float64())],
                     ["id", "learn", "lang", "lang_pred", "score", "cross_entropy"],
