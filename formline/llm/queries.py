@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formline.llm import decontaminate, exact, langid, lines, minhash, mixing, pu_quality, substrings, toxicity, warc
+from formline.llm import collocations, decontaminate, exact, fim, langid, lines, minhash, mixing, pu_quality, substrings, tokenfiles, toxicity, warc
 from formline.llm.words import in_fold, word_count
 from formline.session import checkpoint_dir
 
@@ -222,3 +222,82 @@ SELECT page_id, n AS payload_bytes, sha256(t) AS payload_digest,
        CASE WHEN n >= 100 AND page_id <> f THEN f END AS refers_to
 FROM first
 """
+
+
+@query
+def op11_fill_in_middle(spark, folder):
+    done = fim.fill_in_middle(table(spark, folder, "documents"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    )
+
+
+SQL["op11_fill_in_middle"] = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+numbers AS (
+  SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS u, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS v,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, substring(t, 1, least(u, v)) AS p, substring(t, least(u, v) + 1, abs(u - v)) AS m, substring(t, greatest(u, v) + 1) AS s FROM numbers)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(u, v) END AS prefix_chars, CASE WHEN form <> 'plain' THEN abs(u - v) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+@query
+def op12_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+SQL["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f AS (
+  SELECT lang, phrase, any_value(k) AS k, count(*) AS n
+  FROM (SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) t(k) WHERE len(words) >= k))
+  GROUP BY lang, phrase),
+total AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+candidates AS (SELECT lang, phrase, k AS size, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+parts AS (
+  SELECT lang, phrase, size, a, cut, array_to_string(w[1:cut], ' ') AS lp, array_to_string(w[cut + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM candidates)),
+lefts AS (SELECT parts.*, f.n AS l FROM parts JOIN f ON f.lang = parts.lang AND f.phrase = parts.lp),
+cuts AS (
+  SELECT lefts.*, f.n AS r, CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * f.n) AS score
+  FROM lefts JOIN f ON f.lang = lefts.lang AND f.phrase = lefts.rp),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nr FROM cuts) WHERE nr = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM candidates WHERE size = 3) GROUP BY lang, phrase),
+kept AS (SELECT best.*, longer FROM best LEFT JOIN inside ON best.lang = inside.lang AND best.phrase = inside.phrase),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT ranked.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+"""
+
+#: A file of the tokenizers library.
+TOKENIZER = "word_bpe_49k.json"
+END = 2
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op13_token_files(spark, folder):
+    """The shards stay below the checkpoint folder, since the result is read from them."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    tokenfiles.write_tokens(table(spark, folder, "documents"), path, tokenizer_path(), end_id=END)
+    found = tokenfiles.read_tokens(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from formline.llm import decontaminate, exact, langid, lines, minhash, mixing, pu_quality, substrings, toxicity, warc
+from formline.llm import decontaminate, exact, fim, langid, lines, minhash, mixing, pu_quality, substrings, toxicity, warc
 from formline.llm.words import in_fold, word_count
 
 
@@ -33,6 +33,8 @@ OPERATORS = {
     "exact": lambda s, d: exact.exact_groups(d),
     "langid": lambda s, d: langid.identify(d, learn()),
     "warc": lambda s, d: warc.as_records(d, "doc_id", "source", "text"),
+    "fim": lambda s, d: fim.fill_in_middle(d),
+    "fim_words": lambda s, d: fim.fill_in_middle(d, unit="word", plain_percent=0, spm_percent=100),
 }
 FILTERS = {
     "exact": lambda s, d: exact.drop_exact(d),
