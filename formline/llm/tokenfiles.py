@@ -30,6 +30,7 @@ from formline.llm.words import text_slices
 
 MAGIC = b"FLTOKWM1"
 BLOCK_WORDS = (1 << 18) // WORD
+MOST_TASKS = 20_000
 SHARDS = "part int, number int, file string, docs long, tokens long"
 
 
@@ -265,8 +266,10 @@ def shards_of(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _over_shards(spark: SparkSession, path: str, read, schema: str) -> DataFrame:
-    """``read(open shard, start)`` of every shard, tasks taking some shards each."""
+    """``read(open shard, start)`` of every shard; about as many tasks as shards, since a shard is megabytes though its row is small."""
     root = path.rstrip("/")
+    shards = shards_of(spark, root).select("file", "start")
+    tasks = max(1, min(spark.read.schema(SHARDS).parquet(f"{root}/shards").count(), MOST_TASKS))
 
     def each(batches):
         system, folder = file_system(root)
@@ -275,7 +278,7 @@ def _over_shards(spark: SparkSession, path: str, read, schema: str) -> DataFrame
                 with system.open_input_file(f"{folder}/{row['file']}") as f:
                     yield from read(TokenFile(f), row["start"])
 
-    return shards_of(spark, root).select("file", "start").repartition("file").mapInArrow(each, schema)
+    return shards.repartition(tasks, "file").mapInArrow(each, schema)
 
 
 def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id", id_type: str = "long", batch_tokens: int = 1 << 20) -> DataFrame:
