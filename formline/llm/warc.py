@@ -279,55 +279,148 @@ def _payload(row: dict, block: bytes) -> bytes:
     return block
 
 
+class _Plain:
+    """Bytes of a file from a place on; what isn't wanted is passed over by a seek."""
+
+    def __init__(self, f, at: int, end: int):
+        self.f, self.at, self.end = f, at, end
+        f.seek(at)
+
+    def line(self) -> bytes:
+        return self._read(self.f.readline())
+
+    def take(self, size: int) -> bytes:
+        return self._read(self.f.read(size))
+
+    def _read(self, out: bytes) -> bytes:
+        self.at += len(out)
+        return out
+
+    def skip(self, size: int) -> None:
+        self.at = min(self.at + size, self.end)
+        self.f.seek(self.at)
+
+    def peek(self, size: int) -> bytes:
+        out = self.f.read(2)
+        self.f.seek(self.at)
+        return b"" if out == b"\x1f\x8b" else out[:size]  # gzip members begin
+
+    def rest(self) -> int:
+        return self.at
+
+
+class _Unpacked:
+    """What gzip members unpack to, one after another, as a stream that holds a piece at a time.
+
+    ``at`` is where the member that the next byte lies in begins in the file.
+    """
+
+    PIECE = 1 << 16
+
+    def __init__(self, f, at: int, end: int):
+        self.f, self.end, self.ready, self.passed = f, end, bytearray(), 0
+        self.borders: list[tuple[int, int]] = []
+        self.begin(at)
+
+    def begin(self, at: int) -> None:
+        self.read, self.unpack = at, zlib.decompressobj(31)
+        self.borders.append((self.passed + len(self.ready), at))
+
+    @property
+    def at(self) -> int:
+        while len(self.borders) > 1 and self.borders[1][0] <= self.passed:
+            self.borders.pop(0)
+        return self.borders[0][1]
+
+    def rest(self) -> int:
+        """Where the members read so far end in the file."""
+        return self.read - len(self.unpack.unused_data)
+
+    def more(self) -> bool:
+        """Unpack one more piece, of the next member where this one has ended; false at the end of the members."""
+        if self.unpack.eof:
+            self.f.seek(self.rest())
+            if self.f.read(2) != b"\x1f\x8b":
+                return False
+            self.begin(self.rest())
+        piece = self.unpack.unconsumed_tail
+        if not piece:
+            self.f.seek(self.read)
+            piece = self.f.read(self.PIECE)
+            self.read += len(piece)
+            if not piece:
+                raise ValueError(f"the gzip member at byte {self.borders[-1][1]} isn't whole")
+        self.ready += self.unpack.decompress(piece, 4 * self.PIECE)
+        return True
+
+    def peek(self, size: int) -> bytes:
+        while len(self.ready) < size and self.more():
+            pass
+        return bytes(self.ready[:size])
+
+    def take(self, size: int) -> bytes:
+        out = self.peek(size)
+        self._drop(len(out))
+        return out
+
+    def _drop(self, size: int) -> None:
+        del self.ready[:size]
+        self.passed += size
+
+    def skip(self, size: int) -> None:
+        while size > 0 and self.peek(1):
+            some = min(size, len(self.ready))
+            self._drop(some)
+            size -= some
+
+    def line(self) -> bytes:
+        seen = 0
+        while (found := self.ready.find(b"\n", seen)) < 0:
+            seen = len(self.ready)
+            if not self.more():
+                found = seen - 1
+                break
+        return self.take(found + 1)
+
+
 def records(f, keep=lambda row: True, decode: bool = True):
     """The records of an open file, plain or gzip, headers parsed first; blocks that aren't wanted are passed over.
 
-    A plain record is skipped by its Content-Length, a gzip member by its SL field;
-    only members without one have to be unpacked to find their end.
+    A plain record is skipped by its Content-Length. Gzip members are unpacked as
+    one stream, however many records a member holds and wherever it begins; blocks
+    that aren't wanted are dropped piece by piece. A member with an SL field is one
+    record, and is left by its length as soon as its headers are read, unless its
+    block is wanted. ``offset`` is where a plain record, or the member that a
+    record begins in, begins in the file.
     """
     f.seek(0, 2)
-    end = f.tell()
-    f.seek(0)
-    at = 0
+    end, at = f.tell(), 0
     while at < end:
         f.seek(at)
         head = f.read(24)
-        if head[:2] != b"\x1f\x8b":
-            f.seek(at)
-            lines = []
-            while (line := f.readline()) not in (b"\r\n", b"\n", b""):
-                lines.append(line)
-            if not lines:
-                at = f.tell() if f.tell() > at else end
+        packed = head[:2] == b"\x1f\x8b"
+        length = _skip_length(head) if packed else None
+        source = (_Unpacked if packed else _Plain)(f, at, end)
+        while blank := source.peek(1):
+            if blank in b"\r\n":
+                source.take(1)
                 continue
+            place, lines = source.at, []
+            while (line := source.line()) not in (b"\r\n", b"\n", b""):
+                lines.append(line)
+            if not lines[0].startswith(b"WARC/"):
+                raise ValueError(f"no WARC record at byte {place}")
             row = _parsed(b"".join(lines))
-            start = f.tell()
-            if keep(row):
-                if decode:
-                    row["payload"] = _payload(row, f.read(row["content_length"]))
-                yield row | {"offset": at}
-            at = start + row["content_length"] + 4
-            continue
-        length = _skip_length(head)
-        f.seek(at)
-        unpack, got, row, used = zlib.decompressobj(31), b"", None, 0
-        wanted = True
-        while not unpack.eof and (piece := f.read(min(1 << 16, length - used) if length else 1 << 16)):
-            used += len(piece)
-            got = unpack.decompress(piece) if not wanted else got + unpack.decompress(piece)
-            if row is None and b"\r\n\r\n" in got:
-                row = _parsed(got.partition(b"\r\n\r\n")[0])
-                wanted = keep(row) and decode
-                if not wanted and length:
-                    break
-        if row is None:
-            raise ValueError(f"no WARC record at byte {at}")
-        size = length or used - len(unpack.unused_data)
-        if keep(row):
-            if decode:
-                row["payload"] = _payload(row, got.partition(b"\r\n\r\n")[2][: row["content_length"]])
-            yield row | {"offset": at}
-        at += size
+            wanted = keep(row)
+            if wanted and decode:
+                row["payload"] = _payload(row, source.take(row["content_length"]))
+            elif length is None:
+                source.skip(row["content_length"])
+            if wanted:
+                yield row | {"offset": place}
+            if length is not None:
+                break
+        at = source.rest() if length is None else at + length
 
 
 def register(spark: SparkSession) -> None:

@@ -4,6 +4,7 @@ import hashlib
 import io
 import zlib
 
+import pytest
 from formline.llm import warc
 from formline.session import checkpoint_dir
 
@@ -68,5 +69,41 @@ def test_only_wanted_blocks_are_unpacked():
     assert len(list(warc.records(io.BytesIO(bytes(broken)), keep=lambda r: False))) == 0
 
 
+def test_every_record_of_a_member():
+    """Several records in one member, records over members' borders, plain parts between, and a file that ends too early."""
+    bodies = [b"", b"abc\r\n\r\nd", b"z" * 300_000, b"line\n" * 1000, b"last"]
+    record = lambda k, body: warc.record_bytes({"record_type": "resource", "record_id": f"<{k}>", "target_uri": f"u{k}"}, body)
+    plain = b"".join(record(k, b) for k, b in enumerate(bodies))
+    one = zlib.compress(plain, 6, 31)
+    cut = [zlib.compress(plain[i : i + 1777], 6, 31) for i in range(0, len(plain), 1777)]
+    empty = zlib.compress(b"", 6, 31)
+    skipping = b"".join(warc.member(record(k, b), 1) for k, b in enumerate(bodies))
+    for data, times in ((one, 1), (b"".join(cut), 1), (one + one, 2), (plain + one + plain, 3), (empty + one + empty, 1), (one + skipping, 2), (skipping + one, 2)):
+        rows = list(warc.records(io.BytesIO(data)))
+        assert [r["payload"] for r in rows] == bodies * times
+        some = list(warc.records(io.BytesIO(data), keep=lambda r: r["target_uri"] in ("u1", "u4")))
+        assert [r["payload"] for r in some] == [bodies[1], bodies[4]] * times
+        assert len(list(warc.records(io.BytesIO(data), decode=False))) == 5 * times
+    places = [r["offset"] for r in warc.records(io.BytesIO(plain + one))]
+    assert places[:2] == [0, len(record(0, b""))] and places[5:] == [len(plain)] * 5
+    starts = [0, *(sum(map(len, cut[: i + 1])) for i in range(len(cut)))]
+    assert all(r["offset"] in starts for r in warc.records(io.BytesIO(b"".join(cut))))
+    for broken in (one[:-9], b"".join(cut)[:-30]):
+        with pytest.raises(ValueError):
+            list(warc.records(io.BytesIO(broken)))
+
+
+def test_a_large_block_is_not_kept():
+    """50 MB that nobody wants pass in pieces."""
+    import tracemalloc
+
+    data = zlib.compress(warc.record_bytes({"record_type": "resource", "record_id": "<1>"}, bytes(50 << 20)) + warc.record_bytes({"record_type": "response", "record_id": "<2>"}, b"x"), 6, 31)
+    tracemalloc.start()
+    rows = list(warc.records(io.BytesIO(data), keep=lambda r: r["record_type"] == "response"))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r["record_id"] for r in rows] == ["<2>"] and most < 4 << 20
+
+
 def test_checkpoint_folder_is_shared(spark):
     assert checkpoint_dir(spark)
