@@ -65,6 +65,7 @@ def identify(
                 best, share, level = [UNKNOWN] * (b - a), np.zeros(b - a), [None] * (b - a)
                 if languages:
                     h, n = entropies(texts[a:b], ordered)
+                    n[[i for i in np.flatnonzero(n) if not any(map(str.isalpha, texts[a + i]))]] = 0  # marks alone are no letters
                     first = h.argmin(axis=1)
                     low = h[np.arange(b - a), first]
                     share = 1 / np.exp((low[:, None] - h) * np.minimum(n, sharpness)[:, None]).sum(axis=1)

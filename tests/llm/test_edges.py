@@ -66,6 +66,8 @@ def test_values_on_edges(spark, make_docs, edges):
     docs = make_docs(edges)
     und = {r.doc_id for r in langid.identify(docs, learn()).collect() if r.lang_pred == "und"}
     assert und == {1, 2, 3, 10}
+    marks = docs.unionByName(make_docs([(20, "\u0301\u0302"), (21, " \u0301 1"), (22, "e\u0301")]))
+    assert {(r.doc_id, r.lang_pred, r.score) for r in langid.identify(marks, learn()).collect() if (r.doc_id or 0) in (20, 21)} == {(20, "und", 0.0), (21, "und", 0.0)}
     groups = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
     assert {(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 4, False), (6, 6, True), (7, 6, False), (None, None, True)} <= groups
     same = {(r.doc_id, r.keep_id, r.group_size) for r in exact.exact_groups(docs).collect()}
