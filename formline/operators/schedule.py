@@ -4,6 +4,7 @@ rosters, and pick dates and next games."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,32 +149,54 @@ def recent_as_upcoming(df: DataFrame, game: str, order: Sequence[Column], upcomi
     return recent.withColumn(game, F.lit(None).cast(df.schema[game].dataType))
 
 
-def first_games_of_slate(df: DataFrame, home: str, away: str, order: Sequence[str]) -> DataFrame:
+SLATE_BLOCK = 1_000_000
+
+
+def first_games_of_slate(df: DataFrame, home: str, away: str, order: Sequence[str], block: int = SLATE_BLOCK) -> DataFrame:
     """Games taken greedily in ``order``, then home and away: a game is left out
     when one of its teams already has an earlier game of the slate.
 
-    Goes by rounds: games that are the first left for both teams are taken, and
-    all games of their teams go. Each round takes the first game left at least;
-    rounds are few, since most teams find a partner in each. Rows without a team,
-    and repeats of a game in order and teams, are left out.
+    Goes by blocks: one task takes the first ``block`` games left, of which it only
+    sees order and teams, one after another; then all games of the teams taken go,
+    and with them every game of the block. So a chain of games, each sharing a team
+    with the next, needs no round for each link. Blocks are few: after the first,
+    few teams are left. Rows without a team, and repeats of a game in order and
+    teams, are left out.
     """
-    rank = [*order, home, away]
-    left = reliable_checkpoint(df.filter(F.col(home).isNotNull() & F.col(away).isNotNull()).dropDuplicates(list(dict.fromkeys(rank))))
-    taken = left.limit(0)
-    while not left.isEmpty():
-        own = left.withColumn("_own", F.struct(*rank))
-        first = expand_schedule(own, home, away, "_team").groupBy("_team").agg(F.min("_own").alias("_first"))
-        kept = own
-        for side in (home, away):
-            marks = first.select(F.col("_team").alias("_t"), F.col("_first").alias("_f"))
-            kept = kept.join(marks, (F.col(side) == F.col("_t")) & (F.col("_own") == F.col("_f")), "left_semi")
-        kept = reliable_checkpoint(kept.drop("_own"))
-        teams = kept.select(F.explode(F.array(home, away)).alias("_t")).distinct()
-        rest = left
+    rank = list(dict.fromkeys([*order, home, away]))
+    left = reliable_checkpoint(df.filter(F.col(home).isNotNull() & F.col(away).isNotNull()).dropDuplicates(rank))
+    sides, taken = (rank.index(home), rank.index(away)), None
+    keys = left.select(*rank).schema
+
+    def take(batches):
+        import pyarrow as pa
+
+        busy: set = set()
+        for batch in batches:
+            teams = zip(*(batch.column(i).to_pylist() for i in sides), strict=True)
+            chosen = []
+            for h, a in teams:
+                chosen.append(h not in busy and a not in busy)
+                if chosen[-1]:
+                    busy.update((h, a))
+            yield batch.filter(pa.array(chosen, pa.bool_()))
+
+    while True:
+        many = left.count()
+        first = left.select(*rank).orderBy(*rank)
+        first = first.coalesce(1).sortWithinPartitions(*rank) if many <= block else first.limit(block).coalesce(1).sortWithinPartitions(*rank)
+        won = reliable_checkpoint(first.mapInArrow(take, keys))
+        kept = left
+        marks = won.select(*[F.col(c).alias(f"_w_{c}") for c in rank])
+        match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in rank])
+        kept = kept.join(marks, match, "left_semi")
+        taken = kept if taken is None else taken.unionByName(kept)
+        if many <= block:
+            return taken
+        teams = won.select(F.explode(F.array(home, away)).alias("_t")).distinct()
         for side in (home, away):
-            rest = rest.join(teams, F.col(side) == F.col("_t"), "left_anti")
-        taken, left = taken.unionByName(kept), reliable_checkpoint(rest)
-    return taken
+            left = left.join(teams, F.col(side) == F.col("_t"), "left_anti")
+        left = reliable_checkpoint(left)
 
 
 def best_available_date(df: DataFrame, date: str, requested, lookback: int = 7) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Top-k rows by cosine similarity to query vectors."""
+"""Top-k rows by cosine similarity to query vectors: exactly, or through an index of cells."""
 
 from __future__ import annotations
 
@@ -6,10 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formline.operators.streaks import newest_rows
+from formline.sources.tables import overwrite
 
-QUERY_BLOCK = 1_000
+QUERY_BLOCK = 500
+ITEM_BLOCK = 4_096
+#: Packed queries up to this many bytes are sent to the items; more of them are lanes of that size.
+SENT_BYTES = 64 << 20
+#: With several lanes, item blocks are dealt into so many parts, and each lane is joined with each part.
+PARTS = 64
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -21,37 +28,209 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def _packed(df: DataFrame, key: str, vector: str, size: int, cell: Sequence[str] = (), name: str = "x") -> DataFrame:
+    """Rows as blocks of about ``size``: ids and vectors side by side, none of them over cells.
+
+    A block is made inside a task, from rows as they come, so nothing is gathered
+    by key; vectors with a null in them count as missing.
+    """
+    kind = df.schema[key].dataType
+    fields = [T.StructField(c, df.schema[c].dataType) for c in cell]
+    schema = T.StructType([*fields, T.StructField(f"{name}_ids", T.ArrayType(kind)), T.StructField(f"{name}_vectors", T.BinaryType()), T.StructField(f"{name}_width", T.IntegerType())])
+
+    def pack(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        waiting: dict = {}
+
+        def block(at):
+            rows = waiting.pop(at)
+            return pa.RecordBatch.from_pylist([dict(zip(cell, at[1:], strict=True)) | {f"{name}_ids": [i for i, _ in rows], f"{name}_vectors": np.array([v for _, v in rows], "<f8").tobytes(), f"{name}_width": at[0]}], arrow)
+
+        arrow = None
+        for batch in batches:
+            if arrow is None:
+                arrow = pa.schema([*[(c, batch.schema.field(c).type) for c in cell], (f"{name}_ids", pa.list_(batch.schema.field("_id").type)), (f"{name}_vectors", pa.binary()), (f"{name}_width", pa.int32())])
+            columns = [batch[c].to_pylist() for c in ("_id", "_v", *cell)]
+            for i, v, *where in zip(*columns, strict=True):
+                whole = v if v is not None and None not in v else []
+                at = (len(whole), *where)
+                waiting.setdefault(at, []).append((i, whole))
+                if len(waiting[at]) >= size:
+                    yield block(at)
+        for at in list(waiting):
+            yield block(at)
+
+    return df.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"), *cell).mapInArrow(pack, schema)
+
+
+def _scored(pairs: DataFrame, query_id: str, item_id: str, query_type, item_type, k: int, alias: str, digits: int | None) -> DataFrame:
+    """The k best items of each query within each pair of blocks, ties by item id."""
+    schema = T.StructType([T.StructField(query_id, query_type), T.StructField(item_id, item_type), T.StructField(alias, T.DoubleType())])
+
+    def unit(data, width: int):
+        import numpy as np
+
+        x = np.frombuffer(data, "<f8").reshape(-1, width)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+    def score(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            types = (batch.schema.field("q_ids").type.value_type, batch.schema.field("i_ids").type.value_type)
+            for pair in batch.to_pylist():
+                asked, ids = pair["q_ids"], pair["i_ids"]
+                width = pair["q_width"]
+                if width and width == pair["i_width"]:
+                    found = unit(pair["q_vectors"], width) @ unit(pair["i_vectors"], width).T
+                else:  # of different lengths, or missing: no similarity
+                    found = np.full((len(asked), len(ids)), np.nan)
+                if digits is not None:
+                    found = np.copysign(np.floor(np.abs(found) * 10**digits + 0.5) / 10**digits, found)
+                order = np.array(sorted(range(len(ids)), key=lambda j: (0,) if ids[j] is None else (1, ids[j])))
+                found = found[:, order]
+                held = np.where(np.isnan(found), -np.inf, found)
+                best = np.argsort(-held, axis=1, kind="stable")[:, :k]
+                rows = np.repeat(np.arange(len(asked)), best.shape[1])
+                values = np.take_along_axis(found, best, 1).ravel()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([asked[r] for r in rows], types[0]), pa.array([ids[j] for j in order[best.ravel()]], types[1]),
+                        pa.array(values, mask=np.isnan(values)),
+                    ],
+                    [query_id, item_id, alias],
+                )
+
+    return pairs.mapInArrow(score, schema)
+
+
 def vector_top_k(
     df: DataFrame, queries: DataFrame, query_id: str, query_vector: str, item_id: str, vector: str, k: int, alias: str = "similarity",
     digits: int | None = None,
 ) -> DataFrame:
     """The k most similar items of every query, ties by item id.
 
-    Queries are taken in blocks of QUERY_BLOCK, packed as one row each; a block is
-    carried to the items as a small array, so each block reads the items once and
-    scores them in place. Every task keeps its k best per query before anything
-    is shuffled. Any number of queries goes; rows of queries without an id are
-    left out.
+    Both sides are packed into blocks and every block of queries meets every block
+    of items in one plan that reads the items once: the packed queries are sent to
+    the items when they are small (SENT_BYTES, measured); more of them are lanes of
+    that size, and lanes and parts of the items meet in a grid. Each pair of blocks is one product of matrices, of
+    which only the k best of each query go on. Rows of queries without an id are
+    left out; a vector that is zero, missing or of another length has no similarity
+    and comes last.
     """
-    def score(a: Column, b: Column) -> Column:
-        return cosine(a, b) if digits is None else F.round(cosine(a, b), digits)
+    asked = queries.filter(F.col(query_id).isNotNull())
+    q = _packed(asked, query_id, query_vector, QUERY_BLOCK, name="q")
+    size = q.agg(F.coalesce(F.sum(F.octet_length("q_vectors")), F.lit(0))).first()[0]
+    i = _packed(df, item_id, vector, ITEM_BLOCK, name="i")
+    lanes = max(1, -(-size // SENT_BYTES))
+    parts = 1 if lanes == 1 else PARTS
+    q = q.withColumn("_lane", F.pmod(F.xxhash64("q_ids"), F.lit(lanes)).cast("int")).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    i = i.withColumn("_part", F.pmod(F.xxhash64("i_ids"), F.lit(parts)).cast("int")).withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    pairs = i.join(F.broadcast(q) if lanes == 1 else q, ["_lane", "_part"])
+    return _best(_scored(pairs, query_id, item_id, queries.schema[query_id].dataType, df.schema[item_id].dataType, k, alias, digits), query_id, item_id, alias, k)
 
-    asked = queries.filter(F.col(query_id).isNotNull()).select(
-        F.col(query_id).alias("q"), F.col(query_vector).cast("array<double>").alias("v")
-    )
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    packed = asked.groupBy(F.pmod(F.xxhash64("q"), F.lit(blocks)).alias("_b")).agg(F.collect_list(F.struct("q", "v")).alias("_queries"))
-    scored = None
-    for b in range(blocks):
-        block = packed.filter(F.col("_b") == b).select("_queries").scalar()
-        some = df.select(item_id, vector, F.explode(block).alias("_q")).select(
-            F.col("_q.q").alias(query_id), item_id, score(F.col(vector), F.col("_q.v")).alias(alias)
-        )
-        scored = some if scored is None else scored.unionByName(some)
+
+def _best(scored: DataFrame, query_id: str, item_id: str, alias: str, k: int) -> DataFrame:
     best = newest_rows(scored, [query_id], [F.col(alias).desc_nulls_last(), F.col(item_id)], k, "rank")
     return best.select(query_id, "rank", item_id, alias)
 
 
+def centroids(df: DataFrame, item_id: str, vector: str, cells: int, sample: int = 20_000, rounds: int = 8):
+    """Unit centres of the cells, an array of one row each, by k-means on the directions of a bounded sample.
+
+    The sample holds the ``sample`` vectors with the smallest hash of their id, so
+    reruns agree; the first centres are the first of them. Zero and missing vectors
+    aren't used.
+    """
+    import numpy as np
+
+    rows = df.select(F.xxhash64(item_id).alias("_h"), F.col(vector).cast("array<double>").alias("_v")).filter(F.exists("_v", lambda x: x != 0) & F.forall("_v", lambda x: x.isNotNull()))
+    data = np.array([r["_v"] for r in rows.orderBy("_h", "_v").limit(sample).collect()])
+    if not len(data):
+        return np.zeros((0, 1))
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    centers = data[:cells].copy()
+    for _ in range(rounds):
+        near = (data @ centers.T).argmax(axis=1)
+        sums = np.zeros_like(centers)
+        np.add.at(sums, near, data)
+        norms = np.linalg.norm(sums, axis=1)
+        centers[norms > 0] = sums[norms > 0] / norms[norms > 0][:, None]
+    return centers
+
+
+def _dealt(df: DataFrame, vector: str, centers, many: int) -> DataFrame:
+    """Rows with the ``many`` cells whose centres are nearest, one row for each (cell 0 for vectors without a direction)."""
+    held = df.sparkSession.sparkContext.broadcast(centers)  # cells x width numbers
+
+    def deal(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            vectors = batch[vector].to_pylist()
+            center = held.value
+            near = np.zeros((len(vectors), min(many, max(1, len(center)))), np.int32)
+            fit = [j for j, v in enumerate(vectors) if v is not None and len(v) == center.shape[1] and None not in v]
+            if fit and len(center):
+                near[fit] = np.argsort(-(np.array([vectors[j] for j in fit], float) @ center.T), axis=1, kind="stable")[:, : near.shape[1]]
+            at = np.repeat(np.arange(len(vectors)), near.shape[1])
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at)) for c in batch.columns), pa.array(near.ravel(), pa.int32())], [*batch.schema.names, "_cell"])
+
+    return df.mapInArrow(deal, T.StructType([*df.schema.fields, T.StructField("_cell", T.IntegerType())]))
+
+
+def build_vector_index(df: DataFrame, item_id: str, vector: str, path: str, cells: int = 64, sample: int = 20_000) -> None:
+    """Write every item into the cell of its nearest centre: blocks of a cell's items below ``path``/items, the centres beside them.
+
+    Centres are fitted on a bounded sample (``centroids``); all items are indexed.
+    Blocks are made by each task and cell, so a crowded cell is many blocks.
+    """
+    spark, root = df.sparkSession, path.rstrip("/")
+    centers = centroids(df, item_id, vector, cells, sample)
+    rows = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cell int, center array<double>")
+    overwrite(rows, f"{root}/centers")
+    dealt = _dealt(df.select(item_id, vector), vector, centers, 1)
+    blocks = _packed(dealt, item_id, vector, ITEM_BLOCK, ["_cell"], "i")
+    overwrite(spark.createDataFrame([], blocks.schema), f"{root}/schema")  # folders of cells say nothing when there are no items
+    overwrite(blocks, f"{root}/items", ["_cell"])
+
+
+def index_top_k(
+    path: str, queries: DataFrame, query_id: str, query_vector: str, item_id: str, k: int, probes: int = 8, alias: str = "similarity",
+    digits: int | None = None,
+) -> DataFrame:
+    """The k most similar items among those in the ``probes`` nearest cells of each query, by an index of ``build_vector_index``.
+
+    Blocks of queries meet blocks of items by cell, in a join that adaptive
+    execution can split; of the items only the cells asked for are read. With as
+    many probes as cells the rows are those of ``vector_top_k``.
+    """
+    import numpy as np
+
+    spark, root = queries.sparkSession, path.rstrip("/")
+    centers = np.array([r.center for r in spark.read.parquet(f"{root}/centers").orderBy("cell").collect()])
+    asked = queries.filter(F.col(query_id).isNotNull()).select(query_id, F.col(query_vector).cast("array<double>").alias("_q"))
+    centers = centers if len(centers) else np.zeros((0, 1))
+    q = _packed(_dealt(asked, "_q", centers, probes), query_id, "_q", QUERY_BLOCK, ["_cell"], "q")
+    items = spark.read.schema(spark.read.parquet(f"{root}/schema").schema).parquet(f"{root}/items")
+    pairs = items.join(q, "_cell")
+    kind = items.schema["i_ids"].dataType.elementType
+    return _best(_scored(pairs, query_id, item_id, queries.schema[query_id].dataType, kind, k, alias, digits), query_id, item_id, alias, k)
+
+
+def recall(found: DataFrame, exact: DataFrame, query_id: str, item_id: str) -> DataFrame:
+    """One row: ``queries``, ``pairs`` (the exact ones), and the share of them that was found."""
+    marked = exact.join(found.select(query_id, item_id, F.lit(True).alias("_found")), [query_id, item_id], "left")
+    return marked.agg(
+        F.count_distinct(query_id).alias("queries"), F.count(F.lit(1)).alias("pairs"), F.try_divide(F.count("_found"), F.count(F.lit(1))).alias("recall")
+    )
+
+
 def mean_vectors(df: DataFrame, keys: Sequence[str], vector: str, alias: str = "centroid") -> DataFrame:
     """Mean vector per key, for query vectors taken from the data."""
     placed = df.select(*keys, F.posexplode(vector).alias("_i", "_x"))

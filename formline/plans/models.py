@@ -9,14 +9,15 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, PCAModel, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from formline.functions.numbers import round_half_up
 from formline.operators.joins import null_safe_join
 from formline.operators.matching import with_scalar
 from formline.operators.ordered import Running, over_ordered
-from formline.operators.quality import QualityError
+from formline.operators.quality import QualityError, assert_unique
+from formline.sources.incremental import upsert
 from formline.sources.tables import overwrite
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
@@ -92,6 +93,112 @@ def select_features(prepared: DataFrame, label: str, k: int, must_have: Sequence
     return VectorSlicer(inputCol="features", outputCol="selected", indices=[int(i) for i in chosen])
 
 
+def rank_features(df: DataFrame, label: str, features: Sequence[str], k: int, must_have: Sequence[str] = (), bins: int = 32) -> DataFrame:
+    """``feature, score, place, chosen``: numeric features by what their best split explains of the label.
+
+    A feature's values are cut into bins at its quantiles, and one aggregation over
+    (feature, bin) gives the label's count and sums, from which every split between
+    bins follows: the score is the share of the label's squared deviation, over
+    all rows, that the best split takes away. Rows where a feature is null are left
+    out of its score but not of the total, so a feature known for few rows scores
+    little. ``must_have`` come first, then the highest scores, names breaking ties;
+    the first k (all of ``must_have`` at least) are chosen. Quantiles are exact up
+    to about a million rows and within a millionth beyond. A row without a label
+    isn't used.
+    """
+    y = F.col(label).cast("double")
+    rows = df.filter(F.col(label).isNotNull()).select(y.alias("_y"), *[F.col(c).cast("double").alias(c) for c in features])
+    cuts = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    edges = rows.agg(*[F.percentile_approx(c, cuts, 1_000_000).alias(c) for c in features], (F.var_pop("_y") * F.count(F.lit(1))).alias("_total")).first()
+    pairs = [
+        F.struct(F.lit(c).alias("feature"), _bin(F.col(c), edges[c] or []).alias("bin"))
+        for c in features
+    ]
+    placed = rows.select("_y", F.explode(F.array(*pairs)).alias("_p")).select("_y", "_p.feature", "_p.bin").filter("bin IS NOT NULL")
+    sums = placed.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("s"))
+    upto = Window.partitionBy("feature").orderBy("bin")
+    whole = Window.partitionBy("feature")
+    n, s, left, low = F.sum("n").over(whole), F.sum("s").over(whole), F.sum("n").over(upto), F.sum("s").over(upto)
+    splits = sums.select("feature", n.alias("n"), s.alias("s"), left.alias("nl"), low.alias("sl"))  # bins rows a feature
+    rest = F.col("s") - F.col("sl")
+    gain = F.expr("sl * sl / nl") + F.try_divide(rest * rest, F.col("n") - F.col("nl")) - F.expr("s * s / n")
+    best = splits.groupBy("feature").agg(F.max(F.when(F.col("nl") < F.col("n"), gain)).alias("_gain"))
+    names = df.sparkSession.createDataFrame([(c,) for c in features], "feature string").join(best, "feature", "left")
+    scored = names.withColumn("score", F.round(F.coalesce(F.try_divide(F.col("_gain"), F.lit(edges["_total"])), F.lit(0.0)), 6))
+    order = Window.orderBy(~F.col("feature").isin(list(must_have)), F.col("score").desc(), "feature")  # a row a feature
+    placed = scored.select("feature", "score", F.row_number().over(order).alias("place"))
+    return placed.withColumn("chosen", F.col("place") <= max(k, len(set(must_have))))
+
+
+def _bin(value: Column, edges: Sequence[float]) -> Column:
+    """How many edges lie below a value; null for null."""
+    if not edges:
+        return F.lit(None).cast("int")
+    return F.when(value.isNotNull(), F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e < value)))
+
+
+def write_ranked_tables(rows: DataFrame, ranked: DataFrame, keys: Sequence[str], path: str, widths: Sequence[int], current: str | None = None) -> None:
+    """Feature tables of the best ``widths`` features, all in one pass over the rows.
+
+    ``ranked`` is a result of ``rank_features``. A row is written once for each
+    width, below a folder of that width, with its features by name. Keys must be
+    unique; ``current`` names tables of an earlier run, whose rows are kept where
+    the new rows lack their key. ``path`` is another folder, so a failed write
+    leaves the current tables whole.
+    """
+    names = [r.feature for r in ranked.orderBy("place").collect()]  # a row a feature
+    tables = [
+        F.struct(F.lit(w).alias("width"), F.create_map(*[x for c in names[:w] for x in (F.lit(c), F.col(c).cast("double"))]).alias("features")) for w in widths
+    ]
+    new = assert_unique(rows, keys).select(*keys, F.explode(F.array(*tables)).alias("_t")).select(*keys, "_t.width", "_t.features")
+    if current is not None:
+        new = upsert(rows.sparkSession.read.parquet(current).select(*new.columns), new, [*keys, "width"])
+    overwrite(new, path, ["width"])
+
+
+def read_ranked_table(spark: SparkSession, path: str, width: int) -> DataFrame:
+    """One of the tables; only its folder is read."""
+    return spark.read.parquet(path).filter(F.col("width") == width).drop("width")
+
+
+def explained_shares(df: DataFrame, columns: Sequence[str], share: float = 0.95) -> DataFrame:
+    """``component, share, so_far, kept``: what the principal components of standardized columns explain.
+
+    One pass takes means and deviations, a second sums the columns' products, each
+    task its own matrix (columns x columns), which are added up cell by cell. Only
+    that matrix comes to the driver. The fewest components that explain ``share``
+    are kept. Rows with a null in a column aren't used; a constant column explains
+    nothing.
+    """
+    import numpy as np
+
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    basics = rows.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)], *[F.stddev_pop(c).alias(f"d{i}") for i, c in enumerate(columns)], F.count(F.lit(1)).alias("n")).first()
+    k = len(columns)
+    means = np.array([basics[f"m{i}"] or 0.0 for i in range(k)])
+    spread = np.array([basics[f"d{i}"] or 0.0 for i in range(k)])
+
+    def moments(batches):
+        import pyarrow as pa
+
+        total = np.zeros((k, k))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = np.divide(x - means, spread, out=np.zeros_like(x), where=spread > 0)
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k, dtype=np.int32)), pa.array(total.ravel())], ["cell", "v"])
+
+    cells = rows.mapInArrow(moments, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()  # columns squared
+    matrix = np.zeros(k * k)
+    for cell in cells:
+        matrix[cell.cell] = cell.v / max(1, basics["n"])
+    values = np.linalg.eigvalsh(matrix.reshape(k, k))[::-1].clip(0)
+    shares = values / values.sum() if values.sum() > 0 else values
+    before = np.concatenate([[0.0], np.cumsum(shares)[:-1]])
+    out = [(i + 1, float(v), float(b + v), bool(b < share - 1e-12)) for i, (v, b) in enumerate(zip(shares, before, strict=True))]
+    return df.sparkSession.createDataFrame(out, "component int, share double, so_far double, kept boolean")
+
+
 def pca_for_variance(prepared: DataFrame, share: float = 0.95, source: str = "features") -> tuple[PCAModel, VectorSlicer]:
     """All components, fitted once, and a slicer to the fewest that explain
     ``share`` (output ``reduced``). The size comes from the vector's metadata."""
@@ -170,6 +277,46 @@ def search(
     return winner, results[winner]
 
 
+def cross_predictions(rows: DataFrame, label: str, keys: Sequence[str], candidates: dict, path: str, folds: int = 3) -> DataFrame:
+    """Every candidate's predictions for rows that it wasn't fitted on: ``candidate, fold, keys, label, prediction``, written below ``path``.
+
+    A row's fold is a hash of its keys, so it depends neither on order nor on a
+    seed. ``candidates`` are estimators by name; each is fitted once for each fold,
+    on the others, and its predictions are written to a folder of its own, which a
+    repeated fit overwrites.
+    """
+    parts = {f"f{i}": 100 // folds for i in range(folds - 1)}
+    parts[f"f{folds - 1}"] = 100 - sum(parts.values())
+    dealt = hash_split(rows, keys, parts, "fold")
+    for name, estimator in candidates.items():
+        for fold in parts:
+            model = estimator.fit(dealt.filter(F.col("fold") != fold))
+            told = model.transform(dealt.filter(F.col("fold") == fold)).select(*keys, F.col(label).cast("double").alias("label"), "prediction")
+            overwrite(told, f"{path.rstrip('/')}/candidate={name}/fold={fold}")
+    return rows.sparkSession.read.parquet(path)
+
+
+def candidate_errors(predictions: DataFrame, metric: str = "rmse") -> DataFrame:
+    """``candidate, n, rmse, mae, best`` of written predictions; the least error is best, the first name among equals."""
+    error = F.col("label") - F.col("prediction")
+    errors = predictions.groupBy("candidate").agg(
+        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae")
+    )
+    order = Window.orderBy(F.col(metric), "candidate")  # a row a candidate
+    return errors.withColumn("best", F.row_number().over(order) == 1)
+
+
+def refit_and_keep(estimator, rows: DataFrame, path: str) -> PipelineModel:
+    """The estimator fitted on all rows, and written for other jobs."""
+    model = (estimator if isinstance(estimator, Pipeline) else Pipeline(stages=[estimator])).fit(rows)
+    model.write().overwrite().save(path)
+    return model
+
+
+def load_kept(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def refit_on_all(result: TrainValidationSplitModel, rows: DataFrame):
     """The winning estimator with its winning parameters, fitted on all rows."""
     metrics = result.validationMetrics

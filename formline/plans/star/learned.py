@@ -1,4 +1,4 @@
-"""Splits, models and streaming over the star tables."""
+"""Splits and models over the star tables."""
 
 from __future__ import annotations
 
@@ -15,7 +15,6 @@ from formline.plans import models
 from formline.plans.star.registry import dated_orders, query, r2, table
 from formline.session import checkpoint_dir
 from formline.sources.tables import solidify
-from formline.streaming import append
 
 _PARTS = "CASE WHEN place < 60 THEN 'train' WHEN place < 80 THEN 'validate' ELSE 'test' END"
 
@@ -55,21 +54,6 @@ def metrics(spark, folder):
     return models.regression_metrics(rows, "y", "p")
 
 
-def _training_rows(spark, folder):
-    """Orders with their leak-free form, summed lines and the customer."""
-    columns = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice"]
-    orders = dated_orders(spark, folder, *columns)
-    formed = rolling_form(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_totalprice"], bounded_by=[orders])
-    lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum("l_quantity").alias("qty"), F.sum("l_extendedprice").alias("amount")
-    )
-    customer = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment")
-    return formed.join(lines, "o_orderkey", "left").join(customer, "o_custkey", "left")
-
-
-_NUMBERS = ["qty", "amount", "c_acctbal", "previous_o_totalprice", "average_o_totalprice_last_3_games", "average_o_totalprice_last_7_games"]
-
-
 def _written(spark, rows):
     """The rows as files, so that each step of a fit reads them and none runs the joins again."""
     return solidify(rows, f"{checkpoint_dir(spark).rstrip('/')}/training-{uuid.uuid4().hex}")
@@ -95,26 +79,6 @@ def ml_score(spark, folder):
     return scored.withColumn("predicted", round_half_up("predicted"))
 
 
-@query(
-    "ml_feature_select",
-    """SELECT COUNT(*) AS n, 5 AS least, 5 AS most, TRUE AS protected FROM orders WHERE o_orderstatus <> 'O'""",
-)
-def ml_feature_select(spark, folder):
-    """The five strongest features of the order value, the account balance kept
-    in any case: how many rows, how wide, and whether the protected slot came
-    through unchanged in all."""
-    rows = _written(spark, _training_rows(spark, folder).filter("o_orderstatus <> 'O'"))
-    prepared = Pipeline(stages=models.feature_stages(_NUMBERS, ["c_mktsegment"])).fit(rows).transform(rows)
-    place = _NUMBERS.index("c_acctbal")
-    slicer = models.select_features(prepared, "o_totalprice", 5, must_have=[place])
-    kept = slicer.getIndices().index(place)
-    chosen = slicer.transform(prepared).select(vector_to_array("selected").alias("s"), vector_to_array("features").alias("f"))
-    return chosen.agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.size("s")).alias("least"), F.max(F.size("s")).alias("most"),
-        F.bool_and(F.col("s")[kept] == F.col("f")[place]).alias("protected"),
-    )
-
-
 def _gapped_customers(spark, folder):
     customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
     return customers.select(
@@ -154,20 +118,3 @@ def unseen_codes(spark, folder):
     rows = _gapped_customers(spark, folder).withColumn("one", F.lit(1.0) + F.col("c_custkey") % 2)
     model = Pipeline(stages=models.feature_stages(["one"], ordinal=["area"])).fit(rows.filter("area < '20'"))
     return model.transform(rows).select("c_custkey", vector_to_array("features")[1].alias("code"))
-
-
-@query(
-    "stream_dedupe_append",
-    "SELECT event_id, user_id, event_type, value FROM events WHERE value >= 1",
-)
-def stream_dedupe_append(spark, folder):
-    """The events arrive twice, as files out of order and two at a time; each is
-    appended once, and values below 1 are turned away."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    for part in (2, 0, 3, 1, 2, 0):  # each row of parts 1 and 3 once, of 0 and 2 twice
-        events.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(f"{root}/source")
-    arriving = append.stream_files(spark, f"{root}/source", events.schema, max_files=2)
-    kept = append.expect(append.zero_fill(arriving), {"worth it": "value >= 1"})
-    append.append_first_within(kept, ["event_id"], "ts", "10 MINUTES", f"{root}/table", f"{root}/state").awaitTermination()
-    return spark.read.schema(kept.schema).parquet(f"{root}/table").select("event_id", "user_id", "event_type", "value")

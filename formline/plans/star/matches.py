@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from formline.operators.lastknown import latest_per_key
@@ -15,8 +17,9 @@ from formline.operators.matching import (
     with_pair,
 )
 from formline.operators.rolling import rolling_form
-from formline.operators.vectors import mean_vectors, vector_top_k
+from formline.operators.vectors import build_vector_index, index_top_k, mean_vectors, recall, vector_top_k
 from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games, nation_pairs, query, r2, table, text
+from formline.session import checkpoint_dir
 
 
 @query(
@@ -179,3 +182,37 @@ def vector_topk(spark, folder):
     centers = mean_vectors(vectors, ["label"], "embedding").withColumnRenamed("label", "query_label")
     best = vector_top_k(vectors, centers, "query_label", "centroid", "vec_id", "embedding", 5, digits=6)
     return best.withColumn("rank", F.col("rank").cast("long"))
+
+
+_NEAREST_SQL = f"""
+    x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    c AS (SELECT vec_id AS query, e AS q FROM x WHERE vec_id % 20 = 0),
+    s AS (SELECT query, vec_id, ROUND({_COSINE}, 6) AS similarity FROM x CROSS JOIN c),
+    t AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query ORDER BY similarity DESC, vec_id) AS rank FROM s)"""
+
+
+def _asked(vectors):
+    """The stated queries: every vector whose id is divisible by 20."""
+    return vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("asked"))
+
+
+@query("vector_neighbours", f"WITH {_NEAREST_SQL} SELECT query, rank, vec_id, similarity FROM t WHERE rank <= 10")
+def vector_neighbours(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    best = vector_top_k(vectors, _asked(vectors), "query", "asked", "vec_id", "embedding", 10, digits=6)
+    return best.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("vector_index_recall", f"WITH {_NEAREST_SQL} SELECT COUNT(DISTINCT query) AS queries, COUNT(*) AS pairs, TRUE AS enough FROM t WHERE rank <= 10")
+def vector_index_recall(spark, folder):
+    """What an index of cells finds of the exact neighbours: nine in ten at least.
+
+    The vectors have no clusters, so two thirds of the cells have to be looked
+    into (12 of 32 find three quarters); clustered ones need far fewer.
+    """
+    vectors = table(spark, folder, "embeddings")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vectors-{uuid.uuid4().hex}"
+    build_vector_index(vectors, "vec_id", "embedding", path, cells=32)
+    found = index_top_k(path, _asked(vectors), "query", "asked", "vec_id", 10, probes=22, digits=6)
+    exact = vector_top_k(vectors, _asked(vectors), "query", "asked", "vec_id", "embedding", 10, digits=6)
+    return recall(found, exact, "query", "vec_id").select("queries", "pairs", (F.col("recall") >= 0.9).alias("enough"))

@@ -7,7 +7,8 @@ flow again; corrected data comes through a batch refetch of the lookback window
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -63,6 +64,94 @@ def append_table(df: DataFrame, path: str, checkpoint: str, available_now: bool
     return (writer.trigger(availableNow=True) if available_now else writer).start(path)
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, outside the heap."""
+    conf, name = spark.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name)
+    conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        conf.set(name, before)
+
+
+def _started(writer, available_now: bool) -> StreamingQuery:
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def append_batches(
+    df: DataFrame, path: str, checkpoint: str, available_now: bool = True, on_batch: Callable[[int], None] | None = None
+) -> StreamingQuery:
+    """Append a stream to a table with a folder for each batch.
+
+    A batch that is repeated after a failure overwrites its own folder, so rows
+    are neither lost nor doubled over any number of restarts on one checkpoint.
+    ``on_batch`` is called when a batch is written and not yet committed. Read the
+    table with ``read_batches``.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if on_batch:
+            on_batch(batch_id)
+
+    return _started(df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now)
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows of a table written by batches; ``batch`` says which one wrote them."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+
+
+def append_deduped(
+    df: DataFrame, keys: Sequence[str], time: str, delay: str, path: str, late: str, checkpoint: str, available_now: bool = True,
+    on_batch: Callable[[int], None] | None = None,
+) -> StreamingQuery:
+    """Append the first row of each key, with the keys of the last ``delay`` held as state.
+
+    The state is Spark's own, in RocksDB: a key is dropped from it when the
+    watermark passes its row by ``delay``, so the state is bounded by the keys of
+    that span and no stored row is read again. Rows not after the watermark of
+    their batch, which that state can't judge, go to ``late`` instead of vanishing,
+    as do rows without a time. The watermark is the newest time of all earlier
+    batches less ``delay``; each batch writes the newest time so far beside its rows
+    (``<path>_clock``), so a repeated batch finds the same one. Keys may be null.
+    """
+    timed = df.filter(F.col(time).isNotNull())
+    fresh = timed.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys)).withColumn("_fresh", F.lit(True))
+    both = fresh.unionByName(df.withColumn("_fresh", F.lit(False)))
+    clock = f"{path.rstrip('/')}_clock"
+
+    def newest_before(spark: SparkSession, batch_id: int):
+        if batch_id == 0:
+            return None
+        seen = spark.read.schema("newest timestamp, batch long").parquet(clock).filter(F.col("batch") == batch_id - 1)
+        return seen.agg(F.max("newest")).first()[0]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = newest_before(spark, batch_id)
+        rows = batch.persist(StorageLevel.DISK_ONLY)
+        arrived = rows.filter(~F.col("_fresh")).drop("_fresh")
+        mark = F.unix_millis(F.lit(before).cast("timestamp") - F.expr(f"INTERVAL {delay}"))
+        behind = F.col(time).isNull() | (F.unix_micros(time) <= F.coalesce(mark, F.lit(0)) * 1000)
+        rows.filter("_fresh").drop("_fresh").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        arrived.filter(behind).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+        newest = arrived.agg(F.greatest(F.max(time), F.lit(before).cast("timestamp")).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{clock}/batch={batch_id}")
+        rows.unpersist()
+        if on_batch:
+            on_batch(batch_id)
+
+    with _state_on_disk(df.sparkSession):
+        return _started(both.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now)
+
+
+def held_keys(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The keys that a query's state holds after its last batch, a row each with their columns."""
+    return spark.read.format("statestore").load(checkpoint).select("key.*")
+
+
 def append_first_within(
     df: DataFrame, keys: Sequence[str], time: str, delay: str, path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:

@@ -130,6 +130,50 @@ def test_vector_search_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(vectors, "QUERY_BLOCK", 2)
     assert sorted(map(tuple, vectors.vector_top_k(items, asked, "q", "v", "i", "v", 3, digits=6).collect())) == whole
     assert len(whole) == 15
+    monkeypatch.setattr(vectors, "SENT_BYTES", 40)  # several lanes
+    assert sorted(map(tuple, vectors.vector_top_k(items, asked, "q", "v", "i", "v", 3, digits=6).collect())) == whole
+
+
+def test_vector_search_for_many_queries(spark):
+    """5,000 queries: one plan, one scan of the items, rows as by hand."""
+    import numpy as np
+    from formline.operators import vectors
+
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(300, 8)), rng.normal(size=(5000, 8))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, [0.0] * 8), (901, None), (902, [1.0])], "i int, v array<double>")
+    asked = spark.createDataFrame([(q, v.tolist()) for q, v in enumerate(y)] + [(None, [1.0] * 8)], "q int, v array<double>")
+    best = vectors.vector_top_k(items, asked, "q", "v", "i", "v", 3)
+    got = {(r.q, r["rank"]): (r.i, r.similarity) for r in best.collect()}
+    near = (y / np.linalg.norm(y, axis=1)[:, None]) @ (x / np.linalg.norm(x, axis=1)[:, None]).T
+    order = np.argsort(-near, axis=1, kind="stable")[:, :3]
+    assert len(got) == 15_000
+    assert all(got[q, n + 1][0] == order[q, n] and abs(got[q, n + 1][1] - near[q, order[q, n]]) < 1e-9 for q in range(5000) for n in range(3))
+    few = {r.i: r.similarity for r in vectors.vector_top_k(items.filter("i > 297"), asked.filter("q = 0"), "q", "v", "i", "v", 9).collect()}
+    assert set(few) == {298, 299, 900, 901, 902} and few[900] is few[901] is few[902] is None
+
+
+def test_vector_index(spark, tmp_path):
+    """All probes give the exact rows, a few most of them; a crowded cell, repeated and missing vectors are indexed as well."""
+    import numpy as np
+    from formline.operators import vectors
+
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(400, 6)), np.repeat(rng.normal(size=(1, 6)), 200, axis=0)])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, [0.0] * 6), (901, None), (None, x[0].tolist())]
+    items = spark.createDataFrame(rows, "i int, v array<double>").repartition(3)
+    asked = items.filter("i % 20 = 0").selectExpr("i AS q", "v AS w")
+    path = f"{tmp_path}/index"
+    vectors.build_vector_index(items, "i", "v", path, cells=10)
+    assert spark.read.parquet(f"{path}/items").selectExpr("sum(size(i_ids))").first()[0] == len(rows)
+    exact = vectors.vector_top_k(items, asked, "q", "w", "i", "v", 5, digits=6)
+    whole = vectors.index_top_k(path, asked, "q", "w", "i", 5, probes=10, digits=6)
+    assert rows_of(whole) == rows_of(exact)
+    some = vectors.recall(vectors.index_top_k(path, asked, "q", "w", "i", 5, probes=4, digits=6), exact, "q", "i").first()
+    assert some.queries == 31 and 0.8 <= some.recall <= 1
+    none = f"{tmp_path}/none"
+    vectors.build_vector_index(items.limit(0), "i", "v", none)
+    assert vectors.index_top_k(none, asked, "q", "w", "i", 5).collect() == []
 
 
 def test_sql_table_function_over_parts(spark):

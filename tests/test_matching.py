@@ -109,6 +109,20 @@ def test_slate_breaks_ties_by_teams(spark):
     assert rows_of(schedule.first_games_of_slate(games.limit(0), "h", "a", ["n"])) == []
 
 
+@pytest.mark.parametrize("block", [10**6, 3000, 700])
+def test_slate_of_a_long_chain(spark, block):
+    """10,000 games, each sharing a team with the next, and some between: as a loop takes them, in a few blocks."""
+    rng = random.Random(2)
+    games = [(i, f"t{i}", f"t{i + 1}") for i in range(10_000)] + [(rng.randrange(10_000), f"t{rng.randrange(12_000)}", f"u{rng.randrange(300)}") for _ in range(500)]
+    rows = spark.createDataFrame(games, "n int, h string, a string")
+    busy, want = set(), []
+    for n, h, a in sorted(set(games)):
+        if h not in busy and a not in busy:
+            busy |= {h, a}
+            want.append((n, h, a))
+    assert sorted(tuple(r) for r in schedule.first_games_of_slate(rows, "h", "a", ["n"], block=block).collect()) == want
+
+
 def test_rows_without_key_go_round_the_join(spark):
     planned = spark.createDataFrame([(1, "x"), (None, "y"), (2, "z")], "id int, p string")
     facts = spark.createDataFrame([(1, 5), (None, 6), (3, 7)], "id int, v int")

@@ -64,6 +64,85 @@ def test_search_refit_and_score(rows):
     assert own.r2 == pytest.approx(measured["r2"], abs=1e-3) and own.mae == pytest.approx(measured["mae"], abs=1e-3)
 
 
+def test_features_by_their_best_split(spark):
+    """Scores against a loop over all splits between bins; nulls, a constant and a feature without values."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(500, 3)).round(2)
+    y = np.where(x[:, 1] > 0.3, 5.0, 1.0) + 0.1 * x[:, 0]
+    rows = [(float(t), float(a), float(b), None if i % 4 else float(c), 1.0, None) for i, (t, (a, b, c)) in enumerate(zip(y, x, strict=True))]
+    df = spark.createDataFrame([*rows, (None, 9.0, 9.0, 9.0, 1.0, 1.0)], "y double, a double, b double, c double, same double, none double")
+    got = {r.feature: r for r in models.rank_features(df, "y", ["a", "b", "c", "same", "none"], 2, must_have=["same"], bins=8).collect()}
+
+    def best(values, labels):
+        edges = np.sort(values)[[int(np.ceil(len(values) * i / 8)) - 1 for i in range(1, 8)]]
+        total = ((y - y.mean()) ** 2).sum()
+        sse = lambda v: ((v - v.mean()) ** 2).sum() if len(v) else 0.0
+        return max((sse(labels) - sse(labels[values <= e]) - sse(labels[values > e])) / total for e in edges)
+
+    known = np.arange(500) % 4 == 0
+    for name, want in (("a", best(x[:, 0], y)), ("b", best(x[:, 1], y)), ("c", best(x[known, 2], y[known])), ("same", 0), ("none", 0)):
+        assert got[name].score == pytest.approx(want, abs=2e-6), name
+    assert [n for n in sorted(got, key=lambda n: got[n].place)][:2] == ["same", "b"]
+    assert {n for n in got if got[n].chosen} == {"same", "b"}
+
+
+def test_feature_tables_of_all_widths_in_one_pass(spark, rows, tmp_path):
+    ranked = spark.createDataFrame([("b", 1), ("a", 2)], "feature string, place int")
+    models.write_ranked_tables(rows.filter("id < 200"), ranked, ["id"], f"{tmp_path}/v1", [1, 2])
+    more = rows.filter("id >= 150").withColumn("b", F.lit(-1.0))
+    models.write_ranked_tables(more, ranked, ["id"], f"{tmp_path}/v2", [1, 2], current=f"{tmp_path}/v1")
+    for width, names in ((1, {"b"}), (2, {"a", "b"})):
+        found = models.read_ranked_table(spark, f"{tmp_path}/v2", width)
+        assert found.count() == 300 and set(found.first().features) == names
+        assert found.filter("features['b'] = -1").count() == 150
+    with pytest.raises(QualityError):
+        models.write_ranked_tables(rows.unionByName(rows), ranked, ["id"], f"{tmp_path}/v3", [1])
+
+
+def test_explained_shares(spark, rows):
+    """As the eigenvalues of the correlation matrix; rows with nulls and constant columns."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4)) * 100 + 1e6
+    df = spark.createDataFrame([*([*map(float, r), 3.0] for r in x), [None, 1.0, 1.0, 1.0, 3.0]], "a double, b double, c double, d double, e double")
+    got = models.explained_shares(df.repartition(5), ["a", "b", "c", "d"], 0.9).orderBy("component").collect()
+    want = np.linalg.eigvalsh(np.corrcoef(x.T))[::-1] / 4
+    assert [r.share for r in got] == pytest.approx(want.tolist(), abs=1e-9)
+    assert [r.kept for r in got] == [bool(b < 0.9) for b in np.concatenate([[0], np.cumsum(want)[:-1]])]
+    constant = models.explained_shares(df, ["a", "e"]).orderBy("component").collect()
+    assert [(round(r.share, 6), r.kept) for r in constant] == [(1.0, True), (0.0, False)]
+    assert [r.share for r in models.explained_shares(df.limit(0), ["a", "b"]).collect()] == [0.0, 0.0]
+
+
+def test_candidates_of_several_families(spark, rows, tmp_path):
+    """The winner and its error, taken again from the written predictions; the kept model predicts as the fitted one."""
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
+
+    stages = models.feature_stages(["a", "b"])
+    candidates = {
+        "boosted": Pipeline(stages=[*stages, GBTRegressor(featuresCol="features", labelCol="y", maxIter=2, seed=1)]),
+        "linear": Pipeline(stages=[*stages, LinearRegression(featuresCol="features", labelCol="y")]),
+    }
+    told = models.cross_predictions(rows, "y", ["id"], candidates, f"{tmp_path}/p")
+    assert told.groupBy("candidate").count().filter("count = 300").count() == 2
+    assert told.groupBy("id", "candidate").count().filter("count > 1").count() == 0
+    errors = {r.candidate: r for r in models.candidate_errors(told).collect()}
+    frame = told.toPandas()
+    own = {c: float((((g.label - g.prediction) ** 2).mean()) ** 0.5) for c, g in frame.groupby("candidate")}
+    assert {c: errors[c].rmse for c in own} == pytest.approx(own)
+    winner = min(own, key=lambda c: (own[c], c))
+    assert [c for c in errors if errors[c].best] == [winner]
+    again = models.cross_predictions(rows.orderBy(F.desc("id")), "y", ["id"], {"linear": candidates["linear"]}, f"{tmp_path}/q")
+    folds = {r.id: r.fold for r in told.filter("candidate = 'linear'").collect()}
+    assert {r.id: r.fold for r in again.collect()} == folds
+    model = models.refit_and_keep(candidates[winner], rows, f"{tmp_path}/m")
+    models.refit_and_keep(candidates[winner], rows, f"{tmp_path}/m")
+    assert rows_of(models.score(model, rows, keep=["id"])) == rows_of(models.score(models.load_kept(f"{tmp_path}/m"), rows, keep=["id"]))
+
+
 def test_unseen_code_gets_its_own(spark, rows):
     model = Pipeline(stages=models.feature_stages(["a"], ordinal=["team"])).fit(rows)
     new = rows.limit(1).withColumn("team", F.lit("Z"))
