@@ -23,7 +23,7 @@ from formline.functions.play import (
 from formline.operators.joins import null_safe_join
 from formline.operators.matching import first_within_tolerance, merge_intervals, totals_inside
 from formline.operators.ordered import Framed, over_ordered
-from formline.operators.shape import all_plus_each
+from formline.operators.shape import all_plus_each, sums_plus_each
 
 SITUATIONS = ("all", POWER_PLAY, PENALTY_KILL, EVEN)
 DANGERS = ("low", "medium", "high")
@@ -113,15 +113,9 @@ def possession(events: DataFrame, game: Sequence[str] = ("game_id",)) -> DataFra
     sided = by_side(attempts.groupBy(*game, *kinds).agg(F.count(F.lit(1)).alias("_n")))
     own, unblocked = F.col("is_own"), F.col("type") != "blocked-shot"
 
-    def total(condition, name):
-        return F.sum(F.when(condition, F.col("_n")).otherwise(0)).alias(name)
-
-    summed = all_plus_each(
-        sided,
-        [*game, "team_id"],
-        "situation",
-        [total(own, "_cf"), total(~own, "_ca"), total(own & unblocked, "_ff"), total(~own & unblocked, "_fa")],
-    )
+    totals = {"_cf": own, "_ca": ~own, "_ff": own & unblocked, "_fa": ~own & unblocked}
+    counted = sided.select(*game, "team_id", "situation", *[F.when(c, F.col("_n")).otherwise(0).alias(n) for n, c in totals.items()])
+    summed = sums_plus_each(counted, [*game, "team_id"], "situation", list(totals))
     return summed.select(
         *game,
         "team_id",
@@ -300,8 +294,8 @@ def _attempts(events: DataFrame, game) -> DataFrame:
 
 
 def _seen_by_player(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
-    """Class sums per player -> one row per (keys, situation of the player's
-    side) with ``<prefix>_<own|other|unowned>_<kind>``."""
+    """Class sums of a player as ``<prefix>_<own|other|unowned>_<kind>`` in the
+    situation of the player's side, a row a class, to be summed."""
     at_home = F.col("is_home")
     mine = F.when(at_home, "home").otherwise("away")
     whose = (
@@ -313,15 +307,18 @@ def _seen_by_player(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFram
     told = df.select(
         *keys, *ICE_KINDS, whose.alias("_whose"), F.when(at_home, F.col("_view")).otherwise(mirrored).alias("situation")
     )
-    sums = [
-        F.sum(F.when(F.col("_whose") == o, F.col(k)).otherwise(0)).alias(f"{prefix}_{o}_{k}") for o in OWNERS for k in ICE_KINDS
-    ]
-    return all_plus_each(told, keys, "situation", sums)
+    values = [F.when(F.col("_whose") == o, F.col(k)).otherwise(0).alias(f"{prefix}_{o}_{k}") for o in OWNERS for k in ICE_KINDS]
+    return told.select(*keys, "situation", *values)
 
 
 def ice_time(events: DataFrame, shifts: DataFrame, players: DataFrame, game: Sequence[str] = ("game_id",)) -> DataFrame:
-    """Seconds on ice and shifts per (game, player, situation); a shift counts
-    for the situation of the first event within 5 seconds of its start."""
+    """Seconds on ice and shifts per (game, player, situation)."""
+    return sums_plus_each(_timed_shifts(events, shifts, players, game), [*game, "player_id"], "situation", ["icetime", "shifts"])
+
+
+def _timed_shifts(events: DataFrame, shifts: DataFrame, players: DataFrame, game: Sequence[str]) -> DataFrame:
+    """A row a shift, to be summed: it counts for the situation of the first
+    event within 5 seconds of its start."""
     timed = events.select(*game, "period", "event_index", "code", clock_seconds("clock").alias("at"))
     starts = shifts.select(
         *game, "player_id", "period", clock_seconds("startTime").alias("at"), clock_seconds("duration").alias("_s")
@@ -330,12 +327,8 @@ def ice_time(events: DataFrame, shifts: DataFrame, players: DataFrame, game: Seq
         starts, timed, [*game, "period"], "at", "event_index", "code", 5, "code", EVEN_STRENGTH_CODE
     )
     sided = placed.join(players.select(*game, "player_id", "is_home"), [*game, "player_id"], "inner")
-    sided = sided.withColumn("situation", situation(F.col("code"), F.col("is_home")))
-    return all_plus_each(
-        sided,
-        [*game, "player_id"],
-        "situation",
-        [F.sum("_s").cast("double").alias("icetime"), F.count(F.lit(1)).alias("shifts")],
+    return sided.select(
+        *game, "player_id", situation(F.col("code"), F.col("is_home")).alias("situation"), F.col("_s").cast("double").alias("icetime"), F.lit(1).cast("long").alias("shifts")
     )
 
 
@@ -355,11 +348,8 @@ def player_stats(
         players.select(*game, "player_id", "is_home"), [*game, "player_id"], "inner"
     )
     own_counts = [c for c in sided.columns if c.startswith("I_F_")]
-    sided = sided.withColumn(
-        "situation", situation(F.coalesce("code", F.lit(EVEN_STRENGTH_CODE)), F.col("is_home"))
-    )
-    individual = all_plus_each(
-        sided, [*game, "player_id"], "situation", [F.sum(c).alias(c) for c in own_counts]
+    individual = sided.select(
+        *game, "player_id", situation(F.coalesce("code", F.lit(EVEN_STRENGTH_CODE)), F.col("is_home")).alias("situation"), *own_counts
     )
 
     attempts = _attempts(events, game)
@@ -382,9 +372,12 @@ def player_stats(
     base = players.join(shifted, list(game), "left").fillna({"has_shifts": False})
     keys = [*game, "player_id", "situation"]
     cells = base.withColumn("situation", F.explode(F.array(*[F.lit(s) for s in SITUATIONS])))
-    out = cells
-    for part in (individual, ice_time(events, shifts, players, game), on_ice, whole):
-        out = null_safe_join(out, part, keys, "left")
+    # The four parts have the same keys: stacked, they are summed in one aggregation.
+    stacked = individual
+    for part in (_timed_shifts(events, shifts, players, game), on_ice, whole):
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    measures = [c for c in stacked.columns if c not in keys]
+    out = null_safe_join(cells, sums_plus_each(stacked, [*game, "player_id"], "situation", measures), keys, "left")
     out = out.fillna(0, subset=[c for c in out.columns if c not in (*players.columns, "has_shifts", "situation")])
     return out.select(*players.columns, "has_shifts", "situation", *_player_columns(own_counts))
 

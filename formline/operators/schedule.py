@@ -20,6 +20,15 @@ REGULAR_AND_PLAYOFF = (2, 3)  # fixed values: game types that count
 LARGE_LIST = 500
 
 
+DEFAULT_START = "7:00 PM Default"  # fixed value: what stands for a time that isn't known
+
+
+def with_day_and_times(df: DataFrame, date: str, times: Sequence[str] = ("EASTERN", "LOCAL"), day: str = "DAY", default: str = DEFAULT_START) -> DataFrame:
+    """A schedule with the short name of the day, and a default where a start time is null or its column missing."""
+    known = {c: F.coalesce(F.col(c), F.lit(default)) if c in df.columns else F.lit(default) for c in times}
+    return df.withColumns({day: F.date_format(date, "E"), **known})
+
+
 def keep_game_types(df: DataFrame, column: str = "gameType", types: Sequence[int] = REGULAR_AND_PLAYOFF) -> DataFrame:
     return df.filter(F.col(column).isin(*types))
 

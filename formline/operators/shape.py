@@ -96,6 +96,16 @@ def all_plus_each(df: DataFrame, keys: Sequence[str], situation: str, aggregates
     return rolled.withColumn(situation, named).drop("_total")
 
 
+def sums_plus_each(df: DataFrame, keys: Sequence[str], situation: str, measures: Sequence[str], total="all") -> DataFrame:
+    """Sums per situation and over all of them. Rows are summed per situation
+    first; only those sums, at most a row for each situation of a key, are told
+    twice, where ``all_plus_each`` doubles every row."""
+    each = df.groupBy(*keys, situation).agg(*[F.sum(m).alias(m) for m in measures])
+    both = each.withColumn("_s", F.explode(F.array(F.struct(F.col(situation).alias("s"), F.lit(False).alias("all")), F.struct(F.lit(total).alias("s"), F.lit(True).alias("all")))))
+    summed = both.drop(situation).groupBy(*keys, "_s").agg(*[F.sum(m).alias(m) for m in measures])
+    return summed.select(*keys, F.col("_s.s").alias(situation), *measures)
+
+
 def season_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], game: str | None = None, prefix: str = "") -> DataFrame:
     """Summed measures per key, e.g. per player, team, season and situation;
     with ``game`` also the number of distinct games, counted by grouping twice."""

@@ -196,16 +196,16 @@ def player_form_fanout(spark, folder):
     "predictions_explained",
     f"""
     WITH {PREDICTION_SQL},
-    x AS (SELECT DISTINCT "shooterName", "gameDate", "playerTeam", "opposingTeam" FROM pr WHERE "gameId" IS NULL AND "playerTeam" % 2 = 0)
-    SELECT pr."order", pr."playerId", CASE WHEN x."shooterName" IS NOT NULL THEN 'team ' || pr."playerTeam" || ' meets ' || pr."opposingTeam" END AS explanation
+    x AS (SELECT DISTINCT "shooterName", "gameDate", "playerTeam", "opposingTeam" FROM pr WHERE "gameId" IS NULL)
+    SELECT pr."order", pr."playerId", CASE WHEN x."shooterName" IS NOT NULL AND pr."playerTeam" % 2 = 0 THEN 'team ' || pr."playerTeam" || ' meets ' || pr."opposingTeam" END AS explanation
     FROM pr LEFT JOIN x ON pr."shooterName" = x."shooterName" AND pr."gameDate" = x."gameDate" AND pr."playerTeam" = x."playerTeam" AND pr."opposingTeam" = x."opposingTeam" WHERE "gameId" IS NULL""",
 )
 def predictions_explained(spark, folder):
-    """Texts exist for teams of even number only."""
+    """Every team has a row of texts; those of odd number are null."""
     rows = predictions(spark, folder)
     keys = ["shooterName", "gameDate", "playerTeam", "opposingTeam"]
-    texts = rows.filter("gameId is null and playerTeam % 2 = 0").select(*keys).distinct()
-    texts = texts.withColumn("Explanation", F.concat(F.lit("team "), F.col("playerTeam").cast("string"), F.lit(" meets "), F.col("opposingTeam").cast("string")))
+    texts = rows.filter("gameId is null").select(*keys).distinct()
+    texts = texts.withColumn("Explanation", F.when(F.col("playerTeam") % 2 == 0, F.concat(F.lit("team "), F.col("playerTeam").cast("string"), F.lit(" meets "), F.col("opposingTeam").cast("string"))))
     shown = reports.predictions_view(rows, texts, reports.prediction_filter(), tie=("playerId", "order"))
     return shown.select("order", "playerId", F.col("Explanation").alias("explanation"))
 
@@ -330,3 +330,42 @@ def schedule_feed(spark, folder):
     return rows.select(
         F.col("GAME_ID").alias("id"), F.col("DATE").cast("string").alias("d"), F.col("HOME").alias("home"), F.col("AWAY").alias("away"), "home_score"
     )
+
+
+@query(
+    "feed_rosters",
+    """
+    WITH m AS (SELECT DISTINCT l_orderkey AS g, l_partkey AS p, l_linenumber <= 4 AS is_home FROM lineitem)
+    SELECT CAST(g AS VARCHAR) AS game_id, CAST(p AS VARCHAR) AS player_id, is_home, CASE WHEN is_home THEN 'H' ELSE 'A' END AS team, CASE WHEN is_home THEN 'A' ELSE 'H' END AS opponent,
+      CASE WHEN p % 5 = 0 THEN NULL WHEN p % 4 = 0 THEN 'number ' || p ELSE p_brand || ' ' || p_name END AS name
+    FROM m JOIN part ON p = p_partkey""",
+)
+def feed_rosters(spark, folder):
+    """Orders as game documents whose line-ups are the parts of their lines,
+    named in three ways or not at all, written as JSON lines and read with the
+    feed's schema. Ids are written as decimals here and there."""
+    lines = table(spark, folder, "lineitem").join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    key, number = F.col("l_partkey").cast("string"), F.col("l_linenumber")
+    member = F.struct(F.when(number % 2 == 0, F.concat(key, F.lit(".0"))).otherwise(key).alias("playerId"))
+    plain = F.col("l_partkey") % 4 == 0
+
+    def named(text):
+        return F.struct(F.when(~plain, text).alias("default"))
+
+    spot = F.struct(
+        key.alias("playerId"), named(F.concat(F.col("p_brand"), F.lit(" "))).alias("firstName"), named(F.col("p_name")).alias("lastName"),
+        F.when(plain, F.concat(F.lit("number "), key)).alias("name"),
+    )
+
+    def those(condition):
+        return F.collect_list(F.when(condition, member))
+
+    packed = lines.groupBy("l_orderkey").agg(
+        those(number <= 2).alias("hf"), those((number > 2) & (number <= 4)).alias("hd"), those(number > 4).alias("af"),
+        F.collect_list(F.when(F.col("l_partkey") % 5 > 0, spot)).alias("spots"),
+    )
+    home = F.struct(F.lit("H").alias("abbrev"), F.col("hf").alias("forwards"), F.col("hd").alias("defense"))
+    away = F.struct(F.lit("A").alias("abbrev"), F.col("af").alias("forwards"))
+    path = _folder(spark, "rosters")
+    packed.select(F.to_json(F.struct(F.col("l_orderkey").cast("string").alias("game_id"), home.alias("home"), away.alias("away"), F.col("spots").alias("rosterSpots"))).alias("value")).write.text(path)
+    return feeds.rosters_of(feeds.read_games(spark, path))

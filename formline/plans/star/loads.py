@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from formline.operators.streaks import newest_rows
@@ -17,7 +20,8 @@ from formline.sources.incremental import (
     upsert,
     upsert_keeping,
 )
-from formline.sources.tables import first_non_empty
+from formline.session import checkpoint_dir
+from formline.sources.tables import first_non_empty, solidify_by
 
 # Orders up to the cutoff are "stored"; a load brings everything from a year
 # before the cutoff on, with changed prices, so both overlap.
@@ -137,3 +141,22 @@ def keep_lowest(spark, folder):
 def fallback_source(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     return first_non_empty(orders.filter("o_orderstatus = 'X'"), orders.filter("o_orderstatus = 'F'")).drop("o_orderstatus")
+
+
+@query(
+    "solid_by_customer",
+    f"""
+    SELECT o_orderkey, o_custkey, c_mktsegment, LAG(o_totalprice) OVER w AS previous, CAST(ROW_NUMBER() OVER w AS INT) AS place, COUNT(*) OVER (PARTITION BY o_custkey) AS n
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey)""",
+)
+def solid_by_customer(spark, folder):
+    """Orders and customers solidified by the customer: form, rank, count and join of the two need no shuffle any more."""
+    root, name = f"{checkpoint_dir(spark).rstrip('/')}/solid-{uuid.uuid4().hex}", f"solid_{uuid.uuid4().hex}"
+    orders = dated_orders(spark, folder, "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    facts = solidify_by(orders, f"{name}_orders", f"{root}/orders", ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=8)
+    entities = solidify_by(customers, f"{name}_customers", f"{root}/customers", ["o_custkey"], buckets=8)
+    of = Window.partitionBy("o_custkey")
+    line = of.orderBy("o_orderdate", "o_orderkey")
+    formed = facts.withColumns({"previous": F.lag("o_totalprice").over(line), "place": F.row_number().over(line), "n": F.count(F.lit(1)).over(of)})
+    return formed.join(entities, "o_custkey", "left").select("o_orderkey", "o_custkey", "c_mktsegment", "previous", "place", "n")

@@ -26,6 +26,7 @@ from formline.operators.schedule import (
     roster_projection,
     schedule_from_facts,
     split_played,
+    with_day_and_times,
 )
 from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games, nation_pairs, query, slate_sql, table, text
 
@@ -57,16 +58,15 @@ def schedule_facts(spark, folder):
 @query(
     "schedule_outer_join",
     f"""
-    WITH s AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CASE WHEN CAST(o_orderdate AS DATE) <= DATE '{CUTOFF}' THEN o_orderkey END AS game
-      FROM orders WHERE o_orderpriority <> '5-LOW'),
+    WITH s AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CASE WHEN CAST(o_orderdate AS DATE) <= DATE '{CUTOFF}' AND o_orderpriority <> '5-LOW' THEN o_orderkey END AS game FROM orders),
     f AS (SELECT l_orderkey AS game, SUM(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey)
     SELECT s.o_orderkey, CAST(s.d AS VARCHAR) AS d, COALESCE(s.game, f.game) AS game, f.qty FROM s FULL OUTER JOIN f ON s.game = f.game""",
 )
 def schedule_outer_join(spark, folder):
-    orders = dated_orders(spark, folder, "o_orderkey", "o_orderdate", "o_orderpriority").filter(
-        "o_orderpriority <> '5-LOW'"
-    )
-    planned = orders.select("o_orderkey", F.col("o_orderdate").alias("d"), F.col("o_orderkey").alias("game"))
+    """Orders of low priority have no id to meet their lines by."""
+    orders = dated_orders(spark, folder, "o_orderkey", "o_orderdate", "o_orderpriority")
+    known = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey")).alias("game")
+    planned = orders.select("o_orderkey", F.col("o_orderdate").alias("d"), known)
     planned = null_id_after(planned, "game", "d", CUTOFF)
     facts = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("game")).agg(
         F.sum("l_quantity").alias("qty")
@@ -327,3 +327,16 @@ def first_known(spark, folder):
         F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey")).alias("u"),
     )
     return first_known_per_key(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["p", "u"])
+
+
+@query(
+    "default_start_times",
+    """
+    SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%a') AS "DAY", CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE '7:00 PM Default' END AS "EASTERN",
+      '7:00 PM Default' AS "LOCAL" FROM orders""",
+)
+def default_start_times(spark, folder):
+    """The priority stands for a start time, unknown where it is low; there is no local time."""
+    orders = dated_orders(spark, folder, "o_orderkey", "o_orderdate", "o_orderpriority")
+    known = orders.withColumn("EASTERN", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")))
+    return with_day_and_times(known, "o_orderdate").select("o_orderkey", "DAY", "EASTERN", "LOCAL")

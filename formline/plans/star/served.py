@@ -391,32 +391,35 @@ def newest_ranks(spark, folder):
     "historical_games",
     f"""
     WITH {TEAM_SQL},
-    k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY "gameId" ORDER BY CASE WHEN home_or_away = 'HOME' THEN 0 ELSE 1 END) AS rn FROM tg
-      WHERE "gameDate" < DATE '{TODAY}' AND NOT ("gameId" % 5 = 0 AND home_or_away = 'HOME')),
+    n AS (SELECT * REPLACE (CASE WHEN "gameId" % 5 > 0 OR home_or_away = 'AWAY' THEN goals END AS goals) FROM tg),
+    k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY "gameId" ORDER BY CASE WHEN home_or_away = 'HOME' THEN 0 ELSE 1 END) AS rn FROM n
+      WHERE "gameDate" < DATE '{TODAY}'),
     v AS (SELECT "gameId" AS game_id, CAST("gameDate" AS VARCHAR) AS game_date, CASE WHEN home_or_away = 'HOME' THEN "playerTeam" ELSE "opposingTeam" END AS home, CASE WHEN home_or_away = 'HOME' THEN "opposingTeam" ELSE "playerTeam" END AS away,
       CASE WHEN home_or_away = 'HOME' THEN goals ELSE "goalsAllowed" END AS goals_for, CASE WHEN home_or_away = 'HOME' THEN "goalsAllowed" ELSE goals END AS goals_against FROM k WHERE rn = 1)
     SELECT *, CASE WHEN goals_for > goals_against THEN 'Yes' ELSE 'No' END AS is_win FROM v ORDER BY game_date DESC, game_id DESC LIMIT 100""",
 )
 def past_games(spark, folder):
-    """Every fifth game has lost its home row."""
-    kept = team_games(spark, folder).filter(~((F.col("gameId") % 5 == 0) & (F.col("home_or_away") == "HOME")))
-    return reports.historical_games(kept, "goals", "goalsAllowed", before=TODAY, limit=100)
+    """The home side's goals of every fifth game aren't known."""
+    known = (F.col("gameId") % 5 > 0) | (F.col("home_or_away") == "AWAY")
+    rows = team_games(spark, folder).withColumn("goals", F.when(known, F.col("goals")))
+    return reports.historical_games(rows, "goals", "goalsAllowed", before=TODAY, limit=100)
 
 
 @query(
     "game_box",
     f"""
-    WITH {PLAYER_SQL}, one AS (SELECT home, away FROM pairs WHERE d = DATE '1999-05-05' ORDER BY game LIMIT 1)
-    SELECT "gameId", "playerId", shots FROM pg JOIN one ON LEAST(home, away) = LEAST("playerTeam", "opposingTeam") AND GREATEST(home, away) = GREATEST("playerTeam", "opposingTeam")
-    WHERE "gameDate" = DATE '1999-05-05'""",
+    WITH {PLAYER_SQL}, firsts AS (SELECT d, home, away FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY d ORDER BY game) AS rn FROM pairs) f WHERE rn = 1),
+    u AS (
+      SELECT 'player' AS kind, "gameId", "gameDate", "playerTeam", "opposingTeam", "playerId", shots, goals, NULL AS allowed FROM pg
+      UNION ALL SELECT 'team', "gameId", "gameDate", "playerTeam", "opposingTeam", NULL, shots, goals, "goalsAllowed" FROM tg)
+    SELECT kind, "gameId", "playerTeam", "playerId", shots, goals, allowed FROM u JOIN firsts
+    ON "gameDate" = d AND LEAST(home, away) = LEAST("playerTeam", "opposingTeam") AND GREATEST(home, away) = GREATEST("playerTeam", "opposingTeam")""",
 )
 def box(spark, folder):
-    day = nation_pairs(spark, folder).filter("d = DATE '1999-05-05'")
-    first = day.orderBy("game").select("home", "away").first()
-    rows, _ = reports.game_box(
-        player_games(spark, folder), team_games(spark, folder), "1999-05-05", *(first or (0, 0)), "shots"
-    )
-    return rows.select("gameId", "playerId", "shots")
+    """Players and teams of the first game of every day."""
+    firsts = nation_pairs(spark, folder).groupBy("d").agg(F.min_by(F.struct("home", "away"), "game").alias("g")).select(F.col("d").alias("date"), "g.home", "g.away")
+    values = {"shots": "shots", "goals": "goals", "allowed": "goalsAllowed"}
+    return reports.game_boxes(player_games(spark, folder), team_games(spark, folder), firsts, values)
 
 
 @query(

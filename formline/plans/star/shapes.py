@@ -9,7 +9,6 @@ from formline.functions.numbers import at_least, gap, zero_if_null_when
 from formline.functions.text import clean_id, collapse_spaces, composite_id, contains_ignoring_case, lookup_code, prompt_text, with_comments
 from formline.operators.schedule import home_and_away
 from formline.operators.shape import (
-    all_plus_each,
     pick_columns,
     pivot_situation,
     prefix_columns,
@@ -17,6 +16,7 @@ from formline.operators.shape import (
     season_totals,
     situation_slice,
     swap_view,
+    sums_plus_each,
     typed_nulls,
     union_all,
     union_distinct,
@@ -28,9 +28,8 @@ from formline.plans.star.registry import GAMES_SQL, dated_orders, nation_games,
 
 def _situations(spark, folder):
     """Per order and return flag, with an "all" situation, as in game facts."""
-    lines = table(spark, folder, "lineitem")
-    sums = [F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n_lines")]
-    return all_plus_each(lines, ["l_orderkey"], "l_returnflag", sums)
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_returnflag", F.col("l_quantity").alias("qty"), F.lit(1).cast("long").alias("n_lines"))
+    return sums_plus_each(lines, ["l_orderkey"], "l_returnflag", ["qty", "n_lines"])
 
 
 _SITUATIONS_SQL = """

@@ -138,3 +138,42 @@ def test_gates(spark):
     quality.assert_same_schema(df, df.select("v", "k"))
     with pytest.raises(quality.QualityError):
         quality.assert_same_schema(df, df.drop("v"))
+
+
+def test_solid_tables_need_no_shuffle(spark, tmp_path):
+    """Windows, aggregates and joins on the keys of two solid tables: rows as before, and no exchange in the plan."""
+    from pyspark.sql import Window
+
+    rows = spark.range(2000).select((F.col("id") % 37).alias("k"), F.col("id").alias("t"), (F.col("id") * 7 % 101).alias("v")).withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    names = rows.select("k").distinct().withColumn("name", F.concat(F.lit("n"), F.col("k")))
+
+    def form(a, b):
+        line = Window.partitionBy("k").orderBy("t")
+        placed = a.withColumn("before", F.lag("v").over(line)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k")))
+        return placed.join(b, "k", "left").join(a.groupBy("k").agg(F.sum("v").alias("s")), "k", "left")
+
+    solid = [tables.solidify_by(d, n, f"{tmp_path}/{n}", ["k"], o, buckets=4) for d, n, o in ((rows, "solid_rows", ["t"]), (names, "solid_names", []))]
+    joins = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(joins)
+    spark.conf.set(joins, "-1")
+    try:
+        found = form(*solid)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert "Exchange" in form(rows, names)._jdf.queryExecution().executedPlan().toString()
+        assert rows_of(found) == rows_of(form(rows, names))
+    finally:
+        spark.conf.set(joins, before)
+    again = tables.solidify_by(rows.limit(5), "solid_rows", f"{tmp_path}/solid_rows", ["k"], buckets=4)
+    assert again.count() == 5
+    with pytest.raises(ValueError):
+        tables.solidify_by(again, "solid_rows", f"{tmp_path}/solid_rows", ["k"], buckets=4)
+
+
+def test_default_start_times(spark):
+    from formline.operators.schedule import with_day_and_times
+
+    games = spark.createDataFrame([("2024-01-05", "8:00 PM"), ("2024-01-06", None), (None, None)], "DATE string, EASTERN string")
+    got = rows_of(with_day_and_times(games, "DATE"), "DAY", "EASTERN", "LOCAL")
+    unknown = "7:00 PM Default"
+    assert got == [("Fri", "8:00 PM", unknown), ("Sat", unknown, unknown), (None, unknown, unknown)]
