@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from formline.llm.scratch import Scratch
 from formline.llm.words import ascii_lower, null_safe, text_key
 
 #: What separates words once A-Z are lower-cased: ASCII other than 0-9 and a-z.
@@ -56,19 +57,18 @@ def _grams(windows: DataFrame, size: int) -> DataFrame:
 
 def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text: str = "text", n: int = 10, max_broadcast: int = 200_000,
+    item_text: str = "text", n: int = 10, max_broadcast: int = 200_000, max_hits: int = 1_000_000,
 ) -> DataFrame:
     """One row per document with the words that windows of benchmark items cover.
 
-    The windows' inner grams (5 words for windows of 10) form a hash set that
-    every task gets; a document is split into words once and looked up only at
-    each fifth position, since any whole window holds such a gram at such a
-    position. Where one hits, the windows around it are compared as text with the
-    items' windows, so hashes alone decide nothing. Documents go through in one
-    pass; only counts and hits are shuffled.
-
-    The set is counted first. Above ``max_broadcast`` grams it isn't sent to the
-    tasks: then the aligned grams are joined with it in a shuffle.
+    The windows' inner grams (5 words for windows of 10) form a hash set. Documents
+    are looked up only at each fifth position, since any whole window holds such a
+    gram at such a position: their aligned grams, 64 bits and no text, meet the set
+    in a semi-join, to which the set is sent when it is counted as at most
+    ``max_broadcast`` grams and shuffled beyond. The documents that hit, with the
+    grams they hit, go back to the texts the same way (sent up to ``max_hits``
+    grams, counted). There the windows around each hit are compared as text with
+    the items' windows, so hashes alone decide nothing.
 
     Returns ``id, text_key, n_words, n_hit, spans`` (start and length of every
     occurrence), ``items`` (ids, distinct, sorted as strings). Null and empty
@@ -76,24 +76,23 @@ def contamination(
     no document's item list (words of an item with null id still count as hit).
     Repeated rows each get a row. No items: no hits.
     """
-    windows = item_windows(items, item_col, item_text, n)
+    spark = docs.sparkSession
+    folder = Scratch(spark, "grams")
+    windows = folder.table(item_windows(items, item_col, item_text, n))
     sizes = [r[0] for r in windows.select("__len").distinct().collect()]  # at most n values
-    grams = None
-    for size in sizes:
-        some = _grams(windows.filter(F.col("__len") == size), size)
-        grams = some if grams is None else grams.unionByName(some)
-    small, known = True, []
-    if grams is not None:
-        grams = grams.distinct()
-        known = [r[0] for r in grams.limit(max_broadcast + 1).collect()]
-        small = len(known) <= max_broadcast
+    small = True
 
     base = docs.select(
         F.monotonically_increasing_id().alias("__row"), F.col(id_col), text_key(F.col(text_col)).alias("text_key"),
         item_words(F.col(text_col)).alias("__words"),
-    )
+    ).withColumn("__doc", F.xxhash64(id_col, "text_key"))
     words, total = F.col("__words"), F.size("__words")
 
+    def aligned(size: int, g: int) -> Column:
+        """``at, gram`` of each aligned gram, for windows of one size."""
+        places = F.when(total >= size, F.sequence(F.lit(0), total - g, F.lit(g))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, _bind(lambda size, g, at: F.struct(at.alias("at"), gram_hash(size, part(words, at, F.lit(g))).alias("gram")), size, g))
+
     def around(size: int, g: int, at: Column) -> Column:
         """The windows for which the aligned gram at ``at`` is the first inside."""
         first, last = F.greatest(F.lit(0), at - (g - 1)), F.least(at, total - size)
@@ -102,38 +101,26 @@ def contamination(
             F.transform(F.sequence(first, last), lambda p: F.struct(p.alias("at"), F.lit(size).alias("len"), part(words, p, F.lit(size)).alias("window"))),
         ).otherwise(F.array().cast("array<struct<at:int,len:int,window:string>>"))
 
-    def aligned(size: int, g: int) -> Column:
-        return F.when(total >= size, F.sequence(F.lit(0), total - g, F.lit(g))).otherwise(F.array().cast("array<int>"))
-
-    def looked_up(size: int, g: int, at: Column) -> Column:
-        return F.struct(gram_hash(size, part(words, at, F.lit(g))).alias("gram"), around(size, g, at).alias("spots"))
-
     found = F.array().cast("array<struct<at:int,len:int,window:string>>")
-    if small and known:
-        # As text, since a literal column for each gram would take long to build.
-        listed = ", ".join(f"{k}L" if k > -(2**63) else "-9223372036854775807L - 1" for k in known)
+    if sizes:
+        grams, each = None, F.array().cast("array<long>")
         for size in sizes:
-            g = gram_length(size)
-            hit = F.expr(
-                f"filter(if(size(__words) >= {size}, sequence(0, size(__words) - {g}, {g}), cast(array() AS array<int>)),"
-                f" at -> xxhash64({size}, array_join(slice(__words, at + 1, {g}), ' ')) IN ({listed}))"
-            )
-            found = F.concat(found, F.flatten(F.transform(hit, _bind(around, size, g))))
-        spots = base.select("__row", id_col, "text_key", total.cast("long").alias("n_words"), F.explode_outer(found).alias("__spot"))
-    elif known:
-        each = F.array(F.struct(F.lit(None).cast("long").alias("gram"), found.alias("spots")))  # one row a document at least
+            some = _grams(windows.filter(F.col("__len") == size), size)
+            grams = some if grams is None else grams.unionByName(some)
+            each = F.concat(each, F.transform(aligned(size, gram_length(size)), lambda x: x["gram"]))
+        grams = folder.table(grams.distinct())
+        small = grams.count() <= max_broadcast
+        narrow = base.select("__doc", F.explode(F.array_distinct(each)).alias("__gram"))
+        met = narrow.join(F.broadcast(grams) if small else grams, "__gram", "left_semi")
+        hits = folder.table(met.groupBy("__doc").agg(F.collect_set("__gram").alias("__hit")))
+        few = (hits.agg(F.sum(F.size("__hit") + 2)).first()[0] or 0) <= max_hits
+        base = base.join(F.broadcast(hits) if few else hits, "__doc", "left")
         for size in sizes:
-            each = F.concat(each, F.transform(aligned(size, gram_length(size)), _bind(looked_up, size, gram_length(size))))
-        rows = base.select(
-            "__row", id_col, "text_key", total.cast("long").alias("n_words"), F.explode(each).alias("__e")
-        ).select("__row", id_col, "text_key", "n_words", F.col("__e.gram").alias("__gram"), F.col("__e.spots").alias("__spots"))
-        # One pass and one join: a document's first row has no gram and a key of its own.
-        keyed = rows.withColumns({"__k": F.coalesce("__gram", "__row"), "__first": F.col("__gram").isNull()})
-        wanted = grams.select(F.col("__gram").alias("__k"), F.lit(False).alias("__first"), F.lit(True).alias("__in"))
-        matched = keyed.join(wanted, ["__k", "__first"], "left").filter("__first or __in")
-        spots = matched.select("__row", id_col, "text_key", "n_words", F.explode_outer("__spots").alias("__spot"))
-    else:
-        spots = base.select("__row", id_col, "text_key", total.cast("long").alias("n_words"), F.explode_outer(found).alias("__spot"))
+            g = gram_length(size)
+            hit = F.filter(F.when(F.col("__hit").isNotNull(), aligned(size, g)), lambda x: F.array_contains("__hit", x["gram"]))
+            spots = F.flatten(F.transform(F.transform(hit, lambda x: x["at"]), _bind(around, size, g)))
+            found = F.concat(found, F.coalesce(spots, F.array().cast("array<struct<at:int,len:int,window:string>>")))
+    spots = base.select("__row", id_col, "text_key", total.cast("long").alias("n_words"), F.explode_outer(found).alias("__spot"))
 
     # Rows without a spot get a key of their own, so they don't meet in one task where the join is shuffled.
     key = F.coalesce(F.col("__spot.window"), F.concat(F.lit(" "), F.col("__row").cast("string")))

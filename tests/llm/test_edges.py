@@ -25,7 +25,7 @@ OPERATORS = {
     "substrings": lambda s, d: substrings.repeated_passages(d),
     "toxicity": lambda s, d: toxicity.toxicity_scores(d, labelled(s), learn()),
     "decontaminate": lambda s, d: decontaminate.contamination(d, items(s)),
-    "decontaminate_joined": lambda s, d: decontaminate.contamination(d, items(s), max_broadcast=0),
+    "decontaminate_joined": lambda s, d: decontaminate.contamination(d, items(s), max_broadcast=0, max_hits=0),
     "lines": lambda s, d: lines.duplicate_lines(d),
     "quality": lambda s, d: pu_quality.quality_scores(d, labelled(s), learn()),
     "mixing": lambda s, d: mixing.mix_plan(d.select("doc_id", "source", word_count(F.col("text")).alias("size")), ["doc_id"]),

@@ -50,7 +50,7 @@ def test_benchmark_words(spark, make_docs, max_broadcast):
         docs.append((i, " ".join(text).upper() if i % 3 else ", ".join(text)))
     docs += [(100, "über été X Y Z"), (101, "Über été X y z"), (102, "an Über ÉTÉ X. Y z!")]
     table = spark.createDataFrame(items, "item_id long, text string")
-    rows = decontaminate.contamination(make_docs(docs), table, max_broadcast=max_broadcast).collect()
+    rows = decontaminate.contamination(make_docs(docs), table, max_broadcast=max_broadcast, max_hits=max_broadcast).collect()
     got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in rows}
     assert got == {i: brute.hits(t, items, 10) for i, t in docs}
 
