@@ -82,10 +82,10 @@ def contamination(
     sizes = [r[0] for r in windows.select("__len").distinct().collect()]  # at most n values
     small = True
 
-    base = docs.select(
-        F.monotonically_increasing_id().alias("__row"), F.col(id_col), text_key(F.col(text_col)).alias("text_key"),
-        item_words(F.col(text_col)).alias("__words"),
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("__row"), F.col(id_col), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("__text")
     ).withColumn("__doc", F.xxhash64(id_col, "text_key"))
+    split = item_words(F.col("__text")).alias("__words")
     words, total = F.col("__words"), F.size("__words")
 
     def aligned(size: int, g: int) -> Column:
@@ -101,7 +101,7 @@ def contamination(
             F.transform(F.sequence(first, last), lambda p: F.struct(p.alias("at"), F.lit(size).alias("len"), part(words, p, F.lit(size)).alias("window"))),
         ).otherwise(F.array().cast("array<struct<at:int,len:int,window:string>>"))
 
-    found = F.array().cast("array<struct<at:int,len:int,window:string>>")
+    found, base = F.array().cast("array<struct<at:int,len:int,window:string>>"), texts.select("__row", id_col, "text_key", split)
     if sizes:
         grams, each = None, F.array().cast("array<long>")
         for size in sizes:
@@ -110,11 +110,11 @@ def contamination(
             each = F.concat(each, F.transform(aligned(size, gram_length(size)), lambda x: x["gram"]))
         grams = folder.table(grams.distinct())
         small = grams.count() <= max_broadcast
-        narrow = base.select("__doc", F.explode(F.array_distinct(each)).alias("__gram"))
+        narrow = texts.select("__doc", split).select("__doc", F.explode(F.array_distinct(each)).alias("__gram"))
         met = narrow.join(F.broadcast(grams) if small else grams, "__gram", "left_semi")
         hits = folder.table(met.groupBy("__doc").agg(F.collect_set("__gram").alias("__hit")))
         few = (hits.agg(F.sum(F.size("__hit") + 2)).first()[0] or 0) <= max_hits
-        base = base.join(F.broadcast(hits) if few else hits, "__doc", "left")
+        base = texts.join(F.broadcast(hits) if few else hits, "__doc", "left").select("__row", id_col, "text_key", "__hit", split)
         for size in sizes:
             g = gram_length(size)
             hit = F.filter(F.when(F.col("__hit").isNotNull(), aligned(size, g)), lambda x: F.array_contains("__hit", x["gram"]))
