@@ -3,9 +3,10 @@ possession, rebounds, zone continuation, ice time."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formline.functions.numbers import percent_share
@@ -20,12 +21,15 @@ from formline.functions.play import (
     shot_danger,
     situation,
 )
-from formline.operators.joins import null_safe_join
+from formline.operators.joins import broadcast_if_small, null_safe_join
 from formline.operators.matching import first_within_tolerance, merge_intervals, totals_inside
 from formline.operators.ordered import Framed, over_ordered
 from formline.operators.shape import all_plus_each, sums_plus_each
+from formline.session import reliable_checkpoint
 
 SITUATIONS = ("all", POWER_PLAY, PENALTY_KILL, EVEN)
+#: Players of games whose rows are summed and joined in one task.
+TASK_PLAYERS = 20_000
 DANGERS = ("low", "medium", "high")
 
 # Counter name -> event types that add to it.
@@ -332,6 +336,18 @@ def _timed_shifts(events: DataFrame, shifts: DataFrame, players: DataFrame, game
     )
 
 
+def _game_totals(attempts: DataFrame, game: Sequence[str]) -> DataFrame:
+    """All attempts of a game per situation, as a player at home (``_home_...``)
+    and one of the other side (``_away_...``) sees them: a few rows a game, told
+    to the players after their own rows are summed."""
+    classes = attempts.groupBy(*game, "_owner", "_view").agg(*[F.sum(k).alias(k) for k in ICE_KINDS])
+    classes = reliable_checkpoint(classes)
+    home = _seen_by_player(classes.withColumn("is_home", F.lit(True)), game, "_home")
+    away = _seen_by_player(classes.withColumn("is_home", F.lit(False)), game, "_away")
+    both = home.unionByName(away, allowMissingColumns=True)
+    return sums_plus_each(both, game, "situation", [c for c in both.columns if c.startswith(("_home_", "_away_"))])
+
+
 def player_stats(
     events: DataFrame,
     shifts: DataFrame,
@@ -352,6 +368,8 @@ def player_stats(
         *game, "player_id", situation(F.coalesce("code", F.lit(EVEN_STRENGTH_CODE)), F.col("is_home")).alias("situation"), *own_counts
     )
 
+    # So many partitions that a task holds rows of a bounded number of players, however well the zeros compress.
+    count = max(1, math.ceil(players.count() / TASK_PLAYERS))
     attempts = _attempts(events, game)
     classes = ["_owner", "_view"]
     spans = shifts.select(
@@ -365,20 +383,35 @@ def player_stats(
     )
     members = players.select(*game, "player_id", "is_home")
     on_ice = _seen_by_player(on_ice.join(members, [*game, "player_id"], "inner"), [*game, "player_id"], "on")
-    totals = attempts.groupBy(*game, *classes).agg(*[F.sum(k).alias(k) for k in ICE_KINDS])
-    whole = _seen_by_player(members.join(totals, list(game), "inner"), [*game, "player_id"], "all")
 
     shifted = shifts.select(*game).distinct().withColumn("has_shifts", F.lit(True))
     base = players.join(shifted, list(game), "left").fillna({"has_shifts": False})
+    # How often a player is listed for each side: the game's totals count as often.
+    listed = Window.partitionBy(*game, "player_id")
+    at_home = F.coalesce("is_home", F.lit(False))
+    base = base.withColumns({f"_{side}s": F.count_if(c).over(listed) for side, c in (("home", at_home), ("away", ~at_home))})
     keys = [*game, "player_id", "situation"]
     cells = base.withColumn("situation", F.explode(F.array(*[F.lit(s) for s in SITUATIONS])))
-    # The four parts have the same keys: stacked, they are summed in one aggregation.
+    # The three parts have the same keys: stacked, they are summed in one aggregation.
     stacked = individual
-    for part in (_timed_shifts(events, shifts, players, game), on_ice, whole):
+    for part in (_timed_shifts(events, shifts, players, game), on_ice):
         stacked = stacked.unionByName(part, allowMissingColumns=True)
     measures = [c for c in stacked.columns if c not in keys]
-    out = null_safe_join(cells, sums_plus_each(stacked, [*game, "player_id"], "situation", measures), keys, "left")
-    out = out.fillna(0, subset=[c for c in out.columns if c not in (*players.columns, "has_shifts", "situation")])
+    sums = sums_plus_each(stacked.repartition(count, *game, "player_id"), [*game, "player_id"], "situation", measures)
+
+    def placed(df):
+        return df.withColumn("_key", F.struct(*keys)).repartition(count, "_key")  # equal structs have equal or missing parts
+
+    out = placed(cells).join(placed(sums).drop(*keys), "_key", "left").drop("_key")
+    out = out.join(broadcast_if_small(_game_totals(attempts, game)), [*game, "situation"], "left")
+    wholes = {c.replace("_home_", "all_", 1): c for c in out.columns if c.startswith("_home_")}
+    out = out.withColumns(
+        {
+            name: F.col("_homes") * F.coalesce(home, F.lit(0)) + F.col("_aways") * F.coalesce(home.replace("_home_", "_away_", 1), F.lit(0))
+            for name, home in wholes.items()
+        }
+    )
+    out = out.fillna(0, subset=measures)
     return out.select(*players.columns, "has_shifts", "situation", *_player_columns(own_counts))
 
 

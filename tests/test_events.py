@@ -143,6 +143,23 @@ def test_player_stats(spark, games):
     assert (lost.has_shifts, lost.I_F_shotsOnGoal, lost.OnIce_F_shotsOnGoal, lost.corsiPercentage) == (False, 1, None, None)
 
 
+def test_player_stats_of_a_bounded_number_of_players_a_task(spark, games, monkeypatch):
+    """The game's totals are not dealt to the players before the sums, and partitions follow the players; a player listed twice counts twice."""
+    events = feeds.events_of(games)
+    shifts = spark.createDataFrame([("1", "11", 1, "04:58", "05:30", "00:32"), ("1", "21", 1, "06:58", "07:00", "00:02")], "game_id string, player_id string, period int, startTime string, endTime string, duration string")
+    players = feeds.rosters_of(games).select("game_id", "player_id", "is_home").distinct()
+    want = ev.player_stats(events, shifts, players)
+    monkeypatch.setattr(ev, "TASK_PLAYERS", 1)
+    many = ev.player_stats(events, shifts, players)
+    assert rows_of(many) == rows_of(want)
+    assert "REPARTITION_BY_NUM, [plan_id" in (plan := many._jdf.queryExecution().executedPlan().toString()) and f", {players.count()}), REPARTITION_BY_NUM" in plan
+    twice = ev.player_stats(events, shifts, players.union(players))
+    kept = ["game_id", "player_id", "situation"]
+    counts = [c for c in want.columns if c.startswith(("I_F_", "OnIce_", "OffIce_"))]
+    doubled = want.select(*kept, *[(F.col(c) * 2).alias(c) for c in counts])
+    assert rows_of(twice, *kept, *counts) == rows_of(doubled.union(doubled), *kept, *counts)
+
+
 def test_schedule_feed(spark, tmp_path):
     rows = [
         {"id": 1, "season": 20232024, "gameType": 1, "gameDate": "2023-09-30", "homeTeam": {"abbrev": "BOS"}, "awayTeam": {"abbrev": "TOR"}},
