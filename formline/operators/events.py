@@ -379,7 +379,7 @@ def player_stats(
     # A span is looked at once per class of attempts its period has seen.
     spans = spans.join(attempts.select(*game, "period", *classes).distinct(), [*game, "period"], "inner")
     on_ice = totals_inside(
-        attempts, spans, [*game, "period", *classes], ["player_id"], "at", "_from", "_to", list(ICE_KINDS), bounded_by, merged=True
+        attempts, spans, [*game, "period", *classes], ["player_id"], "at", "_from", "_to", list(ICE_KINDS), bounded_by, merged=True, parts=count
     )
     members = players.select(*game, "player_id", "is_home")
     on_ice = _seen_by_player(on_ice.join(members, [*game, "player_id"], "inner"), [*game, "player_id"], "on")

@@ -116,6 +116,7 @@ def totals_inside(
     measures: Sequence[str],
     bounded_by: Sequence[DataFrame] | int = (),
     merged: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Sums of event measures inside each owner's intervals, per (keys, owner).
 
@@ -123,13 +124,15 @@ def totals_inside(
     at an end minus those read at its start are added up per owner. There is
     no join and no event is paired with an interval, however many owners share
     the same events. ``merged`` says that an owner's intervals are disjoint
-    already.
+    already; ``parts`` deals the sweep to so many tasks, whatever its bytes.
     """
     spans = intervals if merged else merge_intervals(intervals, [*keys, *owner], start, end, bounded_by)
     ends = _interval_ends(spans, [*keys, *owner], at, start, end, (-1, 1))
     per_time = events.groupBy(*keys, at).agg(*[F.sum(m).alias(m) for m in measures]).withColumn("_kind", F.lit(1))
     running = [Running(f"_s_{m}", F.coalesce(F.col(m), F.lit(0)), "sum") for m in measures]
-    swept = over_ordered(union_all(per_time, ends), keys, [at, "_kind"], running, bounded_by=bounded_by)
+    line = union_all(per_time, ends)
+    line = line.repartition(parts, *keys) if parts else line
+    swept = over_ordered(line, keys, [at, "_kind"], running, bounded_by=bounded_by)
     return swept.filter("_kind <> 1").groupBy(*keys, *owner).agg(
         *[F.sum(F.col(f"_s_{m}") * F.col("_sign")).alias(m) for m in measures]
     )
