@@ -85,8 +85,8 @@ def hot_groups(df: DataFrame, keys: Sequence[str], bounded_by: Sequence[DataFram
     listed = counted.orderBy(F.desc("_rows")).limit(MAX_LISTED_KEYS + 1).collect()
     if not listed:
         return None
-    if len(listed) <= MAX_LISTED_KEYS:
-        return df.sparkSession.createDataFrame(listed, counted.schema)
+    if len(listed) <= MAX_LISTED_KEYS:  # counted, so sent to the rows: a join by these keys would put each group into one task
+        return F.broadcast(df.sparkSession.createDataFrame(listed, counted.schema))
     return reliable_checkpoint(counted)
 
 

@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formline.functions.numbers import at_least, ratio, round_half_up
-from formline.operators.joins import null_safe_join
+from formline.operators.joins import broadcast_if_small, null_safe_join
 from formline.operators.ordered import Framed, Running, hot_groups, over_ordered, split_hot
+from formline.session import reliable_checkpoint
+
+#: One over the error of the ranks that bracket the medians of crowded groups.
+MEDIAN_ACCURACY = 10_000
 
 
 def _mean_frame(name: str, n: int, played: Column | None, include_current: str) -> Callable:
@@ -145,8 +149,9 @@ def running_totals(
 def group_median(df: DataFrame, keys: Sequence[str], measures: dict[str, str], hot="measure", bounded_by=()) -> DataFrame:
     """One row per group with the exact median of each measure (name -> alias).
 
-    Groups above the hot limit are reduced to value counts first, and the
-    middle values are found from running counts over the sorted values.
+    Groups above the hot limit are reduced to the counts of the values around
+    the middle, which a sketch of guaranteed error brackets; the middle values
+    are found from running counts over them.
     """
     if isinstance(hot, str):
         hot = hot_groups(df, keys, bounded_by)
@@ -155,14 +160,38 @@ def group_median(df: DataFrame, keys: Sequence[str], measures: dict[str, str], h
     if hot_rows is None:
         return plain
     parts = hot_rows.select(*keys).distinct()
-    for m, alias in measures.items():
-        parts = null_safe_join(parts, _median_from_counts(hot_rows, keys, m, alias), keys, "left")
+    edges = _median_edges(hot_rows, keys, measures)
+    for i, (m, alias) in enumerate(measures.items()):
+        near = edges.select(*keys, F.col(f"_edges{i}")[0].alias("_low"), F.col(f"_edges{i}")[1].alias("_high"))
+        parts = null_safe_join(parts, _median_from_counts(hot_rows, keys, m, alias, near), keys, "left")
     return parts if not keys else plain.unionByName(parts)
 
 
-def _median_from_counts(rows, keys, measure, alias):
-    counts = rows.filter(F.col(measure).isNotNull()).groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_c"))
-    placed = over_ordered(counts, keys, [measure], [Running("_upto", F.col("_c"), "sum")])
+def _median_edges(rows, keys, measures):
+    """Per group, for each measure two values that the middle lies between: their
+    ranks are a few ten-thousandths below and above it, the sketch's error told in."""
+    away = 3 / MEDIAN_ACCURACY
+    cuts = F.array(F.lit(0.5 - away), F.lit(0.5 + away))
+    sketched = [F.percentile_approx(F.col(m).cast("double"), cuts, MEDIAN_ACCURACY).alias(f"_edges{i}") for i, m in enumerate(measures)]
+    return broadcast_if_small(reliable_checkpoint(rows.groupBy(*keys).agg(*sketched))) if keys else rows.agg(*sketched)
+
+
+def _median_from_counts(rows, keys, measure, alias, edges):
+    """Values outside the edges are counted in one row a side; if a middle lies
+    there after all, every value is counted."""
+    value = F.col(measure).cast("double")
+    known = null_safe_join(rows.select(*keys, measure).filter(F.col(measure).isNotNull()), edges, keys, "left")
+    side = F.when(value < F.col("_low"), -1).when(value > F.col("_high"), 1).otherwise(0)
+    sided = known.select(*keys, side.alias("_side"), F.when(side == 0, F.col(measure)).alias(measure))
+    found = reliable_checkpoint(_middles(sided, keys, measure, alias))
+    if not found.filter("_missed").isEmpty():
+        found = _middles(known.select(*keys, F.lit(0).alias("_side"), measure), keys, measure, alias)
+    return found.drop("_missed")
+
+
+def _middles(rows, keys, measure, alias):
+    counts = rows.groupBy(*keys, "_side", measure).agg(F.count(F.lit(1)).alias("_c"))
+    placed = over_ordered(counts, keys, ["_side", measure], [Running("_upto", F.col("_c"), "sum")])
     sizes = counts.groupBy(*keys).agg(F.sum("_c").alias("_size"))
     placed = null_safe_join(placed, sizes, keys, "inner")
     first = F.floor((F.col("_size") + 1) / 2)
@@ -174,7 +203,8 @@ def _median_from_counts(rows, keys, measure, alias):
     value = F.col(measure).cast("double")
     middle = placed.filter(holds(first) | holds(second)).groupBy(*keys)
     return middle.agg(
-        ((F.max(F.when(holds(first), value)) + F.max(F.when(holds(second), value))) / 2).alias(alias)
+        ((F.max(F.when(holds(first), value)) + F.max(F.when(holds(second), value))) / 2).alias(alias),
+        F.coalesce(F.bool_or(F.col("_side") != 0), F.lit(False)).alias("_missed"),
     )
 
 

@@ -8,7 +8,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from formline.operators import ranking, rolling, streaks
-from formline.operators.ordered import HOT_ROWS_CONF
+from formline.operators.ordered import HOT_ROWS_CONF, hot_groups, split_hot
 
 SHOTS = [3, 1, 4, 1, 5]
 
@@ -133,3 +133,26 @@ def test_form_windows_share_one_shuffle(spark, season):
     formed = rolling.rolling_form(season, ["player"], ["d"], ["sog", "game"])
     plan = formed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window [") == 1
+
+
+def test_crowded_groups_are_found_without_a_shuffle(spark, tiny_groups):
+    df = _league(spark)
+    _, hot = split_hot(df, ["team"], hot_groups(df, ["team"]))
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_medians_outside_their_edges_are_counted_whole(spark, monkeypatch):
+    df = _league(spark)
+    want = rows_of(rolling.group_median(df, ["team"], {"v": "mid"}))
+
+    def apart(rows, keys, measures):
+        edges = F.array(F.lit(100.0), F.lit(101.0))
+        return rows.select(*keys).distinct().select("*", *[edges.alias(f"_edges{i}") for i in range(len(measures))])
+
+    monkeypatch.setattr(rolling, "_median_edges", apart)
+    spark.conf.set(HOT_ROWS_CONF, "25")
+    try:
+        assert rows_of(rolling.group_median(df, ["team"], {"v": "mid"})) == want
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
