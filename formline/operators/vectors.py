@@ -13,6 +13,10 @@ from formline.sources.tables import overwrite
 
 QUERY_BLOCK = 500
 ITEM_BLOCK = 4_096
+#: Vectors that a packing task holds for blocks not yet full; beyond it the largest block goes as it is.
+HELD_BYTES = 8 << 20
+#: Queries of a block scored at a time.
+SCORED_ROWS = 64
 #: Packed queries up to this many bytes are sent to the items; more of them are lanes of that size.
 SENT_BYTES = 64 << 20
 #: With several lanes, item blocks are dealt into so many parts, and each lane is joined with each part.
@@ -28,37 +32,72 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def _reader():
+    """A function, sent to the workers as it is, that gives a column of lists as lengths, places of the first numbers, and all numbers.
+
+    Missing lists and lists with a null have length 0.
+    """
+    def numbers(column):
+        import numpy as np
+
+        values = column.values
+        offsets = column.offsets.to_numpy().astype(np.int64)
+        nulls = np.concatenate([[0], np.cumsum(values.is_null().to_numpy(zero_copy_only=False))])
+        whole = column.is_valid().to_numpy(zero_copy_only=False) & (nulls[offsets[1:]] == nulls[offsets[:-1]])
+        return np.where(whole, np.diff(offsets), 0), offsets[:-1], values.to_numpy(zero_copy_only=False)
+
+    return numbers
+
+
 def _packed(df: DataFrame, key: str, vector: str, size: int, cell: Sequence[str] = (), name: str = "x") -> DataFrame:
     """Rows as blocks of about ``size``: ids and vectors side by side, none of them over cells.
 
     A block is made inside a task, from rows as they come, so nothing is gathered
-    by key; vectors with a null in them count as missing.
+    by key; vectors with a null in them count as missing. Rows waiting for a full
+    block are numbers in arrays, HELD_BYTES of them at most.
     """
     kind = df.schema[key].dataType
     fields = [T.StructField(c, df.schema[c].dataType) for c in cell]
     schema = T.StructType([*fields, T.StructField(f"{name}_ids", T.ArrayType(kind)), T.StructField(f"{name}_vectors", T.BinaryType()), T.StructField(f"{name}_width", T.IntegerType())])
 
+    numbers = _reader()
+
     def pack(batches):
         import numpy as np
         import pyarrow as pa
 
         waiting: dict = {}
+        held, arrow = 0, None
 
         def block(at):
-            rows = waiting.pop(at)
-            return pa.RecordBatch.from_pylist([dict(zip(cell, at[1:], strict=True)) | {f"{name}_ids": [i for i, _ in rows], f"{name}_vectors": np.array([v for _, v in rows], "<f8").tobytes(), f"{name}_width": at[0]}], arrow)
+            nonlocal held
+            ids, vectors = waiting.pop(at)
+            held -= sum(v.nbytes for v in vectors)
+            ids, data = pa.concat_arrays(ids), b"".join(v.tobytes() for v in vectors)
+            lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            row = [*(pa.array([c], t) for c, t in zip(at[1:], kinds, strict=True)), lists, pa.array([data], pa.binary()), pa.array([at[0]], pa.int32())]
+            return pa.RecordBatch.from_arrays(row, schema=arrow)
 
-        arrow = None
         for batch in batches:
             if arrow is None:
-                arrow = pa.schema([*[(c, batch.schema.field(c).type) for c in cell], (f"{name}_ids", pa.list_(batch.schema.field("_id").type)), (f"{name}_vectors", pa.binary()), (f"{name}_width", pa.int32())])
-            columns = [batch[c].to_pylist() for c in ("_id", "_v", *cell)]
-            for i, v, *where in zip(*columns, strict=True):
-                whole = v if v is not None and None not in v else []
-                at = (len(whole), *where)
-                waiting.setdefault(at, []).append((i, whole))
-                if len(waiting[at]) >= size:
-                    yield block(at)
+                kinds = [batch.schema.field(c).type for c in cell]
+                arrow = pa.schema([*zip(cell, kinds, strict=True), (f"{name}_ids", pa.list_(batch.schema.field("_id").type)), (f"{name}_vectors", pa.binary()), (f"{name}_width", pa.int32())])
+            widths, starts, values = numbers(batch["_v"])
+            groups: dict = {}
+            for r, at in enumerate(zip(widths.tolist(), *(batch[c].to_pylist() for c in cell), strict=True)):
+                groups.setdefault(at, []).append(r)
+            for at, rows in groups.items():
+                while rows:
+                    ids, vectors = waiting.setdefault(at, ([], []))
+                    taken = np.array(rows[: size - sum(map(len, ids))])
+                    rows = rows[len(taken) :]
+                    ids.append(batch["_id"].take(pa.array(taken)))
+                    vectors.append(values[starts[taken][:, None] + np.arange(at[0])])
+                    held += vectors[-1].nbytes
+                    if sum(map(len, ids)) >= size:
+                        yield block(at)
+                while held > HELD_BYTES:
+                    yield block(max(waiting, key=lambda x: sum(v.nbytes for v in waiting[x][1])))
         for at in list(waiting):
             yield block(at)
 
@@ -76,34 +115,35 @@ def _scored(pairs: DataFrame, query_id: str, item_id: str, query_type, item_type
         with np.errstate(invalid="ignore", divide="ignore"):
             return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
-    def score(batches):
+    def meet(pair):
+        """Some queries of a block at a time against a block of items."""
         import numpy as np
         import pyarrow as pa
 
+        asked, ids, width = pair["q_ids"][0].values, pair["i_ids"][0].values, pair["q_width"][0].as_py()
+        names = ids.to_pylist()
+        order = np.array(sorted(range(len(names)), key=lambda j: (0,) if names[j] is None else (1, names[j])))
+        alike = width and width == pair["i_width"][0].as_py()
+        if alike:
+            queries, items = unit(pair["q_vectors"][0].as_buffer(), width), unit(pair["i_vectors"][0].as_buffer(), width)[order].T
+        for at in range(0, len(asked), SCORED_ROWS):
+            rows = np.arange(at, min(len(asked), at + SCORED_ROWS))
+            # of different lengths, or missing: no similarity
+            found = queries[rows] @ items if alike else np.full((len(rows), len(ids)), np.nan)
+            if digits is not None:
+                found = np.copysign(np.floor(np.abs(found) * 10**digits + 0.5) / 10**digits, found)
+            best = np.argsort(np.where(np.isnan(found), np.inf, -found), axis=1, kind="stable")[:, :k]
+            values = np.take_along_axis(found, best, 1).ravel()
+            yield pa.RecordBatch.from_arrays(
+                [asked.take(pa.array(np.repeat(rows, best.shape[1]))), ids.take(pa.array(order[best.ravel()])), pa.array(values, mask=np.isnan(values))],
+                [query_id, item_id, alias],
+            )
+
+    def score(batches):
         for batch in batches:
-            types = (batch.schema.field("q_ids").type.value_type, batch.schema.field("i_ids").type.value_type)
-            for pair in batch.to_pylist():
-                asked, ids = pair["q_ids"], pair["i_ids"]
-                width = pair["q_width"]
-                if width and width == pair["i_width"]:
-                    found = unit(pair["q_vectors"], width) @ unit(pair["i_vectors"], width).T
-                else:  # of different lengths, or missing: no similarity
-                    found = np.full((len(asked), len(ids)), np.nan)
-                if digits is not None:
-                    found = np.copysign(np.floor(np.abs(found) * 10**digits + 0.5) / 10**digits, found)
-                order = np.array(sorted(range(len(ids)), key=lambda j: (0,) if ids[j] is None else (1, ids[j])))
-                found = found[:, order]
-                held = np.where(np.isnan(found), -np.inf, found)
-                best = np.argsort(-held, axis=1, kind="stable")[:, :k]
-                rows = np.repeat(np.arange(len(asked)), best.shape[1])
-                values = np.take_along_axis(found, best, 1).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([asked[r] for r in rows], types[0]), pa.array([ids[j] for j in order[best.ravel()]], types[1]),
-                        pa.array(values, mask=np.isnan(values)),
-                    ],
-                    [query_id, item_id, alias],
-                )
+            for r in range(batch.num_rows):
+                yield from meet(batch.slice(r, 1))
+            del batch  # before the next one is read
 
     return pairs.mapInArrow(score, schema)
 

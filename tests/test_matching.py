@@ -1,6 +1,7 @@
 """Interval, tolerance and nearest-date matching against brute force."""
 
 import random
+import struct
 from datetime import date, timedelta
 
 import pytest
@@ -161,3 +162,28 @@ def test_reconcile_verdicts(spark):
     again = spark.createDataFrame([(1, 1.001), (2, 9.0), (3, 1.0), (5, None)], "k int, v double")
     got = dict((r.k, r.verdict) for r in matching.reconcile(stored, again, ["k"], "v").collect())
     assert got == {1: "MATCH", 2: "DIFFERENT", 3: "MISSING_STORED", 4: "MISSING_SOURCE", 5: "BOTH_NULL"}
+
+
+def test_waiting_vectors_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "HELD_BYTES", 400)
+    rows = [(i, i % 7, None if i == 3 else [1.0, None] if i == 4 else [float(i), 1.0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, _cell int, v array<double>").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "14")
+    try:
+        blocks = vectors._packed(df, "id", "v", 200, ["_cell"], "i").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(i for b in blocks for i in b.i_ids) == list(range(300))
+    assert max(len(b.i_vectors) for b in blocks) <= 400 + 2 * 16 and len(blocks) > 9
+    packed = {i: (b._cell, b.i_width, bytes(b.i_vectors)[16 * n : 16 * n + 16]) for b in blocks for n, i in enumerate(b.i_ids) if b.i_width}
+    assert packed == {i: (c, 2, struct.pack("<2d", *v)) for i, c, v in rows if v and None not in v}
+
+
+def test_scores_by_a_few_queries_at_a_time(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [float(i % 9), 1.0, float(i % 4)]) for i in range(90)], "id int, v array<double>")
+    queries = df.select(F.col("id").alias("q"), F.col("v").alias("w"))
+    found = []
+    for some in (7, 500):
+        monkeypatch.setattr(vectors, "SCORED_ROWS", some)
+        found.append(rows_of(vectors.vector_top_k(df, queries, "q", "w", "id", "v", 4, digits=6)))
+    assert found[0] == found[1] and len(found[0]) == 360
