@@ -15,8 +15,9 @@ QUERY_BLOCK = 500
 ITEM_BLOCK = 4_096
 #: Vectors that a packing task holds for blocks not yet full; beyond it the largest block goes as it is.
 HELD_BYTES = 8 << 20
-#: Queries of a block scored at a time.
+#: Queries of a block scored at a time, and rows dealt to cells at a time.
 SCORED_ROWS = 64
+DEALT_ROWS = 512
 #: Packed queries up to this many bytes are sent to the items; more of them are lanes of that size.
 SENT_BYTES = 64 << 20
 #: With several lanes, item blocks are dealt into so many parts, and each lane is joined with each part.
@@ -206,20 +207,24 @@ def centroids(df: DataFrame, item_id: str, vector: str, cells: int, sample: int
 def _dealt(df: DataFrame, vector: str, centers, many: int) -> DataFrame:
     """Rows with the ``many`` cells whose centres are nearest, one row for each (cell 0 for vectors without a direction)."""
     held = df.sparkSession.sparkContext.broadcast(centers)  # cells x width numbers
+    numbers = _reader()
 
     def deal(batches):
         import numpy as np
         import pyarrow as pa
 
+        center = held.value
         for batch in batches:
-            vectors = batch[vector].to_pylist()
-            center = held.value
-            near = np.zeros((len(vectors), min(many, max(1, len(center)))), np.int32)
-            fit = [j for j, v in enumerate(vectors) if v is not None and len(v) == center.shape[1] and None not in v]
-            if fit and len(center):
-                near[fit] = np.argsort(-(np.array([vectors[j] for j in fit], float) @ center.T), axis=1, kind="stable")[:, : near.shape[1]]
-            at = np.repeat(np.arange(len(vectors)), near.shape[1])
-            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at)) for c in batch.columns), pa.array(near.ravel(), pa.int32())], [*batch.schema.names, "_cell"])
+            for first in range(0, batch.num_rows, DEALT_ROWS):
+                part = batch.slice(first, DEALT_ROWS)
+                widths, starts, values = numbers(part[vector])
+                near = np.zeros((len(widths), min(many, max(1, len(center)))), np.int32)
+                fit = np.flatnonzero(widths == center.shape[1])
+                if len(fit) and len(center):
+                    vectors = values[starts[fit][:, None] + np.arange(center.shape[1])].astype(float)
+                    near[fit] = np.argsort(-(vectors @ center.T), axis=1, kind="stable")[:, : near.shape[1]]
+                at = np.repeat(np.arange(len(widths)), near.shape[1])
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at)) for c in part.columns), pa.array(near.ravel(), pa.int32())], [*part.schema.names, "_cell"])
 
     return df.mapInArrow(deal, T.StructType([*df.schema.fields, T.StructField("_cell", T.IntegerType())]))
 
