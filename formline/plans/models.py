@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, Imputer, OneHotEncoder, PCAModel, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
@@ -20,6 +22,8 @@ from formline.operators.quality import QualityError, assert_unique
 from formline.sources.incremental import upsert
 from formline.sources.tables import overwrite
 
+#: Fits of a search that run side by side, so that one's last tasks leave no core idle.
+FITS_AT_ONCE = 4
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
@@ -281,18 +285,25 @@ def cross_predictions(rows: DataFrame, label: str, keys: Sequence[str], candidat
     """Every candidate's predictions for rows that it wasn't fitted on: ``candidate, fold, keys, label, prediction``, written below ``path``.
 
     A row's fold is a hash of its keys, so it depends neither on order nor on a
-    seed. ``candidates`` are estimators by name; each is fitted once for each fold,
-    on the others, and its predictions are written to a folder of its own, which a
-    repeated fit overwrites.
+    seed. The rows are written by fold beside ``path``, so a fit reads its folds
+    only. ``candidates`` are estimators by name; each is fitted once for each fold,
+    on the others, a few fits at a time, and its predictions are written to a
+    folder of its own, which a repeated fit overwrites.
     """
     parts = {f"f{i}": 100 // folds for i in range(folds - 1)}
     parts[f"f{folds - 1}"] = 100 - sum(parts.values())
-    dealt = hash_split(rows, keys, parts, "fold")
-    for name, estimator in candidates.items():
-        for fold in parts:
-            model = estimator.fit(dealt.filter(F.col("fold") != fold))
-            told = model.transform(dealt.filter(F.col("fold") == fold)).select(*keys, F.col(label).cast("double").alias("label"), "prediction")
-            overwrite(told, f"{path.rstrip('/')}/candidate={name}/fold={fold}")
+    spark, root = rows.sparkSession, path.rstrip("/")
+    overwrite(hash_split(rows, keys, parts, "fold"), f"{root}-rows", ["fold"])
+    dealt = spark.read.schema(hash_split(rows, keys, parts, "fold").schema).parquet(f"{root}-rows")
+
+    def told(task):
+        name, fold = task
+        model = candidates[name].fit(dealt.filter(F.col("fold") != fold))
+        predicted = model.transform(dealt.filter(F.col("fold") == fold)).select(*keys, F.col(label).cast("double").alias("label"), "prediction")
+        overwrite(predicted, f"{root}/candidate={name}/fold={fold}")
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        list(pool.map(inheritable_thread_target(spark)(told), [(name, fold) for name in candidates for fold in parts]))
     return rows.sparkSession.read.parquet(path)
 
 

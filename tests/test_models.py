@@ -164,3 +164,11 @@ def test_feature_table_create_or_merge(spark, rows, tmp_path):
     more = rows.filter("id between 3 and 7").select("id", F.lit(9.0).alias("b"))
     merged = tables.create_or_merge(spark, more, str(tmp_path / "v1"), str(tmp_path / "v2"), ["id"])
     assert merged.count() == 8 and merged.filter("b = 9.0").count() == 5
+
+
+def test_fits_read_rows_written_by_fold(spark, tmp_path):
+    line = {"linear": models.LinearRegression(featuresCol="features", labelCol="y")}
+    assembled = models.VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.range(60).selectExpr("id", "double(id % 7) AS x", "double(id % 7) * 3 AS y"))
+    told = models.cross_predictions(assembled, "y", ["id"], line, f"{tmp_path}/p")
+    assert told.count() == 60 and sorted(p.name for p in tmp_path.glob("p-rows/fold=*")) == ["fold=f0", "fold=f1", "fold=f2"]
+    assert told.filter("abs(prediction - label) > 1e-6").isEmpty()
