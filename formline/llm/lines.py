@@ -116,9 +116,15 @@ def _candidates(own: DataFrame, distinct: DataFrame) -> DataFrame:
     )
 
 
+def _words(near: DataFrame) -> DataFrame:
+    """A row for each word of a line. Lines are split and counted once, below the step that gives the rows."""
+    split = near.select(*LINE, "__mask", F.split("__s", " ").alias("__words")).withColumn("__w", F.size("__words"))
+    return split.select(*LINE, "__mask", "__w", F.posexplode("__words").alias("__p", "__word"))
+
+
 def _superseded(near: DataFrame) -> DataFrame:
     """Of candidate lines, the places of those that an earlier one is a word apart from."""
-    words = near.select(*LINE, "__mask", F.size(F.split("__s", " ")).alias("__w"), F.posexplode(F.split("__s", " ")).alias("__p", "__word"))
+    words = _words(near)
     whole = Window.partitionBy(*LINE)
     before = whole.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     here, moved = F.xxhash64("__word", "__p"), F.xxhash64("__word", F.col("__p") - 1)

@@ -115,3 +115,11 @@ def test_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 201), (201, 200), (300, 300), (400, None)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(100, 150), 100), 200: 200, 201: 200, 300: 300, 400: 400}
+
+
+def test_lines_are_split_once(spark):
+    near = spark.createDataFrame([(1, 2, 1, "a b c")], "__a long, __b long, __mask int, __s string")
+    words = lines._words(near)
+    assert [(r["__w"], r["__p"], r["__word"]) for r in words.collect()] == [(3, 0, "a"), (3, 1, "b"), (3, 2, "c")]
+    above = words._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "split(" not in above
