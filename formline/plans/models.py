@@ -56,21 +56,20 @@ def feature_stages(
     numeric: Sequence[str], one_hot: Sequence[str] = (), ordinal: Sequence[str] = (), output: str = "features"
 ) -> list:
     """Mean imputation and standardization of numbers, one-hot columns, ordinal
-    codes whose unseen values get a code of their own, in one vector."""
+    codes whose unseen values get a code of their own, in one vector. Numbers
+    alone are that vector once scaled; nothing is copied into another."""
+    indexed = [*one_hot, *ordinal]
     stages = [
         Imputer(inputCols=list(numeric), outputCols=[f"_i_{c}" for c in numeric], strategy="mean"),
         VectorAssembler(inputCols=[f"_i_{c}" for c in numeric], outputCol="_numbers"),
-        StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
+        StandardScaler(inputCol="_numbers", outputCol="_scaled" if indexed else output, withMean=True, withStd=True),
     ]
-    parts = ["_scaled"]
-    indexed = [*one_hot, *ordinal]
-    if indexed:
-        stages.append(
-            StringIndexer(
-                inputCols=indexed, outputCols=[f"_x_{c}" for c in indexed], handleInvalid="keep", stringOrderType="alphabetAsc"
-            )
-        )
-        parts += [f"_x_{c}" for c in ordinal]
+    if not indexed:
+        return stages
+    stages.append(
+        StringIndexer(inputCols=indexed, outputCols=[f"_x_{c}" for c in indexed], handleInvalid="keep", stringOrderType="alphabetAsc")
+    )
+    parts = ["_scaled", *[f"_x_{c}" for c in ordinal]]
     if one_hot:
         stages.append(
             OneHotEncoder(inputCols=[f"_x_{c}" for c in one_hot], outputCols=[f"_h_{c}" for c in one_hot], handleInvalid="keep")
@@ -81,9 +80,12 @@ def feature_stages(
 
 
 def vector_names(df: DataFrame, vector: str = "features") -> list[str]:
-    """Names of the slots of an assembled vector, from its metadata."""
-    attributes = df.schema[vector].metadata["ml_attr"]["attrs"]
-    slots = [a for kind in attributes.values() for a in kind]
+    """Names of the slots of an assembled vector, from its metadata; a vector
+    whose slots have none gets them from its own name and their places."""
+    known = df.schema[vector].metadata["ml_attr"]
+    if "attrs" not in known:
+        return [f"{vector}_{i}" for i in range(known["num_attrs"])]
+    slots = [a for kind in known["attrs"].values() for a in kind]
     return [a.get("name", str(a["idx"])) for a in sorted(slots, key=lambda a: a["idx"])]
 
 
@@ -281,30 +283,42 @@ def search(
     return winner, results[winner]
 
 
-def cross_predictions(rows: DataFrame, label: str, keys: Sequence[str], candidates: dict, path: str, folds: int = 3) -> DataFrame:
-    """Every candidate's predictions for rows that it wasn't fitted on: ``candidate, fold, keys, label, prediction``, written below ``path``.
+def deal_rows(rows: DataFrame, keys: Sequence[str], path: str, folds: int = 3) -> DataFrame:
+    """The rows with their ``fold`` (f0, f1, ...), written by fold below ``path`` and read back, so that a fit reads its folds only.
 
     A row's fold is a hash of its keys, so it depends neither on order nor on a
-    seed. The rows are written by fold beside ``path``, so a fit reads its folds
-    only. ``candidates`` are estimators by name; each is fitted once for each fold,
-    on the others, a few fits at a time, and its predictions are written to a
-    folder of its own, which a repeated fit overwrites.
+    seed. The plan of the rows runs once, in this write.
     """
     parts = {f"f{i}": 100 // folds for i in range(folds - 1)}
     parts[f"f{folds - 1}"] = 100 - sum(parts.values())
+    dealt = hash_split(rows, keys, parts, "fold")
+    overwrite(dealt, path, ["fold"])
+    return rows.sparkSession.read.schema(dealt.schema).parquet(path)
+
+
+def cross_predictions(
+    rows: DataFrame, label: str, keys: Sequence[str], candidates: dict, path: str, folds: int = 3, dealt: bool = False
+) -> DataFrame:
+    """Every candidate's predictions for rows that it wasn't fitted on: ``candidate, fold, keys, label, prediction``, written below ``path``.
+
+    The rows are written by fold beside ``path``, unless they are ``dealt``: what
+    ``deal_rows`` gave for as many folds. ``candidates`` are estimators by name;
+    each is fitted once for each fold, on the others, a few fits at a time, and its
+    predictions are written to a folder of its own, which a repeated fit overwrites.
+    """
     spark, root = rows.sparkSession, path.rstrip("/")
-    overwrite(hash_split(rows, keys, parts, "fold"), f"{root}-rows", ["fold"])
-    dealt = spark.read.schema(hash_split(rows, keys, parts, "fold").schema).parquet(f"{root}-rows")
+    if not dealt:
+        rows = deal_rows(rows, keys, f"{root}-rows", folds)
 
     def told(task):
         name, fold = task
-        model = candidates[name].fit(dealt.filter(F.col("fold") != fold))
-        predicted = model.transform(dealt.filter(F.col("fold") == fold)).select(*keys, F.col(label).cast("double").alias("label"), "prediction")
+        model = candidates[name].fit(rows.filter(F.col("fold") != fold))
+        predicted = model.transform(rows.filter(F.col("fold") == fold)).select(*keys, F.col(label).cast("double").alias("label"), "prediction")
         overwrite(predicted, f"{root}/candidate={name}/fold={fold}")
 
     with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        list(pool.map(inheritable_thread_target(spark)(told), [(name, fold) for name in candidates for fold in parts]))
-    return rows.sparkSession.read.parquet(path)
+        list(pool.map(inheritable_thread_target(spark)(told), [(name, f"f{i}") for name in candidates for i in range(folds)]))
+    return spark.read.parquet(path)
 
 
 def candidate_errors(predictions: DataFrame, metric: str = "rmse") -> DataFrame:

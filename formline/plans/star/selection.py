@@ -33,15 +33,19 @@ _SCORES_SQL = f"""{_ROWS_SQL},
     placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY feature <> 'discount', score DESC, feature) AS place FROM scores)"""
 
 
-def training_rows(spark, folder):
+def played_orders(spark, folder):
     """Played orders with five features of their lines and customer; balances are missing for a seventh of the customers."""
     lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("l_quantity").alias("qty"), F.sum("l_extendedprice").alias("amount"), F.count(F.lit(1)).cast("double").alias("n_lines"), F.avg("l_discount").alias("discount")
     )
     customer = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("acctbal"))
     orders = table(spark, folder, "orders").filter("o_orderstatus <> 'O'").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("y"))
-    rows = orders.join(lines, "o_orderkey", "left").join(customer, "o_custkey", "left").select("o_orderkey", "y", *FEATURES)
-    return solidify(rows, f"{_root(spark)}/rows")
+    return orders.join(lines, "o_orderkey", "left").join(customer, "o_custkey", "left").select("o_orderkey", "y", *FEATURES)
+
+
+def training_rows(spark, folder):
+    """The played orders as a table."""
+    return solidify(played_orders(spark, folder), f"{_root(spark)}/rows")
 
 
 def _root(spark) -> str:
@@ -116,7 +120,7 @@ def _lines() -> dict:
 @query("ml_search", f"WITH {_SEARCH_SQL} SELECT candidate, n, {r2('rmse', 4)} AS rmse, ROW_NUMBER() OVER (ORDER BY rmse, candidate) = 1 AS best FROM errors")
 def ml_search(spark, folder):
     """Lines on three columns, compared by their errors on three folds of orders that they weren't fitted on."""
-    predictions = models.cross_predictions(training_rows(spark, folder), "y", ["o_orderkey"], _lines(), f"{_root(spark)}/predictions")
+    predictions = models.cross_predictions(played_orders(spark, folder), "y", ["o_orderkey"], _lines(), f"{_root(spark)}/predictions")
     errors = models.candidate_errors(predictions)
     return errors.select("candidate", "n", round_half_up("rmse", 4).alias("rmse"), "best")
 
@@ -130,8 +134,9 @@ def ml_search(spark, folder):
 )
 def ml_refit(spark, folder):
     """The best candidate fitted on all rows, written, read again and applied: the kept model predicts what the fitted one does."""
-    rows, root = training_rows(spark, folder), _root(spark)
-    predictions = models.cross_predictions(rows, "y", ["o_orderkey"], _lines(), f"{root}/predictions")
+    root = _root(spark)
+    rows = models.deal_rows(played_orders(spark, folder), ["o_orderkey"], f"{root}/rows")
+    predictions = models.cross_predictions(rows, "y", ["o_orderkey"], _lines(), f"{root}/predictions", dealt=True)
     name = models.candidate_errors(predictions).filter("best").first().candidate
     model = models.refit_and_keep(_lines()[name], rows, f"{root}/model")
     kept = models.score(models.load_kept(f"{root}/model"), rows, keep=["o_orderkey"])

@@ -172,3 +172,58 @@ def test_fits_read_rows_written_by_fold(spark, tmp_path):
     told = models.cross_predictions(assembled, "y", ["id"], line, f"{tmp_path}/p")
     assert told.count() == 60 and sorted(p.name for p in tmp_path.glob("p-rows/fold=*")) == ["fold=f0", "fold=f1", "fold=f2"]
     assert told.filter("abs(prediction - label) > 1e-6").isEmpty()
+
+
+def test_numbers_alone_are_scaled_into_the_vector(spark, rows):
+    """One vector step less for every row of every pass, the same values."""
+    import numpy as np
+
+    prepared = Pipeline(stages=models.feature_stages(["a", "b"])).fit(rows).transform(rows)
+    assert [type(s).__name__ for s in models.feature_stages(["a", "b"])] == ["Imputer", "VectorAssembler", "StandardScaler"]
+    assert models.vector_names(prepared) == ["features_0", "features_1"]
+    frame = rows.toPandas()[["a", "b"]].astype(float)
+    frame = frame.fillna(frame.mean())
+    want = ((frame - frame.mean()) / frame.std()).to_numpy()
+    assert np.allclose([r.features.toArray() for r in prepared.orderBy("id").collect()], want)
+
+
+def test_rows_dealt_once_serve_the_search_and_the_refit(spark, tmp_path):
+    """The plan of the rows runs once; equal and missing keys stay; the predictions are those of rows dealt by the search itself."""
+    ran = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            ran.add(batch.num_rows)
+            yield batch
+
+    data = [(i // 2 if i % 9 else None, float(i % 7), float(i % 7) * 3 + i % 2) for i in range(90)]
+    plain = spark.createDataFrame(data, "id int, x double, y double")
+    line = {"line": Pipeline(stages=[*models.feature_stages(["x"]), models.LinearRegression(featuresCol="features", labelCol="y", solver="normal")])}
+    dealt = models.deal_rows(plain.mapInArrow(counted, plain.schema), ["id"], f"{tmp_path}/rows")
+    told = models.cross_predictions(dealt, "y", ["id"], line, f"{tmp_path}/p", dealt=True)
+    model = models.refit_and_keep(line["line"], dealt, f"{tmp_path}/m")
+    assert models.score(model, dealt).count() == 90 and ran.value == 90
+    assert not (tmp_path / "p-rows").exists()
+    own = models.cross_predictions(plain, "y", ["id"], line, f"{tmp_path}/q")
+    digits = lambda df: rows_of(df, "candidate", "fold", "id", "label", F.round("prediction", 6))
+    assert digits(told) == digits(own) and told.count() == 90
+
+
+def test_ml_refit_writes_its_rows_once(spark, tmp_path):
+    """One table of rows by fold below the checkpoint folder, which the search, the refit and the scores read."""
+    from pathlib import Path
+
+    from formline.plans import star
+    from formline.session import checkpoint_dir
+
+    orders = [(k, k % 5, "O" if k % 4 == 0 else "F", 100.0 * (k % 6) + k) for k in range(1, 61)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(k, float(k % 6 + n), 100.0 * (k % 6), 0.05) for k in range(1, 61) for n in range(k % 3 + 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_quantity double, l_extendedprice double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 10.0 * k) for k in range(5)], "c_custkey long, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    root = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(root.glob("training-*"))
+    found = star.QUERIES["ml_refit"](spark, str(tmp_path))
+    made = sorted(p.name for t in set(root.glob("training-*")) - before for p in t.iterdir())
+    assert made == ["model", "predictions", "rows"]
+    assert found.count() == 45 and found.filter("same").count() == 45
